@@ -95,7 +95,7 @@ COMMON_HTML_ENTITIES = [
 DEFAULT_EMOTICONS = [
     (":)", "happy"), (":-)", "happy"), (":(", "sad"), (":-(", "sad"), (";)", "wink"),
     (";-)", "wink"), (":d", "laugh"), (":p", "playful"), (":o", "surprise"), (":/", "unsure"),
-    (":'(", "crying"), ("<3", "love"), ("xd", "laugh"), ("(^_^)", "joy"), ("(-_-)", "bored"),
+    (":'(", "crying"), ("<3", "love"), ("(^_^)", "joy"), ("(-_-)", "bored"),
 ]
 
 DEFAULT_ABBREVIATIONS = [

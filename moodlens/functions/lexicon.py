@@ -137,23 +137,58 @@ def map_literal(pairs: Sequence[tuple[str, str]]) -> Column:
     return F.create_map(*[F.lit(x) for kv in pairs for x in kv])
 
 
+def _probe(w: Column, pairs, m: Column) -> Column:
+    """Value of ``w`` in the map literal ``m``, or NULL.  Map literals are searched linearly, so a
+    hashed ``InSet`` membership test runs first and only hits pay for the search."""
+    keys = [k for k, _ in pairs]
+    return F.when(w.isin(*keys), F.try_element_at(m, w))
+
+
 def lookup_words(c, lexicon, max_entries: int = MAX_INLINE_MAP) -> Column:
     """Split on white space, replace each word found in the lexicon, join with one blank."""
-    m = map_literal(lexicon_pairs(lexicon, max_entries))
+    pairs = lexicon_pairs(lexicon, max_entries)
+    m = map_literal(pairs)
     words = split_words(c)
-    return F.array_join(F.transform(words, lambda w: F.coalesce(F.try_element_at(m, w), w)), " ")
+    if not pairs:
+        return F.array_join(words, " ")
+    return F.array_join(F.transform(words, lambda w: F.coalesce(_probe(w, pairs, m), w)), " ")
 
 
-def lookup_tokens(tokens, lexicon, resplit: bool = True, max_entries: int = MAX_INLINE_MAP) -> Column:
-    """Exact lookup per token; with ``resplit`` multi-word values become several tokens."""
-    m = map_literal(lexicon_pairs(lexicon, max_entries))
-    mapped = F.transform(_col(tokens), lambda w: F.coalesce(F.try_element_at(m, w), w))
+def lookup_tokens(tokens, lexicon, resplit: bool = True, single_words: bool = False,
+                  max_entries: int = MAX_INLINE_MAP) -> Column:
+    """Exact lookup per token; with ``resplit`` every result is split on white space (``str.split``).
+
+    Lexicon values are split once on the driver (``map<string, array<string>>``), so no regex runs
+    per token.  Tokens not in the lexicon are split only when they hold white space or are empty;
+    ``single_words`` promises they never do (regex tokens) and skips even that test.
+    """
+    pairs = lexicon_pairs(lexicon, max_entries)
+    if not pairs and not resplit:
+        return _col(tokens)
     if not resplit:
-        return mapped
-    return F.flatten(F.transform(mapped, lambda v: split_words(v)))
+        m = map_literal(pairs)
+        return F.transform(_col(tokens), lambda w: F.coalesce(_probe(w, pairs, m), w))
+    split_pairs = [(k, v.split()) for k, v in pairs]
+    m = array_map_literal(split_pairs)
+
+    def one(w):
+        own = F.array(w) if single_words else F.when(w.rlike(f"^$|{WS}"), split_words(w)).otherwise(F.array(w))
+        return F.coalesce(_probe(w, split_pairs, m), own) if pairs else own
+
+    return F.flatten(F.transform(_col(tokens), one))
+
+
+def array_map_literal(pairs: Sequence[tuple[str, list[str]]]) -> Column:
+    pairs = dict_order(pairs)
+    if not pairs:
+        return F.create_map().cast("map<string,array<string>>")
+    return F.create_map(
+        *[x for k, vs in pairs for x in (F.lit(k), F.array(*[F.lit(v) for v in vs]).cast("array<string>"))]
+    )
 
 
 def lookup_value(token, lexicon, default=None, max_entries: int = MAX_INLINE_MAP) -> Column:
-    m = map_literal(lexicon_pairs(lexicon, max_entries))
-    v = F.try_element_at(m, _col(token))
+    pairs = lexicon_pairs(lexicon, max_entries)
+    m = map_literal(pairs)
+    v = _probe(_col(token), pairs, m) if pairs else F.lit(None).cast("string")
     return v if default is None else F.coalesce(v, default if isinstance(default, Column) else F.lit(default))

@@ -39,6 +39,42 @@ def _col(c) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
+def staged(df, exprs: dict, keep=None):
+    """Add columns in their own projection, kept apart from the next one.
+
+    Higher-order functions (``transform``, ``filter``) are evaluated outside whole-stage codegen and
+    evaluate their input expression tree interpreted, without common-subexpression elimination.
+    Each staged column is referenced twice by ``null_safe`` below, which stops ``CollapseProject``
+    from inlining the (expensive) producer into the consumer, so the string chain stays in codegen.
+    """
+    keep = list(df.columns) if keep is None else list(keep)
+    return df.select(*keep, *[e.alias(n) for n, e in exprs.items()])
+
+
+def run_steps(df, text_col: str, steps, out_col: str, keep=None, empty=None):
+    """Apply ``steps`` (``Column -> Column``) one projection each, keeping ``keep`` columns.
+
+    Small projections keep every generated method well under the JIT and 64 KB limits, and a
+    step's guard (``when(test(x), f(x)).otherwise(x)``) then reads a plain column, never a deep
+    expression tree.  Projections stay narrow: no shuffle, one pass over the rows.
+    """
+    keep = [c for c in (list(df.columns) if keep is None else list(keep)) if c != out_col]
+    cur = text_col
+    steps = list(steps)
+    for i, step in enumerate(steps):
+        name = out_col if i == len(steps) - 1 else f"_{out_col}_{i}"
+        last = i == len(steps) - 1
+        df = df.select(*keep, null_safe(cur, step, empty if last else None).alias(name))
+        cur = name
+    return df
+
+
+def null_safe(c, fn, empty=None) -> Column:
+    """``fn(c)``, NULL (or ``empty``) when ``c`` is NULL; references ``c`` twice (see ``staged``)."""
+    col = _col(c)
+    return F.when(col.isNull(), empty if empty is not None else F.lit(None)).otherwise(fn(col))
+
+
 def lower_text(c) -> Column:
     return F.lower(_col(c))
 
@@ -93,14 +129,59 @@ def remove_unicode(c) -> Column:
     return F.regexp_replace(F.regexp_replace(_col(c), ESCAPED_UNICODE_RE, ""), NON_ASCII_RE, "")
 
 
+_REGEX_META = set(".^$*+?()[]{}|\\")
+
+
+def _compile_rule(pattern: str, repl: str):
+    r"""Java form of one rewrite rule, plus the literal every match must contain (its guard).
+
+    ``(\w+)X`` becomes ``(\w++)X`` when X starts with a non-word character: backtracking into the
+    word can then never produce a match, so the possessive form finds exactly the same matches
+    without the quadratic retry inside long words (``(\w+)n't`` needs the backtrack and keeps it).
+    Rules with no regex syntax become literal replaces.
+    """
+    if not any(ch in _REGEX_META for ch in pattern):
+        return ("literal", pattern, repl, None)
+    tail = pattern.rsplit(")", 1)[-1] if ")" in pattern else ""
+    guard = tail if tail and not any(ch in _REGEX_META for ch in tail) else None
+    if guard and not (guard[0].isalnum() or guard[0] == "_"):
+        pattern = pattern.replace(r"(\w+)", r"(\w++)")
+    return ("regex", pattern, repl, guard)
+
+
 def expand_contractions(c, rules: Sequence[tuple[str, str]] = CONTRACTION_RULES) -> Column:
-    """Ordered regex rewrite; each rule sees the output of the previous one."""
+    """Ordered regex rewrite; each rule sees the output of the previous one.
+
+    Each regex rule only runs on rows holding its literal tail (``'ll``, ``n't`` …).
+    """
     out = _col(c)
-    for pattern, repl in rules:
-        out = F.regexp_replace(out, pattern, repl)
+    for kind, pattern, repl, guard in (_compile_rule(p, r) for p, r in rules):
+        if kind == "literal":
+            out = F.replace(out, F.lit(pattern), F.lit(repl))
+        elif guard is None:
+            out = F.regexp_replace(out, pattern, repl)
+        else:
+            out = F.when(out.contains(guard), F.regexp_replace(out, pattern, repl)).otherwise(out)
     return out
 
 
+def contraction_steps(rules: Sequence[tuple[str, str]] = CONTRACTION_RULES) -> list:
+    """``expand_contractions`` cut into steps for ``run_steps``: each guarded regex rule alone,
+    runs of literal rules together."""
+    steps, group = [], []
+    for rule in rules:
+        if _compile_rule(*rule)[0] == "literal":
+            group.append(rule)
+            continue
+        if group:
+            steps.append(lambda c, g=tuple(group): expand_contractions(c, g))
+            group = []
+        steps.append(lambda c, r=(rule,): expand_contractions(c, r))
+    if group:
+        steps.append(lambda c, g=tuple(group): expand_contractions(c, g))
+    return steps
+
+
 def keep_alnum(c) -> Column:
     """Every character outside ``[a-zA-Z0-9]`` becomes a blank."""
     return F.regexp_replace(_col(c), NON_ALNUM_RE, " ")
@@ -195,12 +276,13 @@ def min_length_filter(tokens, min_len: int = 2) -> Column:
 
 
 def remove_stopwords(tokens, stopwords: Sequence[str], case_sensitive: bool = False) -> Column:
-    """Array filter against a stop-word list folded into a literal array (small, fixed lists)."""
+    """Array filter against a stop-word list; ``isin`` over many literals is planned as a hashed
+    ``InSet``, so each token costs one hash probe whatever the list length."""
     if case_sensitive:
-        stop = F.array(*[F.lit(w) for w in stopwords])
-        return F.filter(_col(tokens), lambda w: ~F.array_contains(stop, w))
-    stop = F.array(*[F.lit(w.lower()) for w in dict.fromkeys(stopwords)])
-    return F.filter(_col(tokens), lambda w: ~F.array_contains(stop, F.lower(w)))
+        words = list(dict.fromkeys(stopwords))
+        return F.filter(_col(tokens), lambda w: ~w.isin(*words))
+    words = list(dict.fromkeys(w.lower() for w in stopwords))
+    return F.filter(_col(tokens), lambda w: ~F.lower(w).isin(*words))
 
 
 def drop_empty(tokens) -> Column:

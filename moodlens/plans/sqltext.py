@@ -107,12 +107,18 @@ def lookup_words(e: str, pairs) -> str:
 
 
 def lookup_tokens(tokens: str, pairs, resplit: bool = True) -> str:
-    m = map_sql(pairs)
-    mapped = f"list_transform({tokens}, lambda w: coalesce({m}[w], w))"
+    pairs = dict_order(pairs)
     if not resplit:
-        return mapped
-    inner = split_words("v")
-    return f"flatten(list_transform({mapped}, lambda v: {inner}))"
+        m = map_sql(pairs)
+        return f"list_transform({tokens}, lambda w: coalesce({m}[w], w))"
+    if pairs:
+        m = "MAP {" + ", ".join(
+            f"{q(k)}: [" + ", ".join(q(x) for x in v.split()) + "]::VARCHAR[]" for k, v in pairs
+        ) + "}"
+    else:
+        m = "MAP {}"
+    own = f"CASE WHEN regexp_matches(w, {q('^$|' + T.WS)}) THEN {split_words('w')} ELSE [w] END"
+    return f"flatten(list_transform({tokens}, lambda w: coalesce({m}[w], {own})))"
 
 
 def tokenize_regex(e: str) -> str:
@@ -138,3 +144,47 @@ def remove_stopwords(tokens: str, stopwords, case_sensitive: bool = False) -> st
 
 def guard_class(pairs) -> str | None:
     return hitting_class([k for k, _ in pairs])
+
+
+# ----------------------------------------------------------------- compositions
+
+def clean_social_text(e: str, emoticons, abbreviations) -> str:
+    t = replace_url(f"lower({e})")
+    t = strip_ws(t)
+    t = html_unescape_common(t)
+    t = remove_unicode(t)
+    t = ordered_replace(t, emoticons, ascii_input=True)
+    t = lookup_words(t, abbreviations)
+    t = replace_mention(t)
+    t = strip_hashtag(t)
+    t = collapse_repeats(t)
+    return expand_contractions(t)
+
+
+def pos_filter(tokens: str, pos_pairs, default_tag: str = "NN", allowed=("J", "R", "V", "N")) -> str:
+    m = map_sql(pos_pairs)
+    allowed_sql = ", ".join(q(a) for a in allowed)
+    return f"list_filter({tokens}, lambda w: substr(coalesce({m}[w], {q(default_tag)}), 1, 1) IN ({allowed_sql}))"
+
+
+def clean_social(e: str, emoticons, abbreviations, stopwords, pos_pairs=None) -> str:
+    tokens = lookup_tokens(tokenize_regex(clean_social_text(e, emoticons, abbreviations)), abbreviations)
+    if pos_pairs is not None:
+        tokens = pos_filter(tokens, pos_pairs)
+    return f"coalesce({remove_stopwords(tokens, stopwords, case_sensitive=True)}, []::VARCHAR[])"
+
+
+def classic_words(e: str, abbreviations, emojis, stopwords, lemma_pairs=None, abbrev_mode="substring") -> str:
+    t = replace_mention(replace_url_padded(e), " USER ")
+    t = ordered_replace(t, emojis, pad=True)
+    t = ordered_replace(t, abbreviations, pad=True) if abbrev_mode == "substring" else lookup_words(t, abbreviations)
+    t = f"lower({keep_alnum(t)})"
+    words = f"list_filter({split_words(t)}, lambda w: length(w) >= 2)"
+    words = remove_stopwords(words, stopwords, case_sensitive=True)
+    if lemma_pairs is not None:
+        words = lookup_tokens(words, lemma_pairs, resplit=False)
+    return words
+
+
+def clean_classic(e: str, *args, **kw) -> str:
+    return f"array_to_string(coalesce({classic_words(e, *args, **kw)}, []::VARCHAR[]), ' ')"
