@@ -69,6 +69,18 @@ def run_steps(df, text_col: str, steps, out_col: str, keep=None, empty=None):
     return df
 
 
+def keep_where(df, cond: Column):
+    """Rows where ``cond`` holds, as a generator rather than a ``Filter``.
+
+    Catalyst pushes a ``Filter`` on a derived column through every projection below it, inlining the
+    column's expression, so a filter on cleaned text would run the whole cleaning chain a second
+    time, at the scan and outside codegen.  A generator is never moved through projections: the
+    condition is evaluated once, on the already computed column, in the same pipeline.
+    """
+    gate = F.explode(F.array_repeat(F.lit(0), F.when(cond, F.lit(1)).otherwise(F.lit(0))))
+    return df.select("*", gate.alias("_gate")).drop("_gate")
+
+
 def null_safe(c, fn, empty=None) -> Column:
     """``fn(c)``, NULL (or ``empty``) when ``c`` is NULL; references ``c`` twice (see ``staged``)."""
     col = _col(c)

@@ -78,4 +78,4 @@ def classic_dataset(df: DataFrame, text_col: str = "text", label_col: str = "lab
     """``(text, label)`` rows of cleaned text, dropping rows left empty (label stays aligned)."""
     base = df.select(F.col(text_col).alias("_raw"), F.col(label_col).alias("label"))
     cleaned = clean_classic_df(base, "_raw", "text", keep=["label"], **kw)
-    return cleaned.select("text", "label").filter(F.length("text") > 0)
+    return TX.keep_where(cleaned.select("text", "label"), F.length("text") > 0)

@@ -188,3 +188,90 @@ def classic_words(e: str, abbreviations, emojis, stopwords, lemma_pairs=None, ab
 
 def clean_classic(e: str, *args, **kw) -> str:
     return f"array_to_string(coalesce({classic_words(e, *args, **kw)}, []::VARCHAR[]), ' ')"
+
+
+def md5_bucket(e: str, buckets: int = 100) -> str:
+    return f"CAST(('0x' || substr(md5(CAST({e} AS VARCHAR)), 1, 8))::BIGINT % {buckets} AS INTEGER)"
+
+
+def classic_job_ctes(abbreviations, emojis, stopwords, max_features: int | None = 500_000, train_pct: int = 90) -> str:
+    """CTEs ``corpus, tf, stats, vocab, idf, feat, train_docs, test_docs`` of the classic job."""
+    limit = f"LIMIT {max_features}" if max_features is not None else ""
+    return f"""WITH {tweets_cte()},
+corpus0 AS (
+  SELECT TweetID AS doc_id, CAST(CASE WHEN Polarity = 4 THEN 1 ELSE Polarity END AS INTEGER) AS label,
+         {clean_classic('TweetText', abbreviations, emojis, stopwords)} AS text
+  FROM tweets WHERE Polarity IS NOT NULL),
+corpus AS (SELECT doc_id, label, text, string_split(text, ' ') AS words, {md5_bucket('doc_id')} < {train_pct} AS is_train
+           FROM corpus0 WHERE length(text) > 0),
+grams AS (SELECT doc_id, is_train,
+                 unnest(words || CASE WHEN len(words) >= 2
+                        THEN list_transform(range(1, len(words)), lambda i: words[i] || ' ' || words[i + 1])
+                        ELSE []::VARCHAR[] END) AS term
+          FROM corpus),
+tf AS (SELECT doc_id, term, is_train, count(*) AS tf FROM grams GROUP BY doc_id, term, is_train),
+ndocs AS (SELECT count(DISTINCT doc_id) AS n FROM tf WHERE is_train),
+stats AS (SELECT term, count(*) AS df, CAST(sum(tf) AS BIGINT) AS cf FROM tf WHERE is_train GROUP BY term),
+vocab AS (SELECT * FROM stats ORDER BY cf DESC, term {limit}),
+idf AS (SELECT term, df, ln((1 + n) / (1 + df)) + 1 AS idf FROM vocab, ndocs),
+w AS (SELECT tf.doc_id, tf.term, tf.is_train, tf.tf * idf.idf AS w FROM tf JOIN idf USING (term)),
+norms AS (SELECT doc_id, sqrt(sum(w * w)) AS norm FROM w GROUP BY doc_id),
+feat AS (SELECT w.doc_id, w.term, w.is_train, w.w / norms.norm AS x FROM w JOIN norms USING (doc_id)),
+train_docs AS (SELECT doc_id, label FROM corpus WHERE is_train),
+test_docs AS (SELECT doc_id, label FROM corpus WHERE NOT is_train),
+classes AS (SELECT label, count(*) AS n FROM train_docs GROUP BY label),
+tot AS (SELECT sum(n) AS nn, count(*) AS cc FROM classes),
+vsize AS (SELECT count(*) AS v FROM vocab)"""
+
+
+def nb_sql(kind: str, lam: float) -> str:
+    """CTE ``pred(doc_id, label, prediction, score)`` after ``classic_job_ctes``."""
+    lam = float(lam)
+    if kind == "multinomial":
+        stats = f"""ct AS (SELECT d.label, f.term, sum(f.x) AS s FROM feat f JOIN train_docs d USING (doc_id) WHERE f.is_train GROUP BY d.label, f.term),
+ctot AS (SELECT label, sum(s) AS t FROM ct GROUP BY label),
+consts AS (SELECT c.label, ln(c.n + {lam}) - ln(tot.nn + {lam} * tot.cc) AS lp,
+                  ln(coalesce(ctot.t, 0) + {lam} * vsize.v) AS k
+           FROM classes c CROSS JOIN tot CROSS JOIN vsize LEFT JOIN ctot USING (label)),
+tf_test AS (SELECT f.doc_id, f.term, f.x FROM feat f WHERE NOT f.is_train AND f.term IN (SELECT term FROM ct)),
+dx AS (SELECT t.doc_id, c.label AS cls, sum(t.x * ln(coalesce(ct.s, 0) + {lam})) AS s, sum(t.x) AS xs
+       FROM tf_test t CROSS JOIN classes c LEFT JOIN ct ON ct.label = c.label AND ct.term = t.term
+       GROUP BY t.doc_id, c.label),
+scores AS (SELECT d.doc_id, d.label, c.label AS cls, k.lp + coalesce(dx.s, 0) - coalesce(dx.xs, 0) * k.k AS score
+           FROM test_docs d CROSS JOIN classes c JOIN consts k ON k.label = c.label
+           LEFT JOIN dx ON dx.doc_id = d.doc_id AND dx.cls = c.label)"""
+    else:
+        stats = f"""ct AS (SELECT d.label, f.term, CAST(count(*) AS DOUBLE) AS s FROM feat f JOIN train_docs d USING (doc_id)
+               WHERE f.is_train AND f.x > 0 GROUP BY d.label, f.term),
+seen AS (SELECT label, sum(ln(n - s + {lam}) - ln(n + 2 * {lam})) AS q, count(*) AS kk
+         FROM ct JOIN classes USING (label) GROUP BY label),
+consts AS (SELECT c.label, ln(c.n + {lam}) - ln(tot.nn + {lam} * tot.cc) AS lp,
+                  coalesce(seen.q, 0) + (vsize.v - coalesce(seen.kk, 0)) * (ln(c.n + {lam}) - ln(c.n + 2 * {lam})) AS k
+           FROM classes c CROSS JOIN tot CROSS JOIN vsize LEFT JOIN seen USING (label)),
+tf_test AS (SELECT f.doc_id, f.term FROM feat f WHERE NOT f.is_train AND f.x > 0
+            AND f.term IN (SELECT term FROM ct)),
+dx AS (SELECT t.doc_id, c.label AS cls, sum(ln(coalesce(ct.s, 0) + {lam}) - ln(c.n - coalesce(ct.s, 0) + {lam})) AS s
+       FROM tf_test t CROSS JOIN classes c LEFT JOIN ct ON ct.label = c.label AND ct.term = t.term
+       GROUP BY t.doc_id, c.label),
+scores AS (SELECT d.doc_id, d.label, c.label AS cls, k.lp + k.k + coalesce(dx.s, 0) AS score
+           FROM test_docs d CROSS JOIN classes c JOIN consts k ON k.label = c.label
+           LEFT JOIN dx ON dx.doc_id = d.doc_id AND dx.cls = c.label)"""
+    return f"""{stats},
+ranked AS (SELECT *, row_number() OVER (PARTITION BY doc_id ORDER BY score DESC, cls ASC) AS rk FROM scores),
+pred AS (SELECT doc_id, label, CAST(cls AS DOUBLE) AS prediction, score FROM ranked WHERE rk = 1)"""
+
+
+def metrics_ctes() -> str:
+    """CTEs ``pairs, pc, prf`` over ``pred(label, prediction)``."""
+    return """pairs AS (SELECT CAST(label AS DOUBLE) AS label, CAST(prediction AS DOUBLE) AS prediction, count(*) AS n
+          FROM pred GROUP BY ALL),
+asl AS (SELECT label AS cls, sum(CASE WHEN label = prediction THEN n ELSE 0 END) AS tp, sum(n) AS support
+        FROM pairs GROUP BY label),
+asp AS (SELECT prediction AS cls, sum(CASE WHEN label <> prediction THEN n ELSE 0 END) AS fp FROM pairs GROUP BY prediction),
+pc AS (SELECT coalesce(asl.cls, asp.cls) AS cls, coalesce(tp, 0) AS tp, coalesce(fp, 0) AS fp,
+              coalesce(support, 0) AS support
+       FROM asl FULL JOIN asp ON asl.cls = asp.cls),
+pr AS (SELECT *, CASE WHEN tp + fp > 0 THEN tp / (tp + fp) ELSE 0.0 END AS precision,
+              CASE WHEN support > 0 THEN tp / support ELSE 0.0 END AS recall FROM pc),
+prf AS (SELECT *, CASE WHEN precision + recall > 0 THEN 2 * precision * recall / (precision + recall) ELSE 0.0 END AS f1
+        FROM pr)"""
