@@ -119,3 +119,11 @@ DEFAULT_LEMMAS = [
     ("cats", "cat"), ("dogs", "dog"), ("days", "day"), ("words", "word"), ("geese", "goose"),
     ("feet", "foot"), ("mice", "mouse"), ("children", "child"), ("women", "woman"), ("men", "man"),
 ]
+
+# Our own small alias → emoji table for ``emojize``/``demojize`` (the full alias tables are passed in
+# as a lexicon DataFrame).  ``:+1:`` repeats an emoji, so the inverse keeps the later alias.
+DEFAULT_EMOJI_ALIASES = [
+    (":thumbs_up:", "\U0001F44D"), (":red_heart:", "❤️"), (":grinning_face:", "\U0001F600"),
+    (":crying_face:", "\U0001F622"), (":fire:", "\U0001F525"), (":winking_face:", "\U0001F609"),
+    (":+1:", "\U0001F44D"), (":party_popper:", "\U0001F389"),
+]

@@ -10,6 +10,7 @@ from __future__ import annotations
 
 from typing import Iterable, Sequence
 
+import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -224,7 +225,6 @@ def html_unescape_full(c) -> Column:
 def _make_unescape_udf():
     import html
 
-    import pandas as pd
     from pyspark.sql.types import StringType
 
     @F.pandas_udf(StringType())

@@ -40,7 +40,7 @@ DECORATIONS = [
     " so happy :)) at 12:30",
     " Tom &amp; Ann &lt;3",
     " lol! brb w/ u",
-    " ok :-D mail bob@x.org",
+    " ok :-D mail bob@x.org :thumbs_up: :fire:",
 ]
 
 
