@@ -33,4 +33,4 @@ def r6(c):
 
 
 # Importing the query modules fills the two registries.
-from . import q_clean, q_model, q_profile, q_tokens  # noqa: E402,F401
+from . import q_clean, q_ml, q_model, q_profile, q_tokens  # noqa: E402,F401

@@ -112,7 +112,9 @@ SELECT c.doc_id, array_to_string((coalesce(s.ids, []::INTEGER[]) || [{', '.join(
 FROM corpus c LEFT JOIN seq s USING (doc_id)""",
 )
 def q_pad_truncate(spark, sf_dir):
-    c = classic_corpus(spark, sf_dir)
+    from ..session import materialize
+
+    c = materialize(classic_corpus(spark, sf_dir).select("doc_id", "words"))
     ids = FE.vocabulary_ids(c, "doc_id", "words", VOCAB_K, SEQ_LEN)
     return ids.select("doc_id", F.array_join("input_ids", ",").alias("input_ids"))
 

@@ -22,3 +22,17 @@ def table_path(sf_dir: str, name: str) -> str:
 
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(table_path(sf_dir, name))
+
+
+def spread(df: DataFrame, key: str, min_partitions: int | None = None) -> DataFrame:
+    """Hash-partition on ``key`` only when the scan yields fewer tasks than the cluster can run.
+
+    Text cleaning is CPU-bound per row; a source with few, large splits (one Parquet row group is
+    one task) would otherwise run it on a handful of cores.  On a cluster reading many splits this
+    is a no-op, so no shuffle is added where the input is already parallel.  Hashing on the key
+    (not round-robin) keeps the placement deterministic when a task is retried.
+    """
+    target = min_partitions or df.sparkSession.sparkContext.defaultParallelism
+    if df.rdd.getNumPartitions() >= target:
+        return df
+    return df.repartition(target, key)

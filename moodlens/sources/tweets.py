@@ -14,7 +14,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .tables import read_table
+from .tables import read_table, spread
 
 TWEET_COLUMNS = ["Polarity", "TweetID", "Lang", "QueryFlag", "UserName", "TweetText"]
 POSITIONAL_COLUMNS = [f"_c{i}" for i in range(6)]
@@ -134,7 +134,7 @@ def tweet_view(spark: SparkSession, sf_dir: str, decorate: bool = True) -> DataF
     Only the needed columns are scanned.  The join is left to Catalyst/AQE: ``labels`` grows with
     the corpus, so it is not force-broadcast; AQE broadcasts it at run time when it is small.
     """
-    docs = read_table(spark, sf_dir, "documents").select("doc_id", "text", "lang", "source")
+    docs = spread(read_table(spark, sf_dir, "documents").select("doc_id", "text", "lang", "source"), "doc_id")
     labels = read_table(spark, sf_dir, "labels").select("doc_id", "quality", "toxic")
     j = docs.join(labels, "doc_id", "left")
     text = F.concat(F.col("text"), decoration(F.col("doc_id"))) if decorate else F.col("text")
