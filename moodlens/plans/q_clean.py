@@ -81,6 +81,9 @@ _str_query("replace_mention", TX.replace_mention, S.replace_mention(T))
 _str_query("replace_mention_padded", TX.replace_mention_padded, S.replace_mention(T, " USER "))
 _str_query("strip_hashtag", TX.strip_hashtag, S.strip_hashtag(T))
 _str_query("collapse_repeats", TX.collapse_repeats, S.collapse_repeats(T))
+_str_query("collapse_exclaim", TX.collapse_exclaim, S.rr(T, r"!{2,}", " multiExclamation "))
+_str_query("collapse_question", TX.collapse_question, S.rr(T, r"\?{2,}", " multiQuestion "))
+_str_query("collapse_stop", TX.collapse_stop, S.rr(T, r"\.{2,}", " multiStop "))
 _str_query("expand_contractions", lambda c: TX.expand_contractions(TX.lower_text(c)), S.expand_contractions(f"lower({T})"))
 _str_query("keep_alnum", TX.keep_alnum, S.keep_alnum(T))
 _str_query(

@@ -5,9 +5,11 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ..functions import text as TX
+from ..functions.fixed import CLASSIC_EMOJIS, CLASSIC_STOPWORDS, DEFAULT_ABBREVIATIONS
 from ..functions.labels import class_name, label_binary, label_replace, label_ternary
 from ..operators import profile, terms
 from ..sources import tweets as SRC
+from . import classic
 from . import sqltext as S
 from .catalog import register
 
@@ -81,32 +83,45 @@ def rename_columns(spark, sf_dir):
     return SRC.rename_columns(SRC.positional_view(spark, sf_dir))
 
 
-CLEANED_SQL = f"""{CTE}
+KEEP_SQL = f"""{CTE}
 SELECT TweetText AS text, CAST(CASE WHEN Polarity = 4 THEN 1 ELSE Polarity END AS INTEGER) AS label FROM tweets"""
+CLEANED_SQL = f"""{CTE}
+SELECT text, label FROM (
+  SELECT {S.clean_classic('TweetText', DEFAULT_ABBREVIATIONS, CLASSIC_EMOJIS, CLASSIC_STOPWORDS)} AS text,
+         CAST(CASE WHEN Polarity = 4 THEN 1 ELSE Polarity END AS INTEGER) AS label
+  FROM tweets WHERE Polarity IS NOT NULL) WHERE length(text) > 0"""
 
 
-def _cleaned_roundtrip(spark, sf_dir, fmt):
-    df = SRC.tweet_view(spark, sf_dir).select(
+def _cleaned_csv(spark, sf_dir):
+    """The classic cleaner's ``(text, label)`` output written as CSV with a header, read back."""
+    v = SRC.labelled_tweets(spark, sf_dir).select(
         F.col("TweetText").alias("text"), label_replace("Polarity").cast("int").alias("label")
     )
-    path = SRC.scratch_path(spark, f"cleaned-{fmt}")
-    SRC.write_cleaned(df, path, fmt=fmt)
-    return SRC.scan_cleaned(spark, path, fmt=fmt)
+    path = SRC.scratch_path(spark, "cleaned-csv")
+    SRC.write_cleaned(classic.classic_dataset(v), path, fmt="csv")
+    return SRC.scan_cleaned(spark, path, fmt="csv")
 
 
 @register("sink_csv_cleaned", CLEANED_SQL)
 def sink_csv_cleaned(spark, sf_dir):
-    return _cleaned_roundtrip(spark, sf_dir, "csv")
+    return _cleaned_csv(spark, sf_dir)
 
 
-@register("scan_csv_header", CLEANED_SQL)
+@register("scan_csv_header", KEEP_SQL)
 def scan_csv_header(spark, sf_dir):
-    return _cleaned_roundtrip(spark, sf_dir, "parquet")
+    """``(text, label)`` of every tweet through a CSV file with a header (re-read by name)."""
+    df = SRC.tweet_view(spark, sf_dir).select(
+        F.col("TweetText").alias("text"), label_replace("Polarity").cast("int").alias("label")
+    )
+    path = SRC.scratch_path(spark, "keep-csv")
+    SRC.write_cleaned(df, path, fmt="csv")
+    return SRC.scan_cleaned(spark, path, fmt="csv")
 
 
 @register("rows_to_records", CLEANED_SQL)
 def rows_to_records(spark, sf_dir):
-    return _cleaned_roundtrip(spark, sf_dir, "csv").select("text", "label")
+    """Records ``{text, label}`` for a downstream trainer: a projection, no driver iteration."""
+    return _cleaned_csv(spark, sf_dir).select("text", "label")
 
 
 @register(
