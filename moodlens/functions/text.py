@@ -13,6 +13,7 @@ from typing import Iterable, Sequence
 import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
+from pyspark.sql.functions import posexplode_outer
 
 from .fixed import COMMON_HTML_ENTITIES, CONTRACTION_RULES
 
@@ -82,6 +83,18 @@ def keep_where(df, cond: Column):
     return df.select("*", gate.alias("_gate")).drop("_gate")
 
 
+def explode_rows(df, arr, out_col: str, keep=()):
+    """``explode(arr)`` as ``keep`` columns plus ``out_col``, without an inferred pre-filter.
+
+    For a plain ``explode`` Catalyst infers ``size(arr) > 0`` and pushes it through the projections
+    below with ``arr`` inlined, computing the array twice.  ``posexplode_outer`` gets no inferred
+    filter; dropping its NULL position afterwards gives exactly ``explode``'s rows (NULL elements
+    inside an array are kept).
+    """
+    g = df.select(*keep, posexplode_outer(arr).alias("_pos", out_col))
+    return g.filter(F.col("_pos").isNotNull()).drop("_pos")
+
+
 def null_safe(c, fn, empty=None) -> Column:
     """``fn(c)``, NULL (or ``empty``) when ``c`` is NULL; references ``c`` twice (see ``staged``)."""
     col = _col(c)

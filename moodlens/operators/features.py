@@ -12,7 +12,7 @@ import math
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..functions.text import ngrams_1_2
+from ..functions.text import explode_rows, ngrams_1_2
 
 
 def hash_bucket(key, buckets: int = 100) -> Column:
@@ -40,7 +40,7 @@ def doc_terms(df: DataFrame, doc_col: str, words_col: str, extra=()) -> DataFram
     task), then a shuffle of distinct pairs hashed on both keys, so one huge document is spread over
     many reducers instead of landing in one.
     """
-    grams = df.select(F.col(doc_col).alias("doc_id"), *extra, F.explode(ngrams_1_2(words_col)).alias("term"))
+    grams = explode_rows(df, ngrams_1_2(words_col), "term", keep=[F.col(doc_col).alias("doc_id"), *extra])
     return grams.groupBy("doc_id", "term", *extra).agg(F.count(F.lit(1)).alias("tf"))
 
 
