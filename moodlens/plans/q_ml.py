@@ -49,7 +49,7 @@ def _social_frame(spark, sf_dir, stem=True):
 def q_word2vec(spark, sf_dir):
     """Mean Word2Vec vector (100 dims, minCount 5) of each cleaned tweet, as an array."""
     t = materialize(_social_frame(spark, sf_dir))
-    model = FE.word2vec_embed(t, "tokens_cleaned", "features")
+    model = FE.word2vec_embed(t, "tokens_cleaned", "features", num_partitions=_w2v_partitions(spark))
     out = model.transform(t)
     return out.select("TweetID", F.size(ML.vector_to_array("features")).alias("dims"),
                       ML.vector_to_array("features").alias("features"))
@@ -63,6 +63,12 @@ def q_random_split(spark, sf_dir):
     return train.withColumn("split", F.lit("train")).unionByName(test.withColumn("split", F.lit("test")))
 
 
+def _w2v_partitions(spark):
+    # Word2Vec trains one model per partition and averages them; the scripts used one partition,
+    # which cannot scale.  Use the cluster's parallelism (results then depend on it).
+    return spark.sparkContext.defaultParallelism
+
+
 def _fit_predict(pipeline, frame, weights, seed=24):
     train, test = frame.randomSplit(list(weights), seed)
     model = pipeline.fit(train)
@@ -73,7 +79,7 @@ def _fit_predict(pipeline, frame, weights, seed=24):
 def q_mlp_ternary(spark, sf_dir):
     """Word2Vec + MLP [100, 64, 32, 3], 70/30 split seed 24 (MAIN)."""
     frame = materialize(_main_frame(spark, sf_dir))
-    _, pred = _fit_predict(ML.w2v_mlp("filtered_words", 3), frame, (0.7, 0.3))
+    _, pred = _fit_predict(ML.w2v_mlp("filtered_words", 3, w2v_partitions=_w2v_partitions(spark)), frame, (0.7, 0.3))
     return ML.probability_columns(pred).select("TweetID", "label", "probability", "prediction")
 
 
@@ -81,7 +87,7 @@ def q_mlp_ternary(spark, sf_dir):
 def q_mlp_binary(spark, sf_dir):
     """Social tokens + Word2Vec + MLP [100, 64, 32, 2], 80/20 split seed 24 (NLTK notebook)."""
     frame = materialize(_social_frame(spark, sf_dir))
-    _, pred = _fit_predict(ML.w2v_mlp("tokens_cleaned", 2), frame, (0.8, 0.2))
+    _, pred = _fit_predict(ML.w2v_mlp("tokens_cleaned", 2, w2v_partitions=_w2v_partitions(spark)), frame, (0.8, 0.2))
     return ML.probability_columns(pred).select("TweetID", "label", "probability", "prediction")
 
 
@@ -89,7 +95,7 @@ def q_mlp_binary(spark, sf_dir):
 def q_select_predictions(spark, sf_dir):
     """``TweetText, probability, prediction`` of the ternary model (MAIN's final show)."""
     frame = materialize(_main_frame(spark, sf_dir))
-    _, pred = _fit_predict(ML.w2v_mlp("filtered_words", 3), frame, (0.7, 0.3))
+    _, pred = _fit_predict(ML.w2v_mlp("filtered_words", 3, w2v_partitions=_w2v_partitions(spark)), frame, (0.7, 0.3))
     return ML.probability_columns(pred).select("TweetText", "probability", "prediction")
 
 
@@ -97,15 +103,15 @@ def q_select_predictions(spark, sf_dir):
 def q_mlp_metrics(spark, sf_dir):
     """Accuracy and weighted precision/recall/F1 of the binary MLP, in one aggregate."""
     frame = materialize(_social_frame(spark, sf_dir))
-    _, pred = _fit_predict(ML.w2v_mlp("tokens_cleaned", 2), frame, (0.8, 0.2))
+    _, pred = _fit_predict(ML.w2v_mlp("tokens_cleaned", 2, w2v_partitions=_w2v_partitions(spark)), frame, (0.8, 0.2))
     return M.summary_metrics(pred)
 
 
 @register("nb_on_embeddings")
 def q_nb_embeddings(spark, sf_dir):
-    """Word2Vec → MinMaxScaler → multinomial NB, 80/20 split (the NB script, made runnable)."""
+    """Word2Vec → Gaussian NB, 80/20 split (the NB script, made runnable)."""
     frame = materialize(_social_frame(spark, sf_dir))
-    _, pred = _fit_predict(ML.nb_on_embeddings("tokens_cleaned"), frame, (0.8, 0.2))
+    _, pred = _fit_predict(ML.nb_on_embeddings("tokens_cleaned", w2v_partitions=_w2v_partitions(spark)), frame, (0.8, 0.2))
     return pred.select("TweetID", "label", "prediction")
 
 

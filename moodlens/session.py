@@ -9,9 +9,9 @@ from __future__ import annotations
 
 import os
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark import StorageLevel
 
 
 def local_session(cores: int | str = "*", shuffle_partitions: int = 8, app: str = "moodlens") -> SparkSession:
@@ -51,13 +51,15 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
 def materialize(df: DataFrame) -> DataFrame:
     """Cut lineage before a result feeds several passes (model fits, metric sweeps).
 
-    A reliable checkpoint lives in the shared checkpoint folder, so losing an executor later
-    does not replay the text cleaning.  Without a checkpoint folder we fall back to a
-    disk-backed persist, which Spark recomputes from lineage on loss.
+    The rows are written once as a Parquet table under the session's shared checkpoint folder and
+    read back: one computation (``Dataset.checkpoint`` would compute an unpersisted plan twice, once
+    for its count and once for the files), a durable copy that survives executor loss without
+    replaying the text cleaning, and file statistics for the optimizer.
     """
     spark = df.sparkSession
-    if spark.sparkContext.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None):
-        if not spark.sparkContext.getCheckpointDir():
-            spark.sparkContext.setCheckpointDir(spark.conf.get("spark.checkpoint.dir"))
-        return df.checkpoint(eager=True)
-    return df.persist(StorageLevel.MEMORY_AND_DISK)
+    base = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
+    if not base:
+        base = ensure_checkpoint_dir(spark)
+    path = os.path.join(base, "moodlens-tables", uuid.uuid4().hex)
+    df.write.mode("overwrite").parquet(path)
+    return spark.read.parquet(path)
