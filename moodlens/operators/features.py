@@ -13,6 +13,8 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.text import explode_rows, ngrams_1_2
+from ..session import materialize
+from .sizing import broadcast_if_small
 
 
 def hash_bucket(key, buckets: int = 100) -> Column:
@@ -50,12 +52,29 @@ def term_stats(tf: DataFrame) -> DataFrame:
     return tf.groupBy("term").agg(F.count(F.lit(1)).alias("df"), F.sum("tf").alias("cf"))
 
 
+def top_k(df: DataFrame, k: int, count_col: str, tie_col: str) -> DataFrame:
+    """The ``k`` rows with the largest ``count_col``, ties by ``tie_col`` ascending (exact).
+
+    ``orderBy().limit(k)`` alone is a TakeOrdered: every task ships its own top ``k`` to one
+    reducer, so with k = 500 000 and a thousand tasks one task would read half a billion rows.
+    First the count at place ``k`` is found from the histogram of counts (one row per distinct
+    count value, a few thousand for word frequencies and never more than √(2·Σcount)), and rows
+    below it are dropped where they are; only the rows at or above that cut-off reach the final
+    top-k.  ``df`` is read twice, so pass a materialized table.
+    """
+    hist = df.groupBy(count_col).agg(F.count(F.lit(1)).alias("_n"))
+    w = Window.orderBy(F.desc(count_col)).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    cut = (hist.select(count_col, F.sum("_n").over(w).alias("_at_least"))
+           .filter(F.col("_at_least") >= k).agg(F.max(count_col).alias("cut")).first()["cut"])
+    cand = df if cut is None else df.filter(F.col(count_col) >= F.lit(cut))
+    return cand.orderBy(F.desc(count_col), F.asc(tie_col)).limit(k)
+
+
 def top_vocabulary(stats: DataFrame, max_features: int | None) -> DataFrame:
-    """The ``max_features`` most frequent terms (by ``cf``, ties by term): a top-k, merged from
-    per-task top-k lists (TakeOrdered), so only ``k`` rows per task ever move."""
+    """The ``max_features`` most frequent terms (by ``cf``, ties by term), see :func:`top_k`."""
     if max_features is None:
         return stats
-    return stats.orderBy(F.desc("cf"), F.asc("term")).limit(max_features)
+    return top_k(stats, max_features, "cf", "term")
 
 
 def idf_table(vocab: DataFrame, n_docs: int) -> DataFrame:
@@ -66,11 +85,11 @@ def idf_table(vocab: DataFrame, n_docs: int) -> DataFrame:
 def tfidf(tf: DataFrame, idf: DataFrame, bounded_vocab: bool) -> DataFrame:
     """``(doc_id, term, weight, …)``: tf × idf, L2-normalised per document.
 
-    The idf side is broadcast only when its size is bounded (``max_features`` set); otherwise the
-    join shuffles on ``term`` and AQE re-plans it at run time.  The norm is a per-document partial
+    The idf side is broadcast only when its row count is capped (``max_features`` set) and its
+    measured size is small; otherwise the join shuffles on ``term`` and AQE re-plans it at run time.  The norm is a per-document partial
     aggregate joined back on ``doc_id`` (AQE splits a skewed document's partition).
     """
-    side = F.broadcast(idf) if bounded_vocab else idf
+    side = broadcast_if_small(idf) if bounded_vocab else idf
     w = tf.join(side.select("term", "idf"), "term").withColumn("w", F.col("tf") * F.col("idf"))
     norms = w.groupBy("doc_id").agg(F.sqrt(F.sum(F.col("w") * F.col("w"))).alias("norm"))
     return w.join(norms, "doc_id").withColumn("weight", F.col("w") / F.col("norm")).drop("w", "norm")
@@ -82,8 +101,10 @@ class TfidfFit:
     def __init__(self, tf: DataFrame, max_features: int | None = 500_000):
         train = tf.filter("is_train")
         self.n_docs = train.select("doc_id").distinct().count()
-        stats = term_stats(train)
-        self.vocab = top_vocabulary(stats, max_features)
+        # Statistics feed the cut-off histogram and the top-k; the vocabulary feeds a size check,
+        # the vocabulary count and every transform: each is written once, not recomputed.
+        stats = materialize(term_stats(train)) if max_features is not None else term_stats(train)
+        self.vocab = materialize(top_vocabulary(stats, max_features))
         self.bounded = max_features is not None
         self.idf = idf_table(self.vocab, self.n_docs)
 
@@ -113,10 +134,14 @@ def vocabulary_ids(tokens_df: DataFrame, doc_col: str, tokens_col: str, vocab_si
     bounded broadcast side.  Tokens are re-gathered per document in their original order.
     """
     exploded = tokens_df.select(F.col(doc_col).alias("doc_id"), F.posexplode(tokens_col).alias("pos", "term"))
-    counts = exploded.groupBy("term").agg(F.count(F.lit(1)).alias("cnt"))
-    top = counts.orderBy(F.desc("cnt"), F.asc("term")).limit(vocab_size)
-    ranked = top.withColumn("id", (F.row_number().over(Window.orderBy(F.desc("cnt"), F.asc("term"))) + 1).cast("int"))
-    ids = exploded.join(F.broadcast(ranked.select("term", "id")), "term", "left").select(
+    counts = materialize(exploded.groupBy("term").agg(F.count(F.lit(1)).alias("cnt")))
+    top = top_k(counts, vocab_size, "cnt", "term")
+    # At most ``vocab_size`` rows: numbering them in one ordered window is bounded work.
+    ranked = materialize(
+        top.withColumn("id", (F.row_number().over(Window.orderBy(F.desc("cnt"), F.asc("term"))) + 1).cast("int"))
+        .select("term", "id")
+    )
+    ids = exploded.join(broadcast_if_small(ranked), "term", "left").select(
         "doc_id", "pos", F.coalesce("id", F.lit(1)).alias("id")
     )
     gathered = ids.groupBy("doc_id").agg(F.array_sort(F.collect_list(F.struct("pos", "id"))).alias("p"))

@@ -1,8 +1,8 @@
 """Lexicon lookups as joins, for lexicons too large to inline as literals.
 
 Tokens are exploded with their position, joined to the lexicon, and gathered back per document in
-order.  The lexicon is broadcast only after its row count is checked against a bound; larger ones
-take a shuffle join (AQE splits hot tokens' partitions).  A document is one row before and after,
+order.  The lexicon is broadcast only after its rows and bytes are measured against bounds; larger
+ones take a shuffle join (AQE splits hot tokens' partitions).  A document is one row before and after,
 so re-gathering never builds a group larger than an input row.
 """
 
@@ -12,13 +12,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.text import split_words
-
-MAX_BROADCAST_ROWS = 2_000_000
-
-
-def _maybe_broadcast(df: DataFrame, max_rows: int = MAX_BROADCAST_ROWS) -> DataFrame:
-    n = df.limit(max_rows + 1).count()
-    return F.broadcast(df) if n <= max_rows else df
+from .sizing import broadcast_if_small
 
 
 def _explode(df: DataFrame, id_col: str, tokens_col: str) -> DataFrame:
@@ -38,7 +32,7 @@ def lexicon_lookup_join(df: DataFrame, id_col: str, tokens_col: str, lexicon: Da
                         resplit: bool = True) -> DataFrame:
     """``(id, out)``: each token replaced by its lexicon value (``key → value``), multi-word values
     split into several tokens."""
-    lex = _maybe_broadcast(lexicon.select(F.col("key").alias("_tok"), F.col("value").alias("_val")).dropDuplicates(["_tok"]))
+    lex = broadcast_if_small(lexicon.select(F.col("key").alias("_tok"), F.col("value").alias("_val")).dropDuplicates(["_tok"]))
     ex = _explode(df, id_col, tokens_col)
     j = ex.join(lex, "_tok", "left")
     val = F.coalesce("_val", "_tok")
@@ -48,7 +42,7 @@ def lexicon_lookup_join(df: DataFrame, id_col: str, tokens_col: str, lexicon: Da
 
 def stopword_anti_join(df: DataFrame, id_col: str, tokens_col: str, stopwords: DataFrame, out_col: str = "tokens") -> DataFrame:
     """``(id, out)``: tokens not in the stop-word table (``word``), order kept (left anti join)."""
-    stop = _maybe_broadcast(stopwords.select(F.col("word").alias("_tok")).distinct())
+    stop = broadcast_if_small(stopwords.select(F.col("word").alias("_tok")).distinct())
     ex = _explode(df, id_col, tokens_col)
     present = ex.filter(F.col("_pos").isNotNull())
     kept = present.join(stop, "_tok", "left_anti")

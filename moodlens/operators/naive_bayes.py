@@ -15,6 +15,9 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..session import materialize
+from .sizing import broadcast_if_small
+
 MAX_CLASSES = 1000
 
 
@@ -43,7 +46,7 @@ class NaiveBayesModel:
     bounded: bool
 
     def _per_doc(self, features: DataFrame) -> DataFrame:
-        side = F.broadcast(self.term_stats) if self.bounded else self.term_stats
+        side = broadcast_if_small(self.term_stats) if self.bounded else self.term_stats
         j = features.join(side, "term")
         lam = self.smoothing
         aggs = []
@@ -97,7 +100,9 @@ def fit_naive_bayes(features: DataFrame, docs: DataFrame, label_col: str = "labe
     elif kind != "multinomial":
         raise ValueError(kind)
     per_class_term = feats.groupBy("term").pivot("label", labs).agg(F.sum("x"))
-    term_stats = per_class_term.toDF("term", *[f"s_{i}" for i in range(len(labs))])
+    # The model table (one row per term) is read by the constants below, the size check and every
+    # scoring pass: written once.
+    term_stats = materialize(per_class_term.toDF("term", *[f"s_{i}" for i in range(len(labs))]))
     if vocab_size is None:
         vocab_size = features.select("term").distinct().count()
     consts = {}

@@ -59,7 +59,8 @@ def classic_job(spark: SparkSession, sf_dir: str, max_features: int | None = MAX
     # lineage once each, in the session's checkpoint folder, so neither the cleaning nor the
     # TF-IDF joins are recomputed, and a lost executor does not replay them.
     corpus = materialize(classic_corpus(spark, sf_dir))
-    tf = FE.doc_terms(corpus, "doc_id", "words", extra=("is_train",))
+    # (doc, term) counts feed the document count, the term statistics and the features: one shuffle.
+    tf = materialize(FE.doc_terms(corpus, "doc_id", "words", extra=("is_train",)))
     fit = FE.TfidfFit(tf, max_features)
     features = materialize(fit.transform(tf).select("doc_id", "term", "is_train", F.col("weight").alias("x")))
     return ClassicJob(corpus, tf, fit, features)
