@@ -8,6 +8,8 @@ the join shuffles on its key (AQE may still pick a broadcast at run time from re
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, BinaryType, StringType
@@ -46,3 +48,23 @@ def is_small(df: DataFrame, max_rows: int = MAX_BROADCAST_ROWS, max_bytes: int =
 def broadcast_if_small(df: DataFrame, max_rows: int = MAX_BROADCAST_ROWS,
                        max_bytes: int = MAX_BROADCAST_BYTES) -> DataFrame:
     return F.broadcast(df) if is_small(df, max_rows, max_bytes) else df
+
+
+TARGET_PARTITION_BYTES = 128 * 1024 * 1024
+
+
+def total_bytes(df: DataFrame) -> int:
+    """Estimated bytes of all rows (strings and string arrays by length; other columns 8 bytes)."""
+    return int(df.agg(F.sum(_row_bytes(df)).alias("b")).first()["b"] or 0)
+
+
+def fit_partitions(df: DataFrame, est_bytes: int, target: int = TARGET_PARTITION_BYTES) -> DataFrame:
+    """About one partition per ``target`` bytes for the input of an iterative fit.
+
+    L-BFGS and similar fits run one Spark job per iteration, and each pays per-stage and per-task
+    costs: a small input spread over many tiny partitions spends most of its time scheduling (and
+    its tree aggregation adds a stage).  This only ever lowers the partition count, without a
+    shuffle; a large input keeps its splits.
+    """
+    want = max(1, math.ceil(est_bytes / target))
+    return df.coalesce(want) if want < df.rdd.getNumPartitions() else df

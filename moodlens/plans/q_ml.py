@@ -11,6 +11,7 @@ from ..functions.labels import label_binary, label_ternary
 from ..operators import features as FE
 from ..operators import metrics as M
 from ..operators import ml as ML
+from ..operators import sizing
 from ..operators.stem import stem_tokens
 from ..session import materialize
 from ..sources import tweets as SRC
@@ -48,7 +49,7 @@ def _social_frame(spark, sf_dir, stem=True):
 @register("word2vec_embed")
 def q_word2vec(spark, sf_dir):
     """Mean Word2Vec vector (100 dims, minCount 5) of each cleaned tweet, as an array."""
-    t = materialize(_social_frame(spark, sf_dir))
+    t = _fit_frame(_social_frame(spark, sf_dir))
     model = FE.word2vec_embed(t, "tokens_cleaned", "features", num_partitions=_w2v_partitions(spark))
     out = model.transform(t)
     return out.select("TweetID", F.size(ML.vector_to_array("features")).alias("dims"),
@@ -63,6 +64,12 @@ def q_random_split(spark, sf_dir):
     return train.withColumn("split", F.lit("train")).unionByName(test.withColumn("split", F.lit("test")))
 
 
+def _fit_frame(frame):
+    """Materialize a model input and size its partitions to its bytes (see ``sizing.fit_partitions``)."""
+    frame = materialize(frame)
+    return sizing.fit_partitions(frame, sizing.total_bytes(frame))
+
+
 def _w2v_partitions(spark):
     # Word2Vec trains one model per partition and averages them; the scripts used one partition,
     # which cannot scale.  Use the cluster's parallelism (results then depend on it).
@@ -78,7 +85,7 @@ def _fit_predict(pipeline, frame, weights, seed=24):
 @register("mlp_ternary")
 def q_mlp_ternary(spark, sf_dir):
     """Word2Vec + MLP [100, 64, 32, 3], 70/30 split seed 24 (MAIN)."""
-    frame = materialize(_main_frame(spark, sf_dir))
+    frame = _fit_frame(_main_frame(spark, sf_dir))
     _, pred = _fit_predict(ML.w2v_mlp("filtered_words", 3, w2v_partitions=_w2v_partitions(spark)), frame, (0.7, 0.3))
     return ML.probability_columns(pred).select("TweetID", "label", "probability", "prediction")
 
@@ -86,7 +93,7 @@ def q_mlp_ternary(spark, sf_dir):
 @register("mlp_binary")
 def q_mlp_binary(spark, sf_dir):
     """Social tokens + Word2Vec + MLP [100, 64, 32, 2], 80/20 split seed 24 (NLTK notebook)."""
-    frame = materialize(_social_frame(spark, sf_dir))
+    frame = _fit_frame(_social_frame(spark, sf_dir))
     _, pred = _fit_predict(ML.w2v_mlp("tokens_cleaned", 2, w2v_partitions=_w2v_partitions(spark)), frame, (0.8, 0.2))
     return ML.probability_columns(pred).select("TweetID", "label", "probability", "prediction")
 
@@ -94,7 +101,7 @@ def q_mlp_binary(spark, sf_dir):
 @register("select_predictions")
 def q_select_predictions(spark, sf_dir):
     """``TweetText, probability, prediction`` of the ternary model (MAIN's final show)."""
-    frame = materialize(_main_frame(spark, sf_dir))
+    frame = _fit_frame(_main_frame(spark, sf_dir))
     _, pred = _fit_predict(ML.w2v_mlp("filtered_words", 3, w2v_partitions=_w2v_partitions(spark)), frame, (0.7, 0.3))
     return ML.probability_columns(pred).select("TweetText", "probability", "prediction")
 
@@ -102,7 +109,7 @@ def q_select_predictions(spark, sf_dir):
 @register("mlp_metrics")
 def q_mlp_metrics(spark, sf_dir):
     """Accuracy and weighted precision/recall/F1 of the binary MLP, in one aggregate."""
-    frame = materialize(_social_frame(spark, sf_dir))
+    frame = _fit_frame(_social_frame(spark, sf_dir))
     _, pred = _fit_predict(ML.w2v_mlp("tokens_cleaned", 2, w2v_partitions=_w2v_partitions(spark)), frame, (0.8, 0.2))
     return M.summary_metrics(pred)
 
@@ -110,7 +117,7 @@ def q_mlp_metrics(spark, sf_dir):
 @register("nb_on_embeddings")
 def q_nb_embeddings(spark, sf_dir):
     """Word2Vec → Gaussian NB, 80/20 split (the NB script, made runnable)."""
-    frame = materialize(_social_frame(spark, sf_dir))
+    frame = _fit_frame(_social_frame(spark, sf_dir))
     _, pred = _fit_predict(ML.nb_on_embeddings("tokens_cleaned", w2v_partitions=_w2v_partitions(spark)), frame, (0.8, 0.2))
     return pred.select("TweetID", "label", "prediction")
 
@@ -118,6 +125,8 @@ def q_nb_embeddings(spark, sf_dir):
 def _vector_job(spark, sf_dir, max_features=500_000):
     job = classic_job(spark, sf_dir, max_features)
     vec = materialize(ML.tfidf_vectors(job.corpus, job.fit.idf))
+    # Sparse vectors: about 12 bytes per non-zero (index and value) plus a row overhead.
+    vec = sizing.fit_partitions(vec, 12 * job.features.count() + 64 * job.corpus.count())
     train = vec.filter("is_train").withColumn("label", F.col("label").cast("double"))
     test = vec.filter("not is_train").withColumn("label", F.col("label").cast("double"))
     return job, train, test

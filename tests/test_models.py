@@ -90,8 +90,10 @@ def job_predictions(spark):
 
 
 def test_vector_tfidf_equals_relational(spark, job):
-    vec = ML.tfidf_vectors(job.corpus, job.fit.idf)
-    terms = sorted(r["term"] for r in job.fit.idf.select("term").collect())
+    model = ML.tfidf_vectorizer(job.fit.idf)
+    vec = ML.tfidf_vectors(job.corpus, job.fit.idf, model=model)
+    terms = model.stages[0].vocabulary
+    assert sorted(terms) == sorted(r["term"] for r in job.fit.idf.select("term").collect())
     dense = vec.select("doc_id", vector_to_array("features").alias("v")).collect()
     by_doc = {r["doc_id"]: r["v"] for r in dense}
     rel = job.features.collect()
