@@ -38,3 +38,17 @@ def test_broadcast_guard_rows_and_bytes(spark):
     assert n == 100 and b >= 100 * 1000
     assert not sizing.is_small(wide, max_bytes=50_000)
     assert sizing.is_small(wide, max_bytes=10_000_000)
+
+
+def test_fit_partitions_only_lowers(spark):
+    df = spark.range(1000).repartition(8)
+    assert sizing.fit_partitions(df, 10_000).rdd.getNumPartitions() == 1
+    assert sizing.fit_partitions(df, 3 * sizing.TARGET_PARTITION_BYTES).rdd.getNumPartitions() == 3
+    assert sizing.fit_partitions(df, 100 * sizing.TARGET_PARTITION_BYTES).rdd.getNumPartitions() == 8
+    assert sizing.fit_partitions(df, 10_000).count() == 1000
+
+
+def test_total_bytes_counts_strings(spark):
+    df = spark.createDataFrame([("abc", ["de", "f"]), (None, None)], "s string, a array<string>")
+    # "abc" + 8, plus array "def" + 2 * 8 + 16; the null row counts the fixed overheads only.
+    assert sizing.total_bytes(df) == (3 + 8) + (3 + 16 + 16) + 8 + 16
