@@ -31,14 +31,14 @@ def q_argmax(spark, sf_dir):
 
 
 def _main_frame(spark, sf_dir):
-    """MAIN script input: labelled tweets, Tokenizer + StopWordsRemover, ternary label."""
+    """Ternary-model input: labelled tweets, Tokenizer + StopWordsRemover, ternary label."""
     v = SRC.labelled_tweets(spark, sf_dir).select("TweetID", "TweetText", label_ternary("Polarity").alias("label"))
     stages = ML.tokens_stopwords_stages("TweetText")
     return Pipeline(stages=stages).fit(v).transform(v)
 
 
 def _social_frame(spark, sf_dir, stem=True):
-    """NLTK script input: social tokens (stemmed), binary label."""
+    """Binary-model input: social tokens (stemmed), binary label."""
     v = SRC.labelled_tweets(spark, sf_dir).select("TweetID", "TweetText", label_binary("Polarity").alias("label"))
     t = social.social_tokens_df(v, "TweetText", "tokens_cleaned", keep=["TweetID", "TweetText", "label"])
     if stem:
@@ -84,7 +84,7 @@ def _fit_predict(pipeline, frame, weights, seed=24):
 
 @register("mlp_ternary")
 def q_mlp_ternary(spark, sf_dir):
-    """Word2Vec + MLP [100, 64, 32, 3], 70/30 split seed 24 (MAIN)."""
+    """Word2Vec + MLP [100, 64, 32, 3], 70/30 split seed 24."""
     frame = _fit_frame(_main_frame(spark, sf_dir))
     _, pred = _fit_predict(ML.w2v_mlp("filtered_words", 3, w2v_partitions=_w2v_partitions(spark)), frame, (0.7, 0.3))
     return ML.probability_columns(pred).select("TweetID", "label", "probability", "prediction")
@@ -92,7 +92,7 @@ def q_mlp_ternary(spark, sf_dir):
 
 @register("mlp_binary")
 def q_mlp_binary(spark, sf_dir):
-    """Social tokens + Word2Vec + MLP [100, 64, 32, 2], 80/20 split seed 24 (NLTK notebook)."""
+    """Social tokens + Word2Vec + MLP [100, 64, 32, 2], 80/20 split seed 24."""
     frame = _fit_frame(_social_frame(spark, sf_dir))
     _, pred = _fit_predict(ML.w2v_mlp("tokens_cleaned", 2, w2v_partitions=_w2v_partitions(spark)), frame, (0.8, 0.2))
     return ML.probability_columns(pred).select("TweetID", "label", "probability", "prediction")
@@ -100,7 +100,7 @@ def q_mlp_binary(spark, sf_dir):
 
 @register("select_predictions")
 def q_select_predictions(spark, sf_dir):
-    """``TweetText, probability, prediction`` of the ternary model (MAIN's final show)."""
+    """``TweetText, probability, prediction`` of the ternary model."""
     frame = _fit_frame(_main_frame(spark, sf_dir))
     _, pred = _fit_predict(ML.w2v_mlp("filtered_words", 3, w2v_partitions=_w2v_partitions(spark)), frame, (0.7, 0.3))
     return ML.probability_columns(pred).select("TweetText", "probability", "prediction")
