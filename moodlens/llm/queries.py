@@ -7,6 +7,9 @@ from typing import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from ..sources.tables import read_table
+from . import exact_dedup as exact
+from .bpe import encode_decode
+from .packing import pack
 from .substring_dedup import substring_dedup
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -18,6 +21,31 @@ def query(fn):
     return fn
 
 
+def vocabulary() -> str:
+    """The vocabulary file of the public tokenizers package, at one place on all workers."""
+    import public_tokenizers
+
+    return public_tokenizers.path("word_bpe_49k.json")
+
+
 @query
 def op1_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return substring_dedup(read_table(spark, sf_dir, "documents"), window=20, with_text=False).drop("kept_text")
+
+
+@query
+def op3_harmonic_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pack(read_table(spark, sf_dir, "documents"), vocabulary(), capacity=2048)
+
+
+@query
+def op4_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return exact.exact_dedup(read_table(spark, sf_dir, "documents"))
+
+
+ORACLES["op4_exact_dedup"] = exact.ORACLE_SQL
+
+
+@query
+def op5_bpe_encode_decode(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return encode_decode(read_table(spark, sf_dir, "documents"), vocabulary(), with_ids=False)
