@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from ..sources.tables import read_table
 from . import exact_dedup as exact
+from . import warc
 from .bpe import encode_decode
 from .packing import pack
 from .substring_dedup import substring_dedup
@@ -49,3 +50,11 @@ ORACLES["op4_exact_dedup"] = exact.ORACLE_SQL
 @query
 def op5_bpe_encode_decode(spark: SparkSession, sf_dir: str) -> DataFrame:
     return encode_decode(read_table(spark, sf_dir, "documents"), vocabulary(), with_ids=False)
+
+
+@query
+def op9_warc_archive(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return warc.archive_round_trip(read_table(spark, sf_dir, "pages"), min_bytes=0)
+
+
+ORACLES["op9_warc_archive"] = warc.ORACLE_SQL
