@@ -9,7 +9,10 @@ from pyspark.sql import DataFrame, SparkSession
 from ..sources.tables import read_table
 from . import exact_dedup as exact
 from . import warc
+from .ann import nearest
 from .bpe import encode_decode
+from .html_text import main_text
+from .minhash import near_duplicates
 from .packing import pack
 from .substring_dedup import substring_dedup
 
@@ -58,3 +61,18 @@ def op9_warc_archive(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 ORACLES["op9_warc_archive"] = warc.ORACLE_SQL
+
+
+@query
+def op8_nearest_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return nearest(read_table(spark, sf_dir, "embeddings"), every=50, k=5)
+
+
+@query
+def op6_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_duplicates(read_table(spark, sf_dir, "documents"), percent=75)
+
+
+@query
+def op7_html_main_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return main_text(read_table(spark, sf_dir, "pages"))
