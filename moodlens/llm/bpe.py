@@ -2,10 +2,10 @@
 
 The words of a batch are sorted, which is the depth-first order of their trie: the path of the current
 word is a stack with one state per byte, and the next word keeps the states of the prefix it shares.  The
-state of a prefix is the *last token* of its encoding.  A token t that ends the prefix p is its last token
-exactly if t may follow the last token of p without t; a word's encoding is read backwards along the
-states.  "May follow" means that the merges across the border of two tokens never come before the merges
-inside them.
+state of a prefix is the *last token* of its encoding, kept with the encoding itself.  A token t that ends
+the prefix p is its last token exactly if t may follow the last token of p without t, so each state of a
+path follows from earlier ones.  "May follow" means that the merges across the border of two tokens never
+come before the merges inside them.
 
 Words of ``word_bpe_49k.json``: text between special tokens, NFC, lower case, split by the file's
 pattern; a word's last byte carries the end mark ``</w>``.
@@ -18,14 +18,16 @@ import json
 import unicodedata
 from array import array
 
+import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import regex
 from pyspark.sql import functions as F
 
 SPACE = "\\x09-\\x0d\\x20\\x85\\xa0\\u1680\\u2000-\\u200a\\u2028\\u2029\\u202f\\u205f\\u3000"
 #: Fixed: the pattern of the vocabulary file.
 WORDS = regex.compile(f"'s|'t|'re|'ve|'m|'ll|'d|[\\p{{L}}]+|[\\p{{N}}]|[^{SPACE}\\p{{L}}\\p{{N}}]+")
-CACHE = 300_000  # words (and as many blank-separated strings) whose encodings a worker keeps
+CACHE = 600_000  # words (and as many blank-separated strings) whose encodings a worker keeps
 BLANKS = regex.compile(f"[{SPACE}]+")
 ODD = regex.compile("[\x1c-\x1f]")
 PIECE = 1 << 20  # characters of a text that are split into words at once
@@ -50,12 +52,10 @@ class WordBpe:
         self.strings = {i: t for t, i in [*model["vocab"].items(), *self.special.items()]}
         byte_of = {c: b for b, c in enumerate(byte_chars())}
         self.vocab: tuple[dict[bytes, int], dict[bytes, int]] = ({}, {})  # inside a word; at its end
-        self.size: dict[int, int] = {}
         for t, i in model["vocab"].items():
             closed = t.endswith(end) and len(t) > len(end)
             raw = bytes(byte_of[c] for c in (t[: -len(end)] if closed else t))
             self.vocab[closed][raw] = i
-            self.size[i] = len(raw)
         self.rank: dict[tuple[int, int], int] = {}
         self.parts: dict[int, tuple[int, int, int]] = {}
         ids = model["vocab"]
@@ -66,10 +66,11 @@ class WordBpe:
         self._follow: dict[int, bool] = {}
         self._real: dict[int, bool] = {}
         self.vocab = tuple({raw: t for raw, t in v.items() if self.real(t)} for v in self.vocab)
-        self.longest = [0] * 256  # by last byte
-        for raw in self.vocab[0]:
-            self.longest[raw[-1]] = max(self.longest[raw[-1]], len(raw))
-        self.longest_end = max(map(len, self.vocab[1]))
+        self.longest, self.longest_end = [0] * 256, [0] * 256  # by last byte
+        for longest, vocab in zip((self.longest, self.longest_end), self.vocab):
+            for raw in vocab:
+                longest[raw[-1]] = max(longest[raw[-1]], len(raw))
+        self.raw_id = {t: array("I", [t]).tobytes() for v in self.vocab for t in v.values()}
         self.cache: dict[str, bytes] = {}
         self.strings_seen: dict[str, bytes] = {}
 
@@ -140,15 +141,19 @@ class WordBpe:
     def learn(self, words: set[str]) -> None:
         """Encode words by a walk over their trie, into the cache."""
         inner, closing = self.vocab
-        size, follow, follows, longest, cache = self.size, self._follow, self.follows, self.longest, self.cache
-        path, last = b"", [0]  # last[d]: the last token of the first d bytes of the path
-        for raw, word in sorted((w.encode("utf-8"), w) for w in words):
+        raw_id, follow, follows, longest, longest_end, cache = self.raw_id, self._follow, self.follows, self.longest, self.longest_end, self.cache
+        path, last, done = b"", [0], [b""]  # of the first d bytes of the path: the last token, the encoding
+        for word in sorted(words):  # the order of code points is that of UTF-8 bytes
+            raw = word.encode()
             n = len(raw)
-            shared, limit = 0, min(n - 1, len(last) - 1)
-            while shared < limit and path[shared] == raw[shared]:
+            shared = 0
+            for x, y in zip(path, raw):
+                if x != y:
+                    break
                 shared += 1
-            del last[shared + 1 :]
-            for d in range(shared + 1, n):
+            shared = min(shared, n - 1)
+            del last[shared + 1 :], done[shared + 1 :]
+            for d in range(len(last), n):
                 for k in range(min(d, longest[raw[d - 1]]), 0, -1):
                     t = inner.get(raw[d - k : d])
                     if t is not None:
@@ -157,18 +162,18 @@ class WordBpe:
                             if not (follows(last[d - k], t) if ok is None else ok):
                                 continue
                         last.append(t)
+                        done.append(done[d - k] + raw_id[t])
                         break
             path = raw
-            for k in range(min(n, self.longest_end), 0, -1):
+            for k in range(min(n, longest_end[raw[n - 1]]), 0, -1):
                 t = closing.get(raw[n - k :])
-                if t is not None and (k == n or follows(last[n - k], t)):
+                if t is not None:
+                    if k < n:
+                        ok = follow.get(last[n - k] << 32 | t)
+                        if not (follows(last[n - k], t) if ok is None else ok):
+                            continue
+                    cache[word] = done[n - k] + raw_id[t]
                     break
-            back, d = [t], n - k
-            while d:
-                t = last[d]
-                back.append(t)
-                d -= size[t]
-            cache[word] = array("I", back[::-1]).tobytes()
 
     def parts_of(self, text: str):
         """Lists of blank-separated strings of bounded size, and the ids of special tokens between them (as bytes)."""
@@ -192,25 +197,25 @@ class WordBpe:
             # split() also cuts at 0x1C-0x1F, which are no blanks of the vocabulary's pattern
             yield BLANKS.split(part) if ODD.search(part) else part.split()
 
+    def encode_all(self, texts: list[str | None]) -> list[bytes]:
+        """Ids of each text as little-endian unsigned 32-bit numbers.  The new words of all texts are learnt
+        together: the more words a trie holds, the more prefixes they share."""
+        strings, cache = self.strings_seen, self.cache
+        split = [list(self.parts_of(t or "")) for t in texts]
+        if len(strings) > CACHE:
+            strings.clear()
+        new = set().union(*(p for ps in split for p in ps if isinstance(p, list))).difference(strings)
+        if new:
+            words = {s: (s,) if s.isalpha() else (s[:-1], s[-1]) if s[-1:] in ".," and s[:-1].isalpha() else WORDS.findall(s) for s in new}
+            if len(cache) > CACHE:
+                cache.clear()
+            self.learn({w for ws in words.values() for w in ws}.difference(cache))
+            for s, ws in words.items():
+                strings[s] = cache[ws[0]] if len(ws) == 1 else b"".join([cache[w] for w in ws])
+        return [b"".join([p if isinstance(p, bytes) else b"".join(map(strings.__getitem__, p)) for p in ps]) for ps in split]
+
     def encode(self, text: str | None) -> bytes:
-        """Ids of a text as little-endian unsigned 32-bit numbers."""
-        out, strings = [], self.strings_seen
-        for part in self.parts_of(text or ""):
-            if isinstance(part, bytes):
-                out.append(part)
-                continue
-            if len(strings) > CACHE:
-                strings.clear()
-            new = set(part).difference(strings)
-            if new:
-                split = {s: WORDS.findall(s) for s in new}
-                if len(self.cache) > CACHE:
-                    self.cache.clear()
-                self.learn({w for ws in split.values() for w in ws}.difference(self.cache))
-                for s, ws in split.items():
-                    strings[s] = b"".join(map(self.cache.__getitem__, ws))
-            out.append(b"".join(map(strings.__getitem__, part)))
-        return b"".join(out)
+        return self.encode_all([text])[0]
 
     def decode(self, ids: bytes) -> str:
         """The tokens' strings joined by a blank: the file names no decoder."""
@@ -246,22 +251,24 @@ def encode_decode(docs, path: str, with_ids: bool = True):
         for batch in batches:
             for piece in slices(batch):
                 rows = []
-                for doc, text in zip(piece.column("doc_id").to_pylist(), piece.column("text").to_pylist()):
-                    ids = bpe.encode(text)
+                for doc, ids in zip(piece.column("doc_id").to_pylist(), bpe.encode_all(piece.column("text").to_pylist())):
                     decoded = bpe.decode(ids)
                     raw = decoded.encode()
                     rows.append((doc, len(ids) // 4, hashlib.sha256(ids).hexdigest(), hashlib.sha256(raw).hexdigest(), ids, decoded)[: len(names)])
-                if rows:
-                    yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows), kinds)], schema=schema)
+                yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows), kinds)], schema=schema)
 
     ddl = "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string" + ", ids binary, decoded string" * with_ids
     return _columns(docs).mapInArrow(run, ddl)
 
 
-def slices(batch: pa.RecordBatch, rows: int = 256):
-    """Parts of an Arrow batch, so that what a step makes of its rows stays small."""
-    for i in range(0, batch.num_rows, rows):
-        yield batch.slice(i, rows)
+def slices(batch: pa.RecordBatch, column: str = "text", size: int = 4 << 20):
+    """Slices of a batch with about ``size`` bytes in ``column`` (at least one row each), so that what a step
+    makes of its rows stays small."""
+    col = pc.fill_null(pc.binary_length(batch.column(column)), 0).to_numpy()
+    group = np.cumsum(col, dtype=np.int64) // size
+    cut = np.flatnonzero(np.append(True, group[1:] != group[:-1])) if len(group) else np.zeros(0, np.int64)
+    for a, b in zip(cut, np.append(cut[1:], len(group))):
+        yield batch.slice(int(a), int(b - a))
 
 
 def _columns(docs):

@@ -27,6 +27,7 @@ from pyspark.sql import functions as F
 
 from ..session import ensure_checkpoint_dir
 from . import words as W
+from .bpe import slices
 from .components import connected_components
 
 U = np.uint64
@@ -83,18 +84,9 @@ def set_prints(grams: np.ndarray, off: np.ndarray) -> tuple[np.ndarray, np.ndarr
     return out[0], out[1]
 
 
-def parts(batch: pa.RecordBatch):
-    """Slices of a batch with about PART_BYTES of text (at least one row each)."""
-    sizes = np.diff(W.text_bytes(batch.column("text"))[1])
-    group = np.cumsum(sizes) // PART_BYTES
-    cut = np.flatnonzero(np.append(True, group[1:] != group[:-1])) if len(group) else np.zeros(0, np.int64)
-    for a, b in zip(cut, np.append(cut[1:], len(group))):
-        yield batch.slice(int(a), int(b - a))
-
-
 def _sketch_batches(batches):
     for batch in batches:
-        for part in parts(batch):
+        for part in slices(batch, size=PART_BYTES):
             grams, off = shingle_sets(part.column("text"))
             p1, p2 = set_prints(grams, off)
             s = sketches(grams, off).reshape(-1, BANDS, ROWS)
@@ -108,7 +100,7 @@ def _sketch_batches(batches):
 
 def _set_batches(batches):
     for batch in batches:
-        for part in parts(batch):
+        for part in slices(batch, size=PART_BYTES):
             grams, off = shingle_sets(part.column("text"))
             p1, p2 = set_prints(grams, off)
             mine = (p1 == part.column("p1").to_numpy()) & (p2 == part.column("p2").to_numpy())  # else another row of that doc_id

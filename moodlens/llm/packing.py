@@ -68,16 +68,15 @@ def _cut_batches(path: str, capacity: int, with_ids: bool):
         for batch in batches:
             for part in slices(batch):
                 rows = []
-                for doc, text in zip(part.column("doc_id").to_pylist(), part.column("text").to_pylist()):
-                    ids = bpe.encode(text) + end
+                for doc, ids in zip(part.column("doc_id").to_pylist(), bpe.encode_all(part.column("text").to_pylist())):
+                    ids += end
                     n, at = len(ids) // 4, 0
                     for size in cut(n, sizes):
                         k, piece = count_of[size], ids[4 * at : 4 * (at + size)]
                         rows.append((task, k, seen[k], doc, at, size, zlib.crc32(piece), n, piece if with_ids else None))
                         seen[k] += 1
                         at += size
-                if rows:
-                    yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows), kinds)], names=names)
+                yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows), kinds)], names=names)
 
     return run
 
