@@ -1,4 +1,7 @@
-"""Corpus pipeline: five stages, each written as Parquet and read again as the next one's documents."""
+"""Corpus pipeline: five stages, each written as Parquet and read again as the next one's documents.
+
+Every stage but the last returns the columns of ``documents``; the last returns the packed pieces.
+"""
 
 from __future__ import annotations
 
@@ -6,18 +9,83 @@ import os
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
+from moodlens.llm.crf import score, train
+from moodlens.llm.exact_dedup import exact_dedup, lower_ascii
+from moodlens.llm.minhash import near_duplicates
+from moodlens.llm.packing import pack
+from moodlens.llm.queries import vocabulary
+from moodlens.llm.substring_dedup import substring_dedup
 from moodlens.session import ensure_checkpoint_dir
+from moodlens.sources.tables import read_table
+
+
+def _carried(made: DataFrame, docs: DataFrame, **changed) -> DataFrame:
+    """The columns of ``docs`` from an operator's carried ones, some of them changed."""
+    return made.select(*[changed.get(c, F.col(f"carried_{i}")).alias(c) for i, c in enumerate(docs.columns)])
+
+
+def _without(docs: DataFrame, decided: DataFrame) -> DataFrame:
+    """Documents less those of whose rows ``decided`` keeps none (a null doc_id matches a null one)."""
+    gone = decided.groupBy(F.col("doc_id").alias("gone_id")).agg(F.max("kept").alias("any")).where("NOT any").select("gone_id")
+    return docs.join(gone, F.col("doc_id").eqNullSafe(F.col("gone_id")), "left_anti")
+
+
+def quality_filter(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that the classifier accepts (a score of 0.7 or more); every row is judged by itself."""
+    made = score(docs, train(docs, read_table(spark, sf_dir, "labels")), carry=tuple(docs.columns))
+    return _carried(made.where("predicted = 1"), docs)
+
+
+def exact_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Of documents with equal texts (A-Z lower-cased) the one with the largest doc_id.  Of rows that are equal
+    in doc_id and text one stays; rows that share a doc_id but not the text stay if one of them does."""
+    decided = exact_dedup(docs)
+    left = _without(docs, decided)
+    if decided.groupBy("doc_id", "text_sha256").agg(F.count("*").alias("n"), F.max("kept").alias("any")).where("n > 1 AND any").head(1):
+        left = left.withColumn("lowered", lower_ascii(F.coalesce("text", F.lit("")))).dropDuplicates(["doc_id", "lowered"]).drop("lowered")
+    return left
+
+
+def near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document, the smallest doc_id, of each component of near-duplicates; rows that share a doc_id stay
+    together."""
+    return _without(docs, near_duplicates(docs))
+
+
+def repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents without the words of passages that start earlier; a document that loses no word keeps its text
+    as it is, one that loses all keeps the empty text.  ``n_chars`` follows the text."""
+    made = substring_dedup(docs, window=20, carry=tuple(docs.columns))
+    changed = F.col("n_removed") > 0
+    chars = {}
+    if "n_chars" in docs.columns:
+        old = F.col(f"carried_{docs.columns.index('n_chars')}")
+        chars = {"n_chars": F.when(changed, F.length("kept_text").cast(docs.schema["n_chars"].dataType)).otherwise(old)}
+    return _carried(made, docs, text=F.col("kept_text"), **chars)
+
+
+def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Pieces of the tokenised documents in sequences of 2048."""
+    return pack(docs, vocabulary(), capacity=2048)
+
 
-STAGES: list = []
+STAGES = [
+    ("quality", quality_filter),
+    ("exact_dedup", exact_copies),
+    ("near_dedup", near_copies),
+    ("substring_dedup", repeated_passages),
+    ("packing", packing),
+]
 
-#: Model fits, tokenizers and banding are beyond SQL; tests/llm compares the stages with brute force.
+#: Model fits, banding and tokenizers are beyond SQL; tests/llm compares the stages with brute force.
 ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Apply all stages to ``documents``; each result is written as Parquet in the shared folder."""
-    docs = spark.read.parquet(os.path.join(sf_dir, "documents.parquet"))
+    docs = read_table(spark, sf_dir, "documents")
     base = os.path.join(ensure_checkpoint_dir(spark), "corpus-pipeline", uuid.uuid4().hex)
     for name, stage in STAGES:
         path = os.path.join(base, name)

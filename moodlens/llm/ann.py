@@ -7,7 +7,7 @@ Lists are cut into blocks of bounded size, so a list that holds a third of all r
 Inside a block the unit vectors are rotated by one random orthogonal matrix and kept by columns.  The scan
 adds the squared distance of a few columns at a time; as the rotation spreads a difference evenly over the
 dimensions, a candidate is dropped once its partial distance, scaled up, lies beyond the k-th best so far by
-more than the test's margin.  The first list of each query runs first and hands its k-th distance to the
+more than the test's margin (a few true neighbours in a thousand are lost).  The first list of each query runs first and hands its k-th distance to the
 others.  What survives is scored with the cosine of the original vectors in double precision.
 """
 
@@ -24,7 +24,7 @@ from pyspark.sql import functions as F
 from ..session import ensure_checkpoint_dir
 
 STEP = 16  # columns between two tests
-EPS = 3.0  # width of the test: a true neighbour is dropped with a probability of a few in 10 000
+WIDTH = 3.0  # of the test, in standard deviations
 SLACK = 1e-9  # rounding of equal vectors
 
 
@@ -75,11 +75,13 @@ def scan(q: np.ndarray, columns: np.ndarray, limit: float, k: int) -> np.ndarray
         part = part + ((block - q[at:end, None]) ** 2).sum(axis=0)
         if end == dim:
             break
-        if not np.isfinite(limit) and len(alive) > k:
-            # No distance to compare with yet: take that of the k candidates that look nearest.
+        if len(alive) > k:
+            # The k candidates that look nearest now give a distance that the k nearest cannot exceed.
             best = alive[np.argpartition(part, k - 1)[:k]]
-            limit = ((columns[:, best] - q[:, None]) ** 2).sum(axis=0).max()
-        keep = part * (dim / end) <= limit * (1 + EPS / np.sqrt(end)) ** 2 + SLACK
+            limit = min(limit, ((columns[:, best] - q[:, None]) ** 2).sum(axis=0).max())
+        # Of a squared distance D, a random rotation puts D * Beta(end / 2, (dim - end) / 2) in the first columns.
+        spread = np.sqrt(2 * (dim - end) / (end * (dim + 2)))
+        keep = part * (dim / end) <= limit * (1 + WIDTH * spread) + SLACK
         alive, part = alive[keep], part[keep]
     return alive
 

@@ -8,9 +8,11 @@ from pyspark.sql import DataFrame, SparkSession
 
 from ..sources.tables import read_table
 from . import exact_dedup as exact
+from . import license_scan as licences
 from . import warc
 from .ann import nearest
 from .bpe import encode_decode
+from .crf import quality
 from .html_text import main_text
 from .minhash import near_duplicates
 from .packing import pack
@@ -76,3 +78,16 @@ def op6_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op7_html_main_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     return main_text(read_table(spark, sf_dir, "pages"))
+
+
+@query
+def op2_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licences.license_scan(read_table(spark, sf_dir, "documents"))
+
+
+ORACLES["op2_license_scan"] = licences.oracle_sql()
+
+
+@query
+def op10_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "labels"))

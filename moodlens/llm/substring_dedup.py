@@ -246,12 +246,13 @@ def _meet_windows(table: pa.Table) -> pa.Table:
     return _back(out)
 
 
-def _cut(window: int, with_text: bool):
+def _cut(window: int, with_text: bool, carried: int):
     schema = pa.schema([("doc_id", pa.int64()), ("n_words", pa.int64()), ("n_removed", pa.int64()), ("kept_sha256", pa.string()), ("kept_text", pa.string())])
 
     def run(table: pa.Table, back: pa.Table) -> pa.Table:
+        extra = [f"carried_{i}" for i in range(carried)]
         if not len(table):
-            return schema.empty_table()
+            return pa.table({**{f.name: pa.array([], f.type) for f in schema}, **{c: table.column(c) for c in extra}})
         table, _, _, _, _, row_off = _read(table)
         p = _join_blobs(back, np.int32)
         cover = np.zeros(row_off[-1] + 1, np.int32)
@@ -266,25 +267,29 @@ def _cut(window: int, with_text: bool):
             kept = b" ".join(compress(words, k) if gone else words)
             shown = (text if not gone else kept.decode()) if with_text else None
             rows.append((doc, len(words), gone, hashlib.sha256(kept).hexdigest(), shown))
-        return pa.Table.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows), schema.types)], schema=schema)
+        made = [pa.array(c, t) for c, t in zip(zip(*rows), schema.types)]
+        return pa.Table.from_arrays([*made, *(table.column(c) for c in extra)], names=[*schema.names, *extra])
 
     return run
 
 
-def substring_dedup(docs: DataFrame, window: int = 20, chunk_bytes: int = 4 << 20, with_text: bool = True) -> DataFrame:
+def substring_dedup(docs: DataFrame, window: int = 20, chunk_bytes: int = 4 << 20, with_text: bool = True, carry: tuple[str, ...] = ()) -> DataFrame:
     """Remove every word covered by a run of ``window`` words that also starts earlier: in a smaller doc_id,
     or earlier in the same document.
 
     Input: ``doc_id``, ``text`` (other columns are ignored, whatever their names).  One row per input row:
     doc_id, n_words, n_removed, kept_sha256 (of the kept words joined by one space), kept_text (null text
-    stays null; a text of which nothing goes stays as it is; null everywhere without ``with_text``).
+    stays null; a text of which nothing goes stays as it is; null everywhere without ``with_text``), then the
+    columns named in ``carry`` as carried_0, carried_1, ... (their names may clash with the result's).
 
     Null and empty texts have no words (the digest is that of the empty string).  Rows of a null doc_id come
     last in the order.  Rows that repeat a doc_id count as one longer document in the order of their texts,
     but windows never reach over two rows.  An empty table gives an empty table.
     """
     spark = docs.sparkSession
-    docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
+    extra = [F.col(c).alias(f"carried_{i}") for i, c in enumerate(carry)]
+    types = [docs.schema[c].dataType.simpleString() for c in carry]
+    docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"), *extra)
     total = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     least = 2 * int(spark.conf.get("spark.sql.shuffle.partitions"))
     chunks = max(least, -(-total // chunk_bytes))
@@ -295,4 +300,5 @@ def substring_dedup(docs: DataFrame, window: int = 20, chunk_bytes: int = 4 << 2
     blocks = by_chunk.applyInArrow(_name_blocks(window, buckets), blobs).groupBy("bucket").applyInArrow(_meet_blocks, back)
     places = by_chunk.cogroup(blocks.groupBy("chunk")).applyInArrow(_name_windows(window, buckets), blobs)
     later = places.groupBy("bucket").applyInArrow(_meet_windows, back)
-    return by_chunk.cogroup(later.groupBy("chunk")).applyInArrow(_cut(window, with_text), OUT)
+    made = OUT + "".join(f", carried_{i} {t}" for i, t in enumerate(types))
+    return by_chunk.cogroup(later.groupBy("chunk")).applyInArrow(_cut(window, with_text, len(carry)), made)
