@@ -185,10 +185,3 @@ def array_map_literal(pairs: Sequence[tuple[str, list[str]]]) -> Column:
     return F.create_map(
         *[x for k, vs in pairs for x in (F.lit(k), F.array(*[F.lit(v) for v in vs]).cast("array<string>"))]
     )
-
-
-def lookup_value(token, lexicon, default=None, max_entries: int = MAX_INLINE_MAP) -> Column:
-    pairs = lexicon_pairs(lexicon, max_entries)
-    m = map_literal(pairs)
-    v = _probe(_col(token), pairs, m) if pairs else F.lit(None).cast("string")
-    return v if default is None else F.coalesce(v, default if isinstance(default, Column) else F.lit(default))

@@ -36,14 +36,21 @@ def random_split(df: DataFrame, weights=(0.8, 0.2), seed: int = 24):
 
 
 def doc_terms(df: DataFrame, doc_col: str, words_col: str, extra=()) -> DataFrame:
-    """``(doc_id, term, tf, *extra)``: 1- and 2-gram counts per document.
+    """``(doc_id, term, tf, *extra)``: 1- and 2-gram counts per document, without a shuffle.
 
-    The count groups by ``(doc, term)``: partial aggregation map-side (a document's terms sit in one
-    task), then a shuffle of distinct pairs hashed on both keys, so one huge document is spread over
-    many reducers instead of landing in one.
+    A document is one row, so its counts need no grouping across rows: its grams are sorted, the places
+    where a new one begins are kept, and a count is the distance to the next such place.  Each array is
+    handed on by a generator, so it is computed once and the lambdas see plain columns.
     """
-    grams = explode_rows(df, ngrams_1_2(words_col), "term", keep=[F.col(doc_col).alias("doc_id"), *extra])
-    return grams.groupBy("doc_id", "term", *extra).agg(F.count(F.lit(1)).alias("tf"))
+    keep = [F.col(doc_col).alias("doc_id"), *extra]
+    grams = df.select(*keep, F.explode(F.array(F.array_sort(ngrams_1_2(words_col)))).alias("_g"))
+    new = F.transform("_g", lambda g, i: F.when((i == 0) | (g != F.get("_g", i - 1)), i))
+    starts = grams.select("*", F.explode(F.array(F.filter(new, lambda i: i.isNotNull()))).alias("_s"))
+    counts = F.transform(
+        "_s", lambda s, j: F.struct(F.get("_g", s).alias("term"), (F.coalesce(F.get("_s", j + 1), F.size("_g")) - s).cast("long").alias("tf"))
+    )
+    out = explode_rows(starts, counts, "_t", keep=["doc_id", *extra])
+    return out.select("doc_id", "_t.term", *extra, "_t.tf")
 
 
 def term_stats(tf: DataFrame) -> DataFrame:
@@ -86,21 +93,22 @@ def tfidf(tf: DataFrame, idf: DataFrame, bounded_vocab: bool) -> DataFrame:
     """``(doc_id, term, weight, …)``: tf × idf, L2-normalised per document.
 
     The idf side is broadcast only when its row count is capped (``max_features`` set) and its
-    measured size is small; otherwise the join shuffles on ``term`` and AQE re-plans it at run time.  The norm is a per-document partial
-    aggregate joined back on ``doc_id`` (AQE splits a skewed document's partition).
+    measured size is small; otherwise the join shuffles on ``term`` and AQE re-plans it at run time.
+    Terms outside the vocabulary are gone before the one shuffle by ``doc_id``, which gives each
+    document its norm (a document is one input row, so no key is hot).
     """
     side = broadcast_if_small(idf) if bounded_vocab else idf
     w = tf.join(side.select("term", "idf"), "term").withColumn("w", F.col("tf") * F.col("idf"))
-    norms = w.groupBy("doc_id").agg(F.sqrt(F.sum(F.col("w") * F.col("w"))).alias("norm"))
-    return w.join(norms, "doc_id").withColumn("weight", F.col("w") / F.col("norm")).drop("w", "norm")
+    norm = F.sqrt(F.sum(F.col("w") * F.col("w")).over(Window.partitionBy("doc_id")))
+    return w.withColumn("weight", F.col("w") / norm).drop("w")
 
 
 class TfidfFit:
     """Fit on the training rows, apply to all rows (as ``TfidfVectorizer.fit`` then ``transform``)."""
 
-    def __init__(self, tf: DataFrame, max_features: int | None = 500_000):
+    def __init__(self, tf: DataFrame, max_features: int | None = 500_000, n_docs: int | None = None):
         train = tf.filter("is_train")
-        self.n_docs = train.select("doc_id").distinct().count()
+        self.n_docs = n_docs if n_docs is not None else train.select("doc_id").distinct().count()
         # Statistics feed the cut-off histogram and the top-k; the vocabulary feeds a size check,
         # the vocabulary count and every transform: each is written once, not recomputed.
         stats = materialize(term_stats(train)) if max_features is not None else term_stats(train)
@@ -130,11 +138,13 @@ def vocabulary_ids(tokens_df: DataFrame, doc_col: str, tokens_col: str, vocab_si
     """Token ids padded/truncated to ``seq_len``: ``0`` pads, ``1`` marks an unknown token, known
     tokens get ``rank + 1`` in a frequency vocabulary of ``vocab_size`` terms (ties by term).
 
-    Ids are looked up for every token of the whole text; the vocabulary is capped, so it is a
-    bounded broadcast side.  Tokens are re-gathered per document in their original order.
+    The vocabulary counts the words of whole texts; ids are then looked up only for the ``seq_len`` words
+    that a sequence can hold.  The vocabulary is capped, so it is a bounded broadcast side.  Tokens are
+    re-gathered per document in their original order.
     """
-    exploded = tokens_df.select(F.col(doc_col).alias("doc_id"), F.posexplode(tokens_col).alias("pos", "term"))
-    counts = materialize(exploded.groupBy("term").agg(F.count(F.lit(1)).alias("cnt")))
+    whole = tokens_df.select(F.explode(tokens_col).alias("term"))
+    exploded = tokens_df.select(F.col(doc_col).alias("doc_id"), F.posexplode(F.slice(tokens_col, 1, seq_len)).alias("pos", "term"))
+    counts = materialize(whole.groupBy("term").agg(F.count(F.lit(1)).alias("cnt")))
     top = top_k(counts, vocab_size, "cnt", "term")
     # At most ``vocab_size`` rows: numbering them in one ordered window is bounded work.
     ranked = materialize(
@@ -152,7 +162,3 @@ def vocabulary_ids(tokens_df: DataFrame, doc_col: str, tokens_col: str, vocab_si
         "doc_id", F.coalesce(F.transform("p", lambda s: s["id"]), F.array().cast("array<int>")).alias("ids")
     )
     return seq.select("doc_id", pad_truncate("ids", seq_len).alias("input_ids"))
-
-
-def log_safe(x: float) -> float:
-    return math.log(x) if x > 0 else float("-inf")

@@ -12,16 +12,20 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.text import split_words
+from ..session import materialize
 from .sizing import broadcast_if_small
 
 
 def _explode(df: DataFrame, id_col: str, tokens_col: str) -> DataFrame:
-    return df.select(F.col(id_col).alias("_id"), F.posexplode_outer(tokens_col).alias("_pos", "_tok"))
+    """``(_row, _id, _pos, _tok)``.  Rows are numbered and written first: two rows may share an id, and a
+    number must not change when a task runs again."""
+    rows = materialize(df.select(F.col(id_col).alias("_id"), F.col(tokens_col).alias("_tokens"), F.monotonically_increasing_id().alias("_row")))
+    return rows.select("_row", "_id", F.posexplode_outer("_tokens").alias("_pos", "_tok"))
 
 
-def _gather(pieces: DataFrame, df: DataFrame, id_col: str, out_col: str) -> DataFrame:
-    """Re-assemble ``(_id, _pos, _out)`` rows into an ordered array per document."""
-    g = pieces.groupBy("_id").agg(
+def _gather(pieces: DataFrame, id_col: str, out_col: str) -> DataFrame:
+    """Re-assemble ``(_row, _id, _pos, _out)`` into an ordered array per row."""
+    g = pieces.groupBy("_row", "_id").agg(
         F.array_sort(F.collect_list(F.when(F.col("_pos").isNotNull(), F.struct("_pos", "_out")))).alias("_p")
     )
     arr = F.flatten(F.transform("_p", lambda s: s["_out"]))
@@ -37,19 +41,18 @@ def lexicon_lookup_join(df: DataFrame, id_col: str, tokens_col: str, lexicon: Da
     j = ex.join(lex, "_tok", "left")
     val = F.coalesce("_val", "_tok")
     out = F.when(F.col("_val").isNotNull(), split_words(val)).otherwise(F.array("_tok")) if resplit else F.array(val)
-    return _gather(j.select("_id", "_pos", out.alias("_out")), df, id_col, out_col)
+    return _gather(j.select("_row", "_id", "_pos", out.alias("_out")), id_col, out_col)
 
 
 def stopword_anti_join(df: DataFrame, id_col: str, tokens_col: str, stopwords: DataFrame, out_col: str = "tokens") -> DataFrame:
     """``(id, out)``: tokens not in the stop-word table (``word``), order kept (left anti join)."""
     stop = broadcast_if_small(stopwords.select(F.col("word").alias("_tok")).distinct())
     ex = _explode(df, id_col, tokens_col)
-    present = ex.filter(F.col("_pos").isNotNull())
-    kept = present.join(stop, "_tok", "left_anti")
-    # documents whose tokens were all removed still get a (empty) row
-    empties = ex.filter(F.col("_pos").isNull()).select("_id", "_pos", "_tok")
-    pieces = kept.select("_id", "_pos", "_tok").unionByName(empties)
-    return _gather(pieces.select("_id", "_pos", F.array("_tok").alias("_out")), df, id_col, out_col)
+    kept = ex.filter(F.col("_pos").isNotNull()).join(stop, "_tok", "left_anti").select("_row", "_id", "_pos", "_tok")
+    # One empty piece per row, so that rows without tokens, or without any left, keep a row.
+    empties = ex.filter("_pos IS NULL OR _pos = 0").select("_row", "_id", F.lit(None).cast("int").alias("_pos"), F.lit(None).cast("string").alias("_tok"))
+    pieces = kept.unionByName(empties)
+    return _gather(pieces.select("_row", "_id", "_pos", F.array("_tok").alias("_out")), id_col, out_col)
 
 
 def invert_lexicon(lexicon: DataFrame) -> DataFrame:

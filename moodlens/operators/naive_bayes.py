@@ -85,7 +85,8 @@ class NaiveBayesModel:
 
 def fit_naive_bayes(features: DataFrame, docs: DataFrame, label_col: str = "label", kind: str = "multinomial",
                     smoothing: float = 1.0, vocab_size: int | None = None, bounded: bool = False) -> NaiveBayesModel:
-    """Fit on training features ``(doc_id, term, x)`` and training docs ``(doc_id, label)``.
+    """Fit on training features ``(doc_id, term, x)`` and training docs ``(doc_id, label)``; features that
+    carry their document's ``label`` need no join.
 
     ``vocab_size`` is the number of features (defaults to the distinct training terms).
     """
@@ -94,7 +95,7 @@ def fit_naive_bayes(features: DataFrame, docs: DataFrame, label_col: str = "labe
     n_total = sum(n for _, n in classes)
     lam = float(smoothing)
     log_prior = {lab: math.log(n + lam) - math.log(n_total + lam * len(classes)) for lab, n in classes}
-    feats = features.join(docs.select("doc_id", F.col(label_col).alias("label")), "doc_id")
+    feats = features if "label" in features.columns else features.join(docs.select("doc_id", F.col(label_col).alias("label")), "doc_id")
     if kind == "bernoulli":
         feats = feats.filter(F.col("x") > 0).withColumn("x", F.lit(1.0))
     elif kind != "multinomial":
@@ -107,9 +108,9 @@ def fit_naive_bayes(features: DataFrame, docs: DataFrame, label_col: str = "labe
         vocab_size = features.select("term").distinct().count()
     consts = {}
     if kind == "multinomial":
-        totals = {r["label"]: r["t"] for r in feats.groupBy("label").agg(F.sum("x").alias("t")).collect()}
-        for lab in labs:
-            consts[lab] = math.log(float(totals.get(lab, 0.0)) + lam * vocab_size)
+        totals = term_stats.agg(*[F.coalesce(F.sum(f"s_{i}"), F.lit(0.0)) for i in range(len(labs))]).first()
+        for lab, total in zip(labs, totals):
+            consts[lab] = math.log(float(total) + lam * vocab_size)
     else:
         # Σ over the whole vocabulary of log(1 − p_ct): seen terms from the statistics, the rest
         # share one value.

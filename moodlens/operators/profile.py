@@ -19,9 +19,17 @@ def row_col_count(df: DataFrame) -> DataFrame:
     return df.agg(F.count(F.lit(1)).alias("n_rows"), F.lit(len(df.columns)).alias("n_cols"))
 
 
-def duplicate_groups(df: DataFrame, cols=None) -> DataFrame:
-    """Rows that occur more than once, with their multiplicity (HAVING count > 1)."""
+def duplicate_groups(df: DataFrame, cols=None, digest: str | None = None) -> DataFrame:
+    """Rows that occur more than once, with their multiplicity (HAVING count > 1).
+
+    With ``digest`` (a long text column) repeated digests are found first, and only the rows that hold
+    one are grouped by the text itself: the bytes decide, few texts are shuffled.
+    """
     cols = list(cols or df.columns)
+    if digest is not None:
+        keyed = df.withColumn("_digest", F.sha2(digest, 256))
+        again = keyed.groupBy("_digest").agg(F.count(F.lit(1)).alias("_n")).filter("_n > 1").select(F.col("_digest").alias("_again"))
+        df = keyed.join(again, F.col("_digest").eqNullSafe(F.col("_again")), "left_semi").drop("_digest")
     return df.groupBy(*cols).agg(F.count(F.lit(1)).alias("count")).filter(F.col("count") > 1)
 
 
@@ -29,6 +37,12 @@ def drop_duplicates(df: DataFrame, cols=None) -> DataFrame:
     return df.dropDuplicates(list(cols) if cols else None)
 
 
+def distinct_rows(df: DataFrame, digest: str) -> DataFrame:
+    """Distinct rows with the text column ``digest`` replaced by its SHA-256 digest: for counts, which never
+    need the text itself."""
+    return df.withColumn(digest, F.sha2(digest, 256)).distinct()
+
+
 def class_counts(df: DataFrame, col: str) -> DataFrame:
     """Rows per class value, ascending by count (ties by value)."""
     return df.groupBy(col).agg(F.count(F.lit(1)).alias("count")).orderBy("count", col)

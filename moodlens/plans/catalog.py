@@ -10,7 +10,6 @@ from __future__ import annotations
 from typing import Callable
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -28,9 +27,5 @@ def register(name: str, sql: str | None = None):
     return deco
 
 
-def r6(c):
-    return F.round(c, 6)
-
-
 # Importing the query modules fills the two registries.
 from . import q_clean, q_ml, q_model, q_profile, q_tokens  # noqa: E402,F401

@@ -5,6 +5,7 @@ except scalars (document count, vocabulary size, per-class constants)."""
 from __future__ import annotations
 
 from dataclasses import dataclass
+from functools import cached_property
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -36,7 +37,12 @@ class ClassicJob:
     corpus: DataFrame
     tf: DataFrame
     fit: FE.TfidfFit
-    features: DataFrame  # (doc_id, term, is_train, x)
+
+    @cached_property
+    def features(self) -> DataFrame:
+        """``(doc_id, term, is_train, label, x)``, written on first use: counts and vocabulary do not need it."""
+        w = self.fit.transform(self.tf)
+        return materialize(w.select("doc_id", "term", "is_train", "label", F.col("weight").alias("x")))
 
     def train_docs(self) -> DataFrame:
         return self.corpus.filter("is_train").select("doc_id", "label")
@@ -45,7 +51,7 @@ class ClassicJob:
         return self.corpus.filter("not is_train").select("doc_id", "label")
 
     def naive_bayes(self, kind: str = "multinomial", smoothing: float = 1.0) -> NaiveBayesModel:
-        train = self.features.filter("is_train").select("doc_id", "term", "x")
+        train = self.features.filter("is_train").select("doc_id", "term", "label", "x")
         return fit_naive_bayes(train, self.train_docs(), "label", kind, smoothing,
                                vocab_size=self.fit.vocab_size(), bounded=self.fit.bounded)
 
@@ -59,8 +65,7 @@ def classic_job(spark: SparkSession, sf_dir: str, max_features: int | None = MAX
     # lineage once each, in the session's checkpoint folder, so neither the cleaning nor the
     # TF-IDF joins are recomputed, and a lost executor does not replay them.
     corpus = materialize(classic_corpus(spark, sf_dir))
-    # (doc, term) counts feed the document count, the term statistics and the features: one shuffle.
-    tf = materialize(FE.doc_terms(corpus, "doc_id", "words", extra=("is_train",)))
-    fit = FE.TfidfFit(tf, max_features)
-    features = materialize(fit.transform(tf).select("doc_id", "term", "is_train", F.col("weight").alias("x")))
-    return ClassicJob(corpus, tf, fit, features)
+    # (doc, term) counts feed the term statistics and the features.
+    tf = materialize(FE.doc_terms(corpus, "doc_id", "words", extra=("is_train", "label")))
+    # A cleaned text is never empty, so every training document holds a term.
+    return ClassicJob(corpus, tf, FE.TfidfFit(tf, max_features, corpus.filter("is_train").count()))

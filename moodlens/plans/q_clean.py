@@ -27,7 +27,7 @@ CTE = "WITH " + S.tweets_cte()
 
 def _str_query(name, spark_fn, sql_expr, df_fn=None):
     def run(spark, sf_dir):
-        v = SRC.tweet_view(spark, sf_dir)
+        v = SRC.text_view(spark, sf_dir)
         if df_fn is not None:
             return df_fn(v.select("TweetID", "TweetText"), "TweetText", "out", keep=["TweetID"])
         return v.select("TweetID", spark_fn(F.col("TweetText")).alias("out"))
@@ -38,7 +38,7 @@ def _str_query(name, spark_fn, sql_expr, df_fn=None):
 
 def _arr_query(name, spark_fn, sql_expr, df_fn=None):
     def run(spark, sf_dir):
-        v = SRC.tweet_view(spark, sf_dir)
+        v = SRC.text_view(spark, sf_dir)
         if df_fn is not None:
             v = df_fn(v.select("TweetID", "TweetText"), "TweetText", "_arr", keep=["TweetID"])
             arr = F.col("_arr")
@@ -150,3 +150,15 @@ def filter_class(spark, sf_dir):
     """Negative subset by label value (the notebook cut by row position)."""
     v = SRC.tweet_view(spark, sf_dir).filter(F.col("Polarity") == 0).select("TweetID", "TweetText")
     return classic.clean_classic_df(v, "TweetText", "text", keep=["TweetID"])
+
+
+@register(
+    "filter_class_positive",
+    f"""{CTE}
+SELECT TweetID, {S.clean_classic(T, DEFAULT_ABBREVIATIONS, CLASSIC_EMOJIS, CLASSIC_STOPWORDS)} AS text
+FROM tweets WHERE Polarity = 4""",
+)
+def filter_class_positive(spark, sf_dir):
+    """Positive subset by label value."""
+    v = SRC.tweet_view(spark, sf_dir).filter(F.col("Polarity") == 4).select("TweetID", "TweetText")
+    return classic.clean_classic_df(v, "TweetText", "text", keep=["TweetID"])

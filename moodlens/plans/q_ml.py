@@ -19,6 +19,7 @@ from ..sources.tables import read_table
 from . import social
 from .catalog import register
 from .classic_job import classic_job
+from .q_model import _nb_sql
 
 
 @register(
@@ -50,7 +51,7 @@ def _social_frame(spark, sf_dir, stem=True):
 def q_word2vec(spark, sf_dir):
     """Mean Word2Vec vector (100 dims, minCount 5) of each cleaned tweet, as an array."""
     t = _fit_frame(_social_frame(spark, sf_dir))
-    model = FE.word2vec_embed(t, "tokens_cleaned", "features", num_partitions=_w2v_partitions(spark))
+    model = FE.word2vec_embed(t, "tokens_cleaned", "features", num_partitions=W2V_PARTITIONS)
     out = model.transform(t)
     return out.select("TweetID", F.size(ML.vector_to_array("features")).alias("dims"),
                       ML.vector_to_array("features").alias("features"))
@@ -70,31 +71,31 @@ def _fit_frame(frame):
     return sizing.fit_partitions(frame, sizing.total_bytes(frame))
 
 
-def _w2v_partitions(spark):
-    # Word2Vec trains one model per partition and averages them; the scripts used one partition,
-    # which cannot scale.  Use the cluster's parallelism (results then depend on it).
-    return spark.sparkContext.defaultParallelism
+# Word2Vec trains one model per partition and averages them; the scripts used one partition, which
+# cannot scale.  A fixed number, so that the result does not depend on the cluster.
+W2V_PARTITIONS = 8
 
 
-def _fit_predict(pipeline, frame, weights, seed=24):
-    train, test = frame.randomSplit(list(weights), seed)
-    model = pipeline.fit(train)
-    return model, model.transform(test)
+def _fit_predict(pipeline, frame, weights):
+    """Fit on ``weights[0]`` of the rows by the hash of their id: the split does not depend on partitions."""
+    split = FE.hash_split(frame, "TweetID", round(100 * weights[0]))
+    model = pipeline.fit(split.filter("is_train"))
+    return model, model.transform(split.filter("not is_train")).drop("is_train")
 
 
 @register("mlp_ternary")
 def q_mlp_ternary(spark, sf_dir):
-    """Word2Vec + MLP [100, 64, 32, 3], 70/30 split seed 24."""
+    """Word2Vec + MLP [100, 64, 32, 3], 70/30 hash split."""
     frame = _fit_frame(_main_frame(spark, sf_dir))
-    _, pred = _fit_predict(ML.w2v_mlp("filtered_words", 3, w2v_partitions=_w2v_partitions(spark)), frame, (0.7, 0.3))
+    _, pred = _fit_predict(ML.w2v_mlp("filtered_words", 3, w2v_partitions=W2V_PARTITIONS), frame, (0.7, 0.3))
     return ML.probability_columns(pred).select("TweetID", "label", "probability", "prediction")
 
 
 @register("mlp_binary")
 def q_mlp_binary(spark, sf_dir):
-    """Social tokens + Word2Vec + MLP [100, 64, 32, 2], 80/20 split seed 24."""
+    """Social tokens + Word2Vec + MLP [100, 64, 32, 2], 80/20 hash split."""
     frame = _fit_frame(_social_frame(spark, sf_dir))
-    _, pred = _fit_predict(ML.w2v_mlp("tokens_cleaned", 2, w2v_partitions=_w2v_partitions(spark)), frame, (0.8, 0.2))
+    _, pred = _fit_predict(ML.w2v_mlp("tokens_cleaned", 2, w2v_partitions=W2V_PARTITIONS), frame, (0.8, 0.2))
     return ML.probability_columns(pred).select("TweetID", "label", "probability", "prediction")
 
 
@@ -102,7 +103,7 @@ def q_mlp_binary(spark, sf_dir):
 def q_select_predictions(spark, sf_dir):
     """``TweetText, probability, prediction`` of the ternary model."""
     frame = _fit_frame(_main_frame(spark, sf_dir))
-    _, pred = _fit_predict(ML.w2v_mlp("filtered_words", 3, w2v_partitions=_w2v_partitions(spark)), frame, (0.7, 0.3))
+    _, pred = _fit_predict(ML.w2v_mlp("filtered_words", 3, w2v_partitions=W2V_PARTITIONS), frame, (0.7, 0.3))
     return ML.probability_columns(pred).select("TweetText", "probability", "prediction")
 
 
@@ -110,7 +111,7 @@ def q_select_predictions(spark, sf_dir):
 def q_mlp_metrics(spark, sf_dir):
     """Accuracy and weighted precision/recall/F1 of the binary MLP, in one aggregate."""
     frame = _fit_frame(_social_frame(spark, sf_dir))
-    _, pred = _fit_predict(ML.w2v_mlp("tokens_cleaned", 2, w2v_partitions=_w2v_partitions(spark)), frame, (0.8, 0.2))
+    _, pred = _fit_predict(ML.w2v_mlp("tokens_cleaned", 2, w2v_partitions=W2V_PARTITIONS), frame, (0.8, 0.2))
     return M.summary_metrics(pred)
 
 
@@ -118,7 +119,7 @@ def q_mlp_metrics(spark, sf_dir):
 def q_nb_embeddings(spark, sf_dir):
     """Word2Vec → Gaussian NB, 80/20 split (the NB script, made runnable)."""
     frame = _fit_frame(_social_frame(spark, sf_dir))
-    _, pred = _fit_predict(ML.nb_on_embeddings("tokens_cleaned", w2v_partitions=_w2v_partitions(spark)), frame, (0.8, 0.2))
+    _, pred = _fit_predict(ML.nb_on_embeddings("tokens_cleaned", w2v_partitions=W2V_PARTITIONS), frame, (0.8, 0.2))
     return pred.select("TweetID", "label", "prediction")
 
 
@@ -132,7 +133,7 @@ def _vector_job(spark, sf_dir, max_features=500_000):
     return job, train, test
 
 
-@register("predict")
+@register("predict", _nb_sql("multinomial", 1.0) + "\nSELECT doc_id, CAST(label AS DOUBLE) AS label, prediction FROM pred")
 def q_predict(spark, sf_dir):
     """``pyspark.ml`` multinomial NaiveBayes on the TF-IDF vectors, scored on the held-out rows."""
     _, train, test = _vector_job(spark, sf_dir)
@@ -149,8 +150,8 @@ def q_lr(spark, sf_dir):
 
 @register("random_forest")
 def q_rf(spark, sf_dir):
-    """2 trees of depth 5; the vocabulary is capped at 10 000 terms for tree histograms."""
-    _, train, test = _vector_job(spark, sf_dir, max_features=10_000)
+    """2 trees of depth 5 on the full vocabulary."""
+    _, train, test = _vector_job(spark, sf_dir)
     model = ML.random_forest().fit(train)
     return model.transform(test).select("doc_id", "label", "prediction")
 

@@ -137,3 +137,28 @@ FROM grid g LEFT JOIN pairs p ON p.label = g.label AND p.prediction = g.predicti
 def q_confusion(spark, sf_dir):
     cm = M.confusion_matrix(_nb_predictions(spark, sf_dir, "multinomial", 1.0))
     return cm.select("label", "prediction", "n", F.round("pct", 6).alias("pct"))
+
+
+@register(
+    "confusion_cells",
+    f"""{METRICS_SQL}
+SELECT cls, CAST(sum(support) OVER () - support - fp AS BIGINT) AS true_neg, CAST(fp AS BIGINT) AS false_pos,
+       CAST(support - tp AS BIGINT) AS false_neg, CAST(tp AS BIGINT) AS true_pos FROM prf""",
+)
+def q_confusion_cells(spark, sf_dir):
+    return M.confusion_cells(_nb_predictions(spark, sf_dir, "multinomial", 1.0))
+
+
+TIE_K = 40
+
+
+@register(
+    "top_vocabulary_small",
+    f"{S.classic_job_ctes(DEFAULT_ABBREVIATIONS, CLASSIC_EMOJIS, CLASSIC_STOPWORDS, TIE_K)}\n"
+    "SELECT term, df, cf, row_number() OVER (ORDER BY cf DESC, term) AS rank FROM vocab",
+)
+def q_top_vocab_small(spark, sf_dir):
+    """The same cut at a small k, where it does drop terms."""
+    job = classic_job(spark, sf_dir, TIE_K)
+    w = Window.orderBy(F.desc("cf"), F.asc("term"))
+    return job.fit.vocab.select("term", "df", "cf", F.row_number().over(w).cast("bigint").alias("rank"))

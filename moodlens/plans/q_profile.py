@@ -211,7 +211,7 @@ UNION ALL SELECT 'dedup', (SELECT count(*) FROM d), 2""",
 def row_col_count(spark, sf_dir):
     v = SRC.tweet_view(spark, sf_dir)
     raw = profile.row_col_count(v).select(F.lit("raw").alias("stage"), "n_rows", "n_cols")
-    reduced = profile.drop_duplicates(v.drop("TweetID", "Lang", "QueryFlag", "UserName"))
+    reduced = profile.distinct_rows(v.select("Polarity", "TweetText"), digest="TweetText")
     dedup = profile.row_col_count(reduced).select(F.lit("dedup").alias("stage"), "n_rows", "n_cols")
     return raw.unionByName(dedup)
 
@@ -223,14 +223,25 @@ SELECT Polarity, TweetText, count(*) AS count FROM tweets GROUP BY Polarity, Twe
 )
 def duplicate_groups(spark, sf_dir):
     v = SRC.tweet_view(spark, sf_dir).select("Polarity", "TweetText")
-    return profile.duplicate_groups(v)
+    return profile.duplicate_groups(v, digest="TweetText")
+
+
+@register(
+    "duplicate_groups_all_columns",
+    f"""{CTE}
+SELECT Polarity, Lang, QueryFlag, UserName, TweetText, count(*) AS count FROM tweets
+GROUP BY ALL HAVING count(*) > 1""",
+)
+def duplicate_groups_all_columns(spark, sf_dir):
+    """Rows that agree in every column but the key."""
+    return profile.duplicate_groups(SRC.tweet_view(spark, sf_dir).drop("TweetID"), digest="TweetText")
 
 
 @register("filter_having_dups", f"""{CTE}
 SELECT UserName, TweetText, count(*) AS count FROM tweets GROUP BY UserName, TweetText HAVING count(*) > 1""")
 def filter_having_dups(spark, sf_dir):
-    v = SRC.tweet_view(spark, sf_dir).select("UserName", "TweetText")
-    return profile.duplicate_groups(v)
+    v = SRC.text_view(spark, sf_dir).select("UserName", "TweetText")
+    return profile.duplicate_groups(v, digest="TweetText")
 
 
 @register("drop_duplicates", f"{CTE}\nSELECT DISTINCT Polarity, TweetText FROM tweets")
@@ -244,7 +255,7 @@ def drop_duplicates(spark, sf_dir):
     f"{CTE}\nSELECT Polarity, count(*) AS count FROM (SELECT DISTINCT Polarity, TweetText FROM tweets) GROUP BY Polarity",
 )
 def polarity_counts(spark, sf_dir):
-    v = profile.drop_duplicates(SRC.tweet_view(spark, sf_dir).select("Polarity", "TweetText"))
+    v = profile.distinct_rows(SRC.tweet_view(spark, sf_dir).select("Polarity", "TweetText"), digest="TweetText")
     return profile.class_counts(v, "Polarity")
 
 
@@ -255,7 +266,7 @@ SELECT CASE WHEN Polarity = 4 THEN 1.0 ELSE 0.0 END::DOUBLE AS label, count(*) A
 FROM (SELECT DISTINCT Polarity, TweetText FROM tweets) GROUP BY 1""",
 )
 def label_counts(spark, sf_dir):
-    v = profile.drop_duplicates(SRC.tweet_view(spark, sf_dir).select("Polarity", "TweetText"))
+    v = profile.distinct_rows(SRC.tweet_view(spark, sf_dir).select("Polarity", "TweetText"), digest="TweetText")
     return profile.class_counts(v.select(label_binary("Polarity").alias("label")), "label")
 
 

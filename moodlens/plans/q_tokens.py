@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from ..functions import text as TX
 from ..functions.fixed import (
+    CLASSIC_EMOJIS,
     CLASSIC_STOPWORDS,
     DEFAULT_ABBREVIATIONS,
     DEFAULT_EMOJI_ALIASES,
@@ -40,25 +41,25 @@ def _tokens_sql(expr, id_col="TweetID", source="tweets", cte=CTE):
 
 @register("tokenize_ws", _tokens_sql(S.tokenize_ws(T)))
 def q_tokenize_ws(spark, sf_dir):
-    v = SRC.tweet_view(spark, sf_dir)
+    v = SRC.text_view(spark, sf_dir)
     return _tokens_out(v.select("TweetID", TX.tokenize_ws(T).alias("a")), "TweetID", "a")
 
 
 @register("tokenize_regex", _tokens_sql(S.tokenize_regex(f"lower({T})")))
 def q_tokenize_regex(spark, sf_dir):
-    v = SRC.tweet_view(spark, sf_dir)
+    v = SRC.text_view(spark, sf_dir)
     return _tokens_out(v.select("TweetID", TX.tokenize_regex(TX.lower_text(T)).alias("a")), "TweetID", "a")
 
 
 @register("min_length_filter", _tokens_sql(f"list_filter({S.split_words(S.keep_alnum(T))}, lambda w: length(w) >= 2)"))
 def q_min_length(spark, sf_dir):
-    v = SRC.tweet_view(spark, sf_dir).select("TweetID", TX.keep_alnum(T).alias("t"))
+    v = SRC.text_view(spark, sf_dir).select("TweetID", TX.keep_alnum(T).alias("t"))
     return _tokens_out(v.select("TweetID", TX.min_length_filter(TX.split_words("t"), 2).alias("a")), "TweetID", "a")
 
 
 @register("pos_filter", _tokens_sql(S.pos_filter(S.tokenize_regex(f"lower({T})"), DEFAULT_POS_TAGS)))
 def q_pos_filter(spark, sf_dir):
-    v = SRC.tweet_view(spark, sf_dir).select("TweetID", TX.tokenize_regex(TX.lower_text(T)).alias("t"))
+    v = SRC.text_view(spark, sf_dir).select("TweetID", TX.tokenize_regex(TX.lower_text(T)).alias("t"))
     return _tokens_out(v.select("TweetID", social.pos_filter("t", DEFAULT_POS_TAGS).alias("a")), "TweetID", "a")
 
 
@@ -71,7 +72,7 @@ _LEMMA_SQL = S.lookup_tokens(
 def q_lemmatize(spark, sf_dir):
     from ..functions.lexicon import lookup_tokens
 
-    v = SRC.tweet_view(spark, sf_dir).select("TweetID", TX.lower_text(TX.keep_alnum(T)).alias("t"))
+    v = SRC.text_view(spark, sf_dir).select("TweetID", TX.lower_text(TX.keep_alnum(T)).alias("t"))
     words = TX.min_length_filter(TX.split_words("t"), 2)
     return _tokens_out(v.select("TweetID", lookup_tokens(words, DEFAULT_LEMMAS, resplit=False).alias("a")), "TweetID", "a")
 
@@ -79,7 +80,7 @@ def q_lemmatize(spark, sf_dir):
 @register("lexicon_lookup", _tokens_sql(S.lookup_tokens(S.tokenize_regex(f"lower({T})"), DEFAULT_ABBREVIATIONS)))
 def q_lexicon_lookup(spark, sf_dir):
     """Slang per token through a join with the lexicon table (the large-lexicon path)."""
-    v = SRC.tweet_view(spark, sf_dir).select("TweetID", TX.tokenize_regex(TX.lower_text(T)).alias("t"))
+    v = SRC.text_view(spark, sf_dir).select("TweetID", TX.tokenize_regex(TX.lower_text(T)).alias("t"))
     lex = lexicon_frame(spark, DEFAULT_ABBREVIATIONS)
     out = LX.lexicon_lookup_join(v, "TweetID", "t", lex, "a")
     return _tokens_out(out, "TweetID", "a")
@@ -88,18 +89,18 @@ def q_lexicon_lookup(spark, sf_dir):
 @register("stopword_anti", _tokens_sql(S.remove_stopwords(S.tokenize_regex(f"lower({T})"), SPARK_ENGLISH_STOPWORDS, True)))
 def q_stopword_anti(spark, sf_dir):
     """Stop words removed by a left anti join with a stop-word table."""
-    v = SRC.tweet_view(spark, sf_dir).select("TweetID", TX.tokenize_regex(TX.lower_text(T)).alias("t"))
+    v = SRC.text_view(spark, sf_dir).select("TweetID", TX.tokenize_regex(TX.lower_text(T)).alias("t"))
     stop = spark.createDataFrame([(w,) for w in SPARK_ENGLISH_STOPWORDS], "word string")
     return _tokens_out(LX.stopword_anti_join(v, "TweetID", "t", stop, "a"), "TweetID", "a")
 
 
 VOCAB_K = 30_000
-SEQ_LEN = 32
+SEQ_LEN = 512
 
 
 @register(
     "pad_truncate_ids",
-    S.classic_job_ctes(DEFAULT_ABBREVIATIONS, __import__("moodlens.functions.fixed", fromlist=["x"]).CLASSIC_EMOJIS,
+    S.classic_job_ctes(DEFAULT_ABBREVIATIONS, CLASSIC_EMOJIS,
                        CLASSIC_STOPWORDS)
     + f""",
 ex AS (SELECT doc_id, unnest(words) AS term, unnest(range(len(words))) AS pos FROM corpus),
@@ -132,7 +133,7 @@ def _inverse_pairs():
 
 @register("emojize", f"{CTE}\nSELECT TweetID, {S.ordered_replace(T, _emoji_pairs())} AS out FROM tweets")
 def q_emojize(spark, sf_dir):
-    v = SRC.tweet_view(spark, sf_dir)
+    v = SRC.text_view(spark, sf_dir)
     lex = lexicon_frame(spark, DEFAULT_EMOJI_ALIASES)
     return v.select("TweetID", ordered_replace(F.col(T), lex).alias("out"))
 
@@ -145,13 +146,13 @@ def q_demojize(spark, sf_dir):
     """Aliases → emoji → aliases; the inverse table is a grouped aggregate (last alias wins)."""
     lex = lexicon_frame(spark, DEFAULT_EMOJI_ALIASES)
     inv = LX.invert_lexicon(lex)
-    v = SRC.tweet_view(spark, sf_dir).select("TweetID", ordered_replace(F.col(T), lex).alias("e"))
+    v = SRC.text_view(spark, sf_dir).select("TweetID", ordered_replace(F.col(T), lex).alias("e"))
     return TX.run_steps(v, "e", [lambda c: ordered_replace(c, inv)], "out", keep=["TweetID"])
 
 
 @register("stem_vocabulary")
 def q_stem(spark, sf_dir):
     """Porter stems of the social tokens (rows-only: a library-defined algorithm)."""
-    v = SRC.tweet_view(spark, sf_dir).select("TweetID", "TweetText")
+    v = SRC.text_view(spark, sf_dir).select("TweetID", "TweetText")
     toks = social.social_tokens_df(v, "TweetText", "t", keep=["TweetID"])
     return _tokens_out(toks.select("TweetID", stem_tokens("t").alias("a")), "TweetID", "a")

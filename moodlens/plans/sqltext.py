@@ -142,12 +142,6 @@ def remove_stopwords(tokens: str, stopwords, case_sensitive: bool = False) -> st
     return f"list_filter({tokens}, lambda w: NOT list_contains({lst}, lower(w)))"
 
 
-def guard_class(pairs) -> str | None:
-    return hitting_class([k for k, _ in pairs])
-
-
-# ----------------------------------------------------------------- compositions
-
 def clean_social_text(e: str, emoticons, abbreviations) -> str:
     t = replace_url(f"lower({e})")
     t = strip_ws(t)

@@ -35,13 +35,16 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8, app: str
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
-    """Use the cluster's ``spark.checkpoint.dir``; set a scratch one only when it is unset."""
+    """Use the cluster's ``spark.checkpoint.dir``; set a scratch one only when it is unset in local mode, where
+    driver and executors are one machine.  Anywhere else a missing setting is an error."""
     configured = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get(
         "spark.checkpoint.dir", None
     )
     if configured:
         spark.sparkContext.setCheckpointDir(configured)
         return configured
+    if not spark.sparkContext.master.startswith("local[") and spark.sparkContext.master != "local":
+        raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
     path = tempfile.mkdtemp(prefix="moodlens-ckpt-", dir="/tmp")
     spark.conf.set("spark.checkpoint.dir", path)
     spark.sparkContext.setCheckpointDir(path)
@@ -57,9 +60,7 @@ def materialize(df: DataFrame) -> DataFrame:
     replaying the text cleaning, and file statistics for the optimizer.
     """
     spark = df.sparkSession
-    base = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
-    if not base:
-        base = ensure_checkpoint_dir(spark)
+    base = ensure_checkpoint_dir(spark)
     path = os.path.join(base, "moodlens-tables", uuid.uuid4().hex)
     df.write.mode("overwrite").parquet(path)
     return spark.read.parquet(path)

@@ -14,6 +14,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ..session import ensure_checkpoint_dir
 from .tables import read_table, spread
 
 TWEET_COLUMNS = ["Polarity", "TweetID", "Lang", "QueryFlag", "UserName", "TweetText"]
@@ -101,11 +102,7 @@ def scan_cleaned(spark: SparkSession, path: str, fmt: str = "csv") -> DataFrame:
 
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh folder under the session's shared checkpoint folder (never machine-local on a cluster)."""
-    base = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
-    if not base:
-        from ..session import ensure_checkpoint_dir
-
-        base = ensure_checkpoint_dir(spark)
+    base = ensure_checkpoint_dir(spark)
     return os.path.join(base, "moodlens-out", f"{name}-{uuid.uuid4().hex}")
 
 
@@ -128,18 +125,11 @@ def polarity_from_labels(quality: Column, toxic: Column) -> Column:
     )
 
 
-def tweet_view(spark: SparkSession, sf_dir: str, decorate: bool = True) -> DataFrame:
-    """Every document as a tweet row; ``Polarity`` comes from ``labels`` (NULL when unlabelled).
-
-    Only the needed columns are scanned.  The join is left to Catalyst/AQE: ``labels`` grows with
-    the corpus, so it is not force-broadcast; AQE broadcasts it at run time when it is small.
-    """
+def text_view(spark: SparkSession, sf_dir: str, decorate: bool = True) -> DataFrame:
+    """Every document as a tweet row without ``Polarity``: for queries of the text alone, which need no join."""
     docs = spread(read_table(spark, sf_dir, "documents").select("doc_id", "text", "lang", "source"), "doc_id")
-    labels = read_table(spark, sf_dir, "labels").select("doc_id", "quality", "toxic")
-    j = docs.join(labels, "doc_id", "left")
     text = F.concat(F.col("text"), decoration(F.col("doc_id"))) if decorate else F.col("text")
-    return j.select(
-        polarity_from_labels(F.col("quality"), F.col("toxic")).alias("Polarity"),
+    return docs.select(
         F.col("doc_id").alias("TweetID"),
         F.col("lang").alias("Lang"),
         F.lit("NO_QUERY").alias("QueryFlag"),
@@ -148,6 +138,20 @@ def tweet_view(spark: SparkSession, sf_dir: str, decorate: bool = True) -> DataF
     )
 
 
+def tweet_view(spark: SparkSession, sf_dir: str, decorate: bool = True) -> DataFrame:
+    """``text_view`` with ``Polarity`` from ``labels`` (NULL when unlabelled).
+
+    Only the needed columns are scanned.  The join is left to Catalyst/AQE: ``labels`` grows with
+    the corpus, so it is not force-broadcast; AQE broadcasts it at run time when it is small.
+    """
+    labels = read_table(spark, sf_dir, "labels").select(F.col("doc_id").alias("TweetID"), "quality", "toxic")
+    j = text_view(spark, sf_dir, decorate).join(labels, "TweetID", "left")
+    return j.select(
+        polarity_from_labels(F.col("quality"), F.col("toxic")).alias("Polarity"),
+        "TweetID", "Lang", "QueryFlag", "UserName", "TweetText",
+    )
+
+
 def labelled_tweets(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tweet_view(spark, sf_dir).filter(F.col("Polarity").isNotNull())
 
@@ -155,9 +159,3 @@ def labelled_tweets(spark: SparkSession, sf_dir: str) -> DataFrame:
 def positional_view(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The tweet view as the headerless CSV scan sees it (``_c0.._c5``)."""
     return tweet_view(spark, sf_dir).toDF(*POSITIONAL_COLUMNS)
-
-
-def inspect_schema(df: DataFrame) -> DataFrame:
-    """``printSchema`` as data: one row per column ``(position, name, type)``."""
-    rows = [(i, f.name, f.dataType.simpleString()) for i, f in enumerate(df.schema.fields)]
-    return df.sparkSession.createDataFrame(rows, "position int, name string, type string")
