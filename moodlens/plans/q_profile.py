@@ -60,19 +60,19 @@ def scan_csv_tweets(spark, sf_dir):
     """Headerless CSV sink of the raw view, re-read with an explicit schema and renamed."""
     path = SRC.scratch_path(spark, "tweets-csv")
     SRC.write_tweets_csv(SRC.positional_view(spark, sf_dir), path)
-    return SRC.rename_columns(SRC.scan_tweets_csv(spark, path))
+    return SRC.rename_columns(SRC.scan_tweets_csv(spark, path, multi_line=True))
 
 
 @register(
     "scan_csv_latin1",
-    f"{CTE}\nSELECT Polarity, TweetID, Lang, QueryFlag, UserName, "
+    f"{CTE}\nSELECT Polarity, TweetID, \"Date\", QueryFlag, \"User\", "
     f"{S.rr('TweetText', '[^\\x00-\\x{ff}]', '?')} AS TweetText FROM tweets",
 )
 def scan_csv_latin1(spark, sf_dir):
     """ISO-8859-1 round trip: characters outside Latin-1 are written as ``?``."""
     path = SRC.scratch_path(spark, "tweets-latin1")
     SRC.write_tweets_csv(SRC.positional_view(spark, sf_dir), path, encoding="ISO-8859-1")
-    return SRC.scan_tweets_latin1(spark, path)
+    return SRC.scan_tweets_latin1(spark, path, multi_line=True)
 
 
 @register(
@@ -115,7 +115,7 @@ def scan_csv_header(spark, sf_dir):
     )
     path = SRC.scratch_path(spark, "keep-csv")
     SRC.write_cleaned(df, path, fmt="csv")
-    return SRC.scan_cleaned(spark, path, fmt="csv")
+    return SRC.scan_cleaned(spark, path, fmt="csv", multi_line=True)
 
 
 @register("rows_to_records", CLEANED_SQL)
@@ -127,10 +127,10 @@ def rows_to_records(spark, sf_dir):
 @register(
     "inspect_schema",
     f"""{CTE}
-SELECT * FROM (VALUES (0, 'Polarity', 'int'), (1, 'TweetID', 'bigint'), (2, 'Lang', 'string'),
-  (3, 'QueryFlag', 'string'), (4, 'UserName', 'string'), (5, 'TweetText', 'string')) v(position, name, type)
+SELECT * FROM (VALUES (0, 'Polarity', 'int'), (1, 'TweetID', 'bigint'), (2, 'Date', 'string'),
+  (3, 'QueryFlag', 'string'), (4, 'User', 'string'), (5, 'TweetText', 'string')) v(position, name, type)
 JOIN (SELECT unnest([0, 1, 2, 3, 4, 5]) AS position,
-             unnest([count(Polarity), count(TweetID), count(Lang), count(QueryFlag), count(UserName), count(TweetText)]) AS non_null
+             unnest([count(Polarity), count(TweetID), count("Date"), count(QueryFlag), count("User"), count(TweetText)]) AS non_null
       FROM tweets) USING (position)""",
 )
 def inspect_schema(spark, sf_dir):
@@ -148,7 +148,7 @@ def collect_columns(spark, sf_dir):
 
 @register("drop_columns", f"{CTE}\nSELECT Polarity, TweetText FROM tweets")
 def drop_columns(spark, sf_dir):
-    return SRC.tweet_view(spark, sf_dir).drop("TweetID", "Lang", "QueryFlag", "UserName")
+    return SRC.tweet_view(spark, sf_dir).drop("TweetID", "Date", "QueryFlag", "User")
 
 
 @register(
@@ -193,8 +193,8 @@ def q_label_replace(spark, sf_dir):
 @register(
     "missing_count",
     f"""{CTE}
-SELECT count_if(Polarity IS NULL) AS Polarity, count_if(TweetID IS NULL) AS TweetID, count_if(Lang IS NULL) AS Lang,
-       count_if(QueryFlag IS NULL) AS QueryFlag, count_if(UserName IS NULL) AS UserName,
+SELECT count_if(Polarity IS NULL) AS Polarity, count_if(TweetID IS NULL) AS TweetID, count_if("Date" IS NULL) AS "Date",
+       count_if(QueryFlag IS NULL) AS QueryFlag, count_if("User" IS NULL) AS "User",
        count_if(TweetText IS NULL) AS TweetText FROM tweets""",
 )
 def missing_count(spark, sf_dir):
@@ -229,7 +229,7 @@ def duplicate_groups(spark, sf_dir):
 @register(
     "duplicate_groups_all_columns",
     f"""{CTE}
-SELECT Polarity, Lang, QueryFlag, UserName, TweetText, count(*) AS count FROM tweets
+SELECT Polarity, "Date", QueryFlag, "User", TweetText, count(*) AS count FROM tweets
 GROUP BY ALL HAVING count(*) > 1""",
 )
 def duplicate_groups_all_columns(spark, sf_dir):
@@ -238,15 +238,15 @@ def duplicate_groups_all_columns(spark, sf_dir):
 
 
 @register("filter_having_dups", f"""{CTE}
-SELECT UserName, TweetText, count(*) AS count FROM tweets GROUP BY UserName, TweetText HAVING count(*) > 1""")
+SELECT "User", TweetText, count(*) AS count FROM tweets GROUP BY "User", TweetText HAVING count(*) > 1""")
 def filter_having_dups(spark, sf_dir):
-    v = SRC.text_view(spark, sf_dir).select("UserName", "TweetText")
+    v = SRC.text_view(spark, sf_dir).select("User", "TweetText")
     return profile.duplicate_groups(v, digest="TweetText")
 
 
 @register("drop_duplicates", f"{CTE}\nSELECT DISTINCT Polarity, TweetText FROM tweets")
 def drop_duplicates(spark, sf_dir):
-    v = SRC.tweet_view(spark, sf_dir).drop("TweetID", "Lang", "QueryFlag", "UserName")
+    v = SRC.tweet_view(spark, sf_dir).drop("TweetID", "Date", "QueryFlag", "User")
     return profile.drop_duplicates(v)
 
 

@@ -9,7 +9,7 @@ from __future__ import annotations
 from ..functions import text as T
 from ..functions.fixed import COMMON_HTML_ENTITIES, CONTRACTION_RULES
 from ..functions.lexicon import dict_order, fold_pairs, hitting_class
-from ..sources.tweets import DECORATIONS
+from ..sources.tweets import DECORATIONS, TWEET_DATE
 
 
 def q(s: str) -> str:
@@ -31,7 +31,7 @@ def tweets_cte(decorate: bool = True) -> str:
     return f"""tweets AS (
   SELECT CAST(CASE WHEN l.quality = 1 THEN 4 WHEN l.toxic = 1 THEN 0
                    WHEN l.quality IS NOT NULL THEN 2 END AS INTEGER) AS Polarity,
-         d.doc_id AS TweetID, d.lang AS Lang, 'NO_QUERY' AS QueryFlag, d.source AS UserName,
+         d.doc_id AS TweetID, {q(TWEET_DATE)} AS "Date", 'NO_QUERY' AS QueryFlag, d.source AS "User",
          {text} AS TweetText
   FROM documents d LEFT JOIN labels l ON d.doc_id = l.doc_id)"""
 

@@ -17,20 +17,24 @@ from pyspark.sql import types as T
 from ..session import ensure_checkpoint_dir
 from .tables import read_table, spread
 
-TWEET_COLUMNS = ["Polarity", "TweetID", "Lang", "QueryFlag", "UserName", "TweetText"]
+TWEET_COLUMNS = ["Polarity", "TweetID", "Date", "QueryFlag", "User", "TweetText"]
+CORRUPT = "_corrupt_record"
 POSITIONAL_COLUMNS = [f"_c{i}" for i in range(6)]
 TWEET_SCHEMA = T.StructType(
     [
         T.StructField("Polarity", T.IntegerType()),
         T.StructField("TweetID", T.LongType()),
-        T.StructField("Lang", T.StringType()),
+        T.StructField("Date", T.StringType()),
         T.StructField("QueryFlag", T.StringType()),
-        T.StructField("UserName", T.StringType()),
+        T.StructField("User", T.StringType()),
         T.StructField("TweetText", T.StringType()),
     ]
 )
 CLEANED_SCHEMA = T.StructType([T.StructField("text", T.StringType()), T.StructField("label", T.IntegerType())])
 
+# The driver's documents have no date; the view gives all rows one of the corpus's form.
+TWEET_DATE = "Mon Apr 06 22:19:45 PDT 2009"
+
 # Test decorations (our own) appended by doc_id so every cleaning rule has something to act on;
 # the driver's prose has no links, emoticons, entities or apostrophes.
 DECORATIONS = [
@@ -45,28 +49,46 @@ DECORATIONS = [
 ]
 
 
-def _csv_reader(spark: SparkSession, schema, header: bool, encoding: str = "UTF-8"):
+def _csv_reader(spark: SparkSession, schema, header: bool, encoding: str = "UTF-8", multi_line: bool = False):
     return (
         spark.read.schema(schema)
         .option("header", header)
         .option("encoding", encoding)
         .option("quote", '"')
         .option("escape", '"')
-        .option("multiLine", True)
+        .option("multiLine", multi_line)
         .option("mode", "PERMISSIVE")
+        .option("columnNameOfCorruptRecord", CORRUPT)
     )
 
 
-def scan_tweets_csv(spark: SparkSession, path: str, encoding: str = "UTF-8", positional: bool = True) -> DataFrame:
-    """Headerless tweet CSV with an explicit schema; ``positional`` keeps ``_c0.._c5`` names."""
-    schema = TWEET_SCHEMA
-    if positional:
-        schema = T.StructType([T.StructField(n, f.dataType) for n, f in zip(POSITIONAL_COLUMNS, TWEET_SCHEMA)])
-    return _csv_reader(spark, schema, header=False, encoding=encoding).csv(path)
+def scan_tweets_csv(spark: SparkSession, path: str, encoding: str = "UTF-8", positional: bool = True,
+                    multi_line: bool = False, with_corrupt: bool = False) -> DataFrame:
+    """Headerless tweet CSV with an explicit schema; ``positional`` keeps ``_c0.._c5`` names.
+
+    A file is split among tasks unless ``multi_line`` (quoted line ends in texts) asks for whole files.
+    ``with_corrupt`` adds ``_corrupt_record``: the raw line of a row whose fields do not fit, else NULL
+    (see :func:`sound_only` and :func:`malformed_count`).
+    """
+    names = POSITIONAL_COLUMNS if positional else TWEET_COLUMNS
+    schema = T.StructType([T.StructField(n, f.dataType) for n, f in zip(names, TWEET_SCHEMA)])
+    if with_corrupt:
+        schema = T.StructType([*schema, T.StructField(CORRUPT, T.StringType())])
+    return _csv_reader(spark, schema, header=False, encoding=encoding, multi_line=multi_line).csv(path)
+
+
+def scan_tweets_latin1(spark: SparkSession, path: str, multi_line: bool = False) -> DataFrame:
+    return rename_columns(scan_tweets_csv(spark, path, encoding="ISO-8859-1", multi_line=multi_line))
+
+
+def sound_only(label: Column) -> Column:
+    """``label``, or NULL for a malformed row (which would otherwise become a negative tweet)."""
+    return F.when(F.col(CORRUPT).isNull(), label)
 
 
-def scan_tweets_latin1(spark: SparkSession, path: str) -> DataFrame:
-    return rename_columns(scan_tweets_csv(spark, path, encoding="ISO-8859-1"))
+def malformed_count(df: DataFrame) -> DataFrame:
+    """One row: ``n_rows``, ``n_malformed`` of a scan ``with_corrupt``."""
+    return df.agg(F.count(F.lit(1)).alias("n_rows"), F.count(CORRUPT).alias("n_malformed"))
 
 
 def rename_columns(df: DataFrame, names=TWEET_COLUMNS) -> DataFrame:
@@ -94,9 +116,9 @@ def write_cleaned(df: DataFrame, path: str, fmt: str = "csv") -> None:
         out.write.mode("overwrite").parquet(path)
 
 
-def scan_cleaned(spark: SparkSession, path: str, fmt: str = "csv") -> DataFrame:
+def scan_cleaned(spark: SparkSession, path: str, fmt: str = "csv", multi_line: bool = False) -> DataFrame:
     if fmt == "csv":
-        return _csv_reader(spark, CLEANED_SCHEMA, header=True).csv(path)
+        return _csv_reader(spark, CLEANED_SCHEMA, header=True, multi_line=multi_line).csv(path)
     return spark.read.schema(CLEANED_SCHEMA).parquet(path)
 
 
@@ -127,13 +149,13 @@ def polarity_from_labels(quality: Column, toxic: Column) -> Column:
 
 def text_view(spark: SparkSession, sf_dir: str, decorate: bool = True) -> DataFrame:
     """Every document as a tweet row without ``Polarity``: for queries of the text alone, which need no join."""
-    docs = spread(read_table(spark, sf_dir, "documents").select("doc_id", "text", "lang", "source"), "doc_id")
+    docs = spread(read_table(spark, sf_dir, "documents").select("doc_id", "text", "source"), "doc_id")
     text = F.concat(F.col("text"), decoration(F.col("doc_id"))) if decorate else F.col("text")
     return docs.select(
         F.col("doc_id").alias("TweetID"),
-        F.col("lang").alias("Lang"),
+        F.lit(TWEET_DATE).alias("Date"),
         F.lit("NO_QUERY").alias("QueryFlag"),
-        F.col("source").alias("UserName"),
+        F.col("source").alias("User"),
         text.alias("TweetText"),
     )
 
@@ -148,7 +170,7 @@ def tweet_view(spark: SparkSession, sf_dir: str, decorate: bool = True) -> DataF
     j = text_view(spark, sf_dir, decorate).join(labels, "TweetID", "left")
     return j.select(
         polarity_from_labels(F.col("quality"), F.col("toxic")).alias("Polarity"),
-        "TweetID", "Lang", "QueryFlag", "UserName", "TweetText",
+        "TweetID", "Date", "QueryFlag", "User", "TweetText",
     )
 
 
