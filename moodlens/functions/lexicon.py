@@ -8,11 +8,14 @@ A lexicon reaches a row in one of three shapes:
 * a **join** when the lexicon is too large to inline (``operators.lexicon_ops``).
 
 The first two inline the lexicon into the plan, so they collect it once on the driver; that is
-only done behind a row-count bound (``max_entries``).
+only done behind a row-count bound (``max_entries``, a parameter).  Maps beyond it have a join form
+(lookup, tag filter, stop words) in ``operators.lexicon_ops``; long folds become one expression over
+an array of pairs instead of a chain of calls.
 """
 
 from __future__ import annotations
 
+import json
 import re
 from typing import Iterable, Sequence
 
@@ -22,7 +25,8 @@ from pyspark.sql import functions as F
 from .text import WS, _col, split_words
 
 LEXICON_SCHEMA = "ord int, key string, value string"
-MAX_INLINE_FOLD = 2_000
+LONG_FOLD = 500  # beyond this a fold runs over an array of pairs
+MAX_FOLD = 200_000
 MAX_INLINE_MAP = 20_000
 
 
@@ -108,7 +112,7 @@ def fold_pairs(pairs, ascii_input: bool = False, pad: bool = False) -> list[tupl
 
 
 def ordered_replace(c, lexicon, pad: bool = False, ascii_input: bool = False,
-                    max_entries: int = MAX_INLINE_FOLD) -> Column:
+                    max_entries: int = MAX_FOLD) -> Column:
     """Replace every key by its value, one key after another, in lexicon order.
 
     Equivalent to ``for k, v in d.items(): s = s.replace(k, v)``; guarded by an exact
@@ -118,9 +122,13 @@ def ordered_replace(c, lexicon, pad: bool = False, ascii_input: bool = False,
     col = _col(c)
     if not pairs:
         return col
-    out = col
-    for k, v in pairs:
-        out = F.replace(out, F.lit(k), F.lit(v))
+    if len(pairs) > LONG_FOLD:
+        table = F.from_json(F.lit(json.dumps([{"k": k, "v": v} for k, v in pairs])), "array<struct<k:string,v:string>>")
+        out = F.aggregate(table, col, lambda acc, p: F.replace(acc, p["k"], p["v"]))
+    else:
+        out = col
+        for k, v in pairs:
+            out = F.replace(out, F.lit(k), F.lit(v))
     guard = hitting_class([k for k, _ in pairs])
     if guard is None:
         return out
@@ -137,7 +145,7 @@ def map_literal(pairs: Sequence[tuple[str, str]]) -> Column:
     return F.create_map(*[F.lit(x) for kv in pairs for x in kv])
 
 
-def _probe(w: Column, pairs, m: Column) -> Column:
+def probe(w: Column, pairs, m: Column) -> Column:
     """Value of ``w`` in the map literal ``m``, or NULL.  Map literals are searched linearly, so a
     hashed ``InSet`` membership test runs first and only hits pay for the search."""
     keys = [k for k, _ in pairs]
@@ -151,7 +159,7 @@ def lookup_words(c, lexicon, max_entries: int = MAX_INLINE_MAP) -> Column:
     words = split_words(c)
     if not pairs:
         return F.array_join(words, " ")
-    return F.array_join(F.transform(words, lambda w: F.coalesce(_probe(w, pairs, m), w)), " ")
+    return F.array_join(F.transform(words, lambda w: F.coalesce(probe(w, pairs, m), w)), " ")
 
 
 def lookup_tokens(tokens, lexicon, resplit: bool = True, single_words: bool = False,
@@ -167,13 +175,13 @@ def lookup_tokens(tokens, lexicon, resplit: bool = True, single_words: bool = Fa
         return _col(tokens)
     if not resplit:
         m = map_literal(pairs)
-        return F.transform(_col(tokens), lambda w: F.coalesce(_probe(w, pairs, m), w))
+        return F.transform(_col(tokens), lambda w: F.coalesce(probe(w, pairs, m), w))
     split_pairs = [(k, v.split()) for k, v in pairs]
     m = array_map_literal(split_pairs)
 
     def one(w):
         own = F.array(w) if single_words else F.when(w.rlike(f"^$|{WS}"), split_words(w)).otherwise(F.array(w))
-        return F.coalesce(_probe(w, split_pairs, m), own) if pairs else own
+        return F.coalesce(probe(w, split_pairs, m), own) if pairs else own
 
     return F.flatten(F.transform(_col(tokens), one))
 

@@ -32,11 +32,17 @@ def _gather(pieces: DataFrame, id_col: str, out_col: str) -> DataFrame:
     return g.select(F.col("_id").alias(id_col), arr.alias(out_col))
 
 
+def _dictionary(lexicon: DataFrame, value_name: str) -> DataFrame:
+    """``(_tok, value)`` with one row per key, the last one in lexicon order; broadcast if measured small."""
+    last = F.max_by("value", "ord") if "ord" in lexicon.columns else F.max("value")
+    return broadcast_if_small(lexicon.groupBy(F.col("key").alias("_tok")).agg(last.alias(value_name)))
+
+
 def lexicon_lookup_join(df: DataFrame, id_col: str, tokens_col: str, lexicon: DataFrame, out_col: str = "tokens",
                         resplit: bool = True) -> DataFrame:
     """``(id, out)``: each token replaced by its lexicon value (``key → value``), multi-word values
     split into several tokens."""
-    lex = broadcast_if_small(lexicon.select(F.col("key").alias("_tok"), F.col("value").alias("_val")).dropDuplicates(["_tok"]))
+    lex = _dictionary(lexicon, "_val")
     ex = _explode(df, id_col, tokens_col)
     j = ex.join(lex, "_tok", "left")
     val = F.coalesce("_val", "_tok")
@@ -44,15 +50,28 @@ def lexicon_lookup_join(df: DataFrame, id_col: str, tokens_col: str, lexicon: Da
     return _gather(j.select("_row", "_id", "_pos", out.alias("_out")), id_col, out_col)
 
 
+def _kept(ex: DataFrame, kept: DataFrame, id_col: str, out_col: str) -> DataFrame:
+    """Gather the kept tokens, with one empty piece per row: rows without tokens, or without any left, stay."""
+    empties = ex.filter("_pos IS NULL OR _pos = 0").select("_row", "_id", F.lit(None).cast("int").alias("_pos"), F.lit(None).cast("string").alias("_tok"))
+    pieces = kept.select("_row", "_id", "_pos", "_tok").unionByName(empties)
+    return _gather(pieces.select("_row", "_id", "_pos", F.array("_tok").alias("_out")), id_col, out_col)
+
+
 def stopword_anti_join(df: DataFrame, id_col: str, tokens_col: str, stopwords: DataFrame, out_col: str = "tokens") -> DataFrame:
     """``(id, out)``: tokens not in the stop-word table (``word``), order kept (left anti join)."""
     stop = broadcast_if_small(stopwords.select(F.col("word").alias("_tok")).distinct())
     ex = _explode(df, id_col, tokens_col)
-    kept = ex.filter(F.col("_pos").isNotNull()).join(stop, "_tok", "left_anti").select("_row", "_id", "_pos", "_tok")
-    # One empty piece per row, so that rows without tokens, or without any left, keep a row.
-    empties = ex.filter("_pos IS NULL OR _pos = 0").select("_row", "_id", F.lit(None).cast("int").alias("_pos"), F.lit(None).cast("string").alias("_tok"))
-    pieces = kept.unionByName(empties)
-    return _gather(pieces.select("_row", "_id", "_pos", F.array("_tok").alias("_out")), id_col, out_col)
+    return _kept(ex, ex.filter(F.col("_pos").isNotNull()).join(stop, "_tok", "left_anti"), id_col, out_col)
+
+
+def tag_filter_join(df: DataFrame, id_col: str, tokens_col: str, lexicon: DataFrame, out_col: str = "tokens",
+                    default_tag: str = "NN", allowed=("J", "R", "V", "N")) -> DataFrame:
+    """``(id, out)``: tokens whose tag (``key -> value``, else ``default_tag``) starts with an allowed letter, by a
+    join: the form of ``pos_filter`` for lexicons of any size."""
+    ex = _explode(df, id_col, tokens_col)
+    tagged = ex.filter(F.col("_pos").isNotNull()).join(_dictionary(lexicon, "_tag"), "_tok", "left")
+    first = F.substring(F.coalesce("_tag", F.lit(default_tag)), 1, 1)
+    return _kept(ex, tagged.filter(first.isin(*allowed)), id_col, out_col)
 
 
 def invert_lexicon(lexicon: DataFrame) -> DataFrame:

@@ -10,6 +10,7 @@ from ..functions.fixed import (
     CLASSIC_STOPWORDS,
     DEFAULT_ABBREVIATIONS,
     DEFAULT_EMOJI_ALIASES,
+    DEFAULT_EMOTICONS,
     DEFAULT_LEMMAS,
     DEFAULT_POS_TAGS,
     SPARK_ENGLISH_STOPWORDS,
@@ -94,6 +95,42 @@ def q_stopword_anti(spark, sf_dir):
     return _tokens_out(LX.stopword_anti_join(v, "TweetID", "t", stop, "a"), "TweetID", "a")
 
 
+_REGEX_TOKENS = S.tokenize_regex(f"lower({T})")
+
+
+def _corpus_lexicon(tokens, value):
+    """A lexicon of all distinct tokens of the corpus: far too large to inline."""
+    words = tokens.select(F.explode("t").alias("key")).distinct()
+    return words.select(F.lit(0).alias("ord"), "key", value(F.col("key")).alias("value"))
+
+
+@register("lemmatize_large_lexicon", _tokens_sql(f"list_transform({_REGEX_TOKENS}, lambda w: substr(w, 1, 4))"))
+def q_lemmatize_large(spark, sf_dir):
+    """Form -> lemma through a join; every token of the corpus has an entry (its first four letters)."""
+    v = SRC.text_view(spark, sf_dir).select("TweetID", TX.tokenize_regex(TX.lower_text(T)).alias("t"))
+    lex = _corpus_lexicon(v, lambda w: F.substring(w, 1, 4))
+    return _tokens_out(LX.lexicon_lookup_join(v, "TweetID", "t", lex, "a", resplit=False), "TweetID", "a")
+
+
+@register("pos_filter_large_lexicon", _tokens_sql(f"list_filter({_REGEX_TOKENS}, lambda w: length(w) % 2 = 0)"))
+def q_pos_large(spark, sf_dir):
+    """The tag filter through a join; every token of the corpus has an entry (a noun if its length is even)."""
+    v = SRC.text_view(spark, sf_dir).select("TweetID", TX.tokenize_regex(TX.lower_text(T)).alias("t"))
+    lex = _corpus_lexicon(v, lambda w: F.when(F.length(w) % 2 == 0, "NN").otherwise("DT"))
+    return _tokens_out(LX.tag_filter_join(v, "TweetID", "t", lex, "a"), "TweetID", "a")
+
+
+@register(
+    "clean_social_tagged",
+    _tokens_sql(S.clean_social(T, DEFAULT_EMOTICONS, DEFAULT_ABBREVIATIONS, SPARK_ENGLISH_STOPWORDS, DEFAULT_POS_TAGS)),
+)
+def q_clean_social_tagged(spark, sf_dir):
+    """The social chain with the tag filter (stems: ``stem_vocabulary``)."""
+    v = SRC.text_view(spark, sf_dir).select("TweetID", "TweetText")
+    out = social.social_tokens_df(v, "TweetText", "a", pos_lexicon=DEFAULT_POS_TAGS, keep=["TweetID"])
+    return _tokens_out(out, "TweetID", "a")
+
+
 VOCAB_K = 30_000
 SEQ_LEN = 512
 

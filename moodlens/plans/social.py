@@ -20,12 +20,13 @@ from ..functions.fixed import (
     SPARK_ENGLISH_STOPWORDS,
 )
 from ..functions.lexicon import (
-    MAX_INLINE_FOLD,
+    MAX_FOLD,
     lexicon_pairs,
     lookup_tokens,
     lookup_words,
     map_literal,
     ordered_replace,
+    probe,
 )
 
 
@@ -54,7 +55,7 @@ def clean_social_text(text, emoticons=DEFAULT_EMOTICONS, abbreviations=DEFAULT_A
 
 def social_text_steps(emoticons=DEFAULT_EMOTICONS, abbreviations=DEFAULT_ABBREVIATIONS, html_mode: str = "common"):
     """The string steps of ``clean_social_text``, one ``Column -> Column`` per projection."""
-    emot = lexicon_pairs(emoticons, MAX_INLINE_FOLD)
+    emot = lexicon_pairs(emoticons, MAX_FOLD)
     abbr = lexicon_pairs(abbreviations)
     return [
         lambda c: TX.strip_ws(TX.replace_url(TX.lower_text(c))),
@@ -77,12 +78,10 @@ def social_text_df(df: DataFrame, text_col: str, out_col: str = "cleaned", emoti
 def pos_filter(tokens, pos_lexicon, default_tag: str = "NN", allowed=ALLOWED_TAG_PREFIXES) -> Column:
     """Keep tokens whose tag starts with an allowed prefix; tags come from a ``(token, tag)`` lexicon
     (unknown tokens take ``default_tag``).  Re-aimed from a trained tagger, which we do not ship."""
-    m = map_literal(lexicon_pairs(pos_lexicon))
+    pairs = lexicon_pairs(pos_lexicon)
     allowed_arr = F.array(*[F.lit(a) for a in allowed])
-    return F.filter(
-        TX._col(tokens),
-        lambda w: F.array_contains(allowed_arr, F.substring(F.coalesce(F.try_element_at(m, w), F.lit(default_tag)), 1, 1)),
-    )
+    tag = (lambda w: F.coalesce(probe(w, pairs, map_literal(pairs)), F.lit(default_tag))) if pairs else (lambda w: F.lit(default_tag))
+    return F.filter(TX._col(tokens), lambda w: F.array_contains(allowed_arr, F.substring(tag(w), 1, 1)))
 
 
 def social_tokens(cleaned, abbreviations=DEFAULT_ABBREVIATIONS, stopwords=SPARK_ENGLISH_STOPWORDS,

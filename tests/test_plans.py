@@ -84,3 +84,11 @@ def test_shared_folder_is_required_on_a_cluster(spark, monkeypatch):
 
     with pytest.raises(RuntimeError):
         ensure_checkpoint_dir(Session())
+
+
+def test_long_fold_equals_chain(spark):
+    from moodlens.functions.lexicon import ordered_replace
+
+    pairs = [(f":k{i}:", f"<{i}>") for i in range(5_000)] + [("<7>", "seven")]
+    df = spark.createDataFrame([(":k7: and :k4999: k",), ("plain",), (None,)], "t string")
+    assert [r.o for r in df.select(ordered_replace(F.col("t"), pairs).alias("o")).collect()] == ["seven and <4999> k", "plain", None]
