@@ -10,11 +10,11 @@ from __future__ import annotations
 
 from typing import Iterable, Sequence
 
-import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql.functions import posexplode_outer
 
+from . import entities
 from .fixed import COMMON_HTML_ENTITIES, CONTRACTION_RULES
 
 # White space as Python's ``str.isspace`` sees it.
@@ -227,45 +227,11 @@ def html_unescape_common(c) -> Column:
     return F.when(col.contains("&"), replace_literals(col, COMMON_HTML_ENTITIES)).otherwise(col)
 
 
-def html_unescape_full(c) -> Column:
-    """Full HTML5 decode (named, numeric, legacy forms) with the standard library.
-
-    Arrow-batched; inside each batch only rows holding ``&`` are decoded.
-    """
-    return _html_unescape_udf(_col(c))
-
-
-def _make_unescape_udf():
-    import html
-
-    from pyspark.sql.types import StringType
-
-    @F.pandas_udf(StringType())
-    def unescape(s: pd.Series) -> pd.Series:
-        mask = s.str.contains("&", regex=False, na=False)
-        if mask.any():
-            s = s.copy()
-            s[mask] = s[mask].map(html.unescape)
-        return s
-
-    return unescape
-
-
-_UNESCAPE = None
-
-
-def _html_unescape_udf(col: Column) -> Column:
-    global _UNESCAPE
-    if _UNESCAPE is None:
-        _UNESCAPE = _make_unescape_udf()
-    return _UNESCAPE(col)
-
-
 def html_unescape(c, mode: str = "common") -> Column:
     if mode == "common":
         return html_unescape_common(c)
     if mode == "full":
-        return html_unescape_full(c)
+        return entities.html_unescape(_col(c))
     raise ValueError(f"unknown html mode {mode!r}")
 
 

@@ -60,6 +60,7 @@ _str_query("lower_strip", lambda c: TX.strip_ws(TX.lower_text(c)), S.strip_ws(f"
 _str_query("replace_url", TX.replace_url, S.replace_url(T))
 _str_query("replace_url_padded", TX.replace_url_padded, S.replace_url_padded(T))
 _str_query("html_unescape", TX.html_unescape_common, S.html_unescape_common(T))
+_str_query("html_unescape_full", lambda c: TX.html_unescape(c, "full"), S.html_unescape_full(T))
 _str_query("expand_abbrev_words", lambda c: lookup_words(c, DEFAULT_ABBREVIATIONS), S.lookup_words(T, DEFAULT_ABBREVIATIONS))
 _str_query(
     "expand_abbrev_substring",

@@ -44,7 +44,7 @@ def _tail(t) -> Column:
 
 
 def clean_social_text(text, emoticons=DEFAULT_EMOTICONS, abbreviations=DEFAULT_ABBREVIATIONS,
-                      html_mode: str = "common") -> Column:
+                      html_mode: str = "full") -> Column:
     """Cleaned string before tokenizing (steps 1-9 of the notebook), as one Column.
 
     Convenient for small inputs; ``social_text_df`` computes the same value in staged projections
@@ -53,7 +53,7 @@ def clean_social_text(text, emoticons=DEFAULT_EMOTICONS, abbreviations=DEFAULT_A
     return _tail(lookup_words(_head(text, emoticons, html_mode), abbreviations))
 
 
-def social_text_steps(emoticons=DEFAULT_EMOTICONS, abbreviations=DEFAULT_ABBREVIATIONS, html_mode: str = "common"):
+def social_text_steps(emoticons=DEFAULT_EMOTICONS, abbreviations=DEFAULT_ABBREVIATIONS, html_mode: str = "full"):
     """The string steps of ``clean_social_text``, one ``Column -> Column`` per projection."""
     emot = lexicon_pairs(emoticons, MAX_FOLD)
     abbr = lexicon_pairs(abbreviations)
@@ -70,7 +70,7 @@ def social_text_steps(emoticons=DEFAULT_EMOTICONS, abbreviations=DEFAULT_ABBREVI
 
 
 def social_text_df(df: DataFrame, text_col: str, out_col: str = "cleaned", emoticons=DEFAULT_EMOTICONS,
-                   abbreviations=DEFAULT_ABBREVIATIONS, html_mode: str = "common", keep=None) -> DataFrame:
+                   abbreviations=DEFAULT_ABBREVIATIONS, html_mode: str = "full", keep=None) -> DataFrame:
     """``df`` plus ``out_col``, the cleaned string; narrow projections only."""
     return TX.run_steps(df, text_col, social_text_steps(emoticons, abbreviations, html_mode), out_col, keep)
 
@@ -94,7 +94,7 @@ def social_tokens(cleaned, abbreviations=DEFAULT_ABBREVIATIONS, stopwords=SPARK_
 
 
 def clean_social(text, emoticons=DEFAULT_EMOTICONS, abbreviations=DEFAULT_ABBREVIATIONS,
-                 stopwords=SPARK_ENGLISH_STOPWORDS, pos_lexicon=None, html_mode: str = "common") -> Column:
+                 stopwords=SPARK_ENGLISH_STOPWORDS, pos_lexicon=None, html_mode: str = "full") -> Column:
     """Text → token array (without stemming; see ``operators.stem.stem_tokens``).
 
     A NULL text gives an empty array (the notebook turned it into the word ``none``).
@@ -106,7 +106,7 @@ def clean_social(text, emoticons=DEFAULT_EMOTICONS, abbreviations=DEFAULT_ABBREV
 
 def social_tokens_df(df: DataFrame, text_col: str, out_col: str = "tokens", emoticons=DEFAULT_EMOTICONS,
                      abbreviations=DEFAULT_ABBREVIATIONS, stopwords=SPARK_ENGLISH_STOPWORDS, pos_lexicon=None,
-                     html_mode: str = "common", keep=None) -> DataFrame:
+                     html_mode: str = "full", keep=None) -> DataFrame:
     """``df`` plus ``out_col``: the token array of ``clean_social`` (NULL text → empty array).
 
     Three projections: the string chain runs in whole-stage codegen; the lookups and token

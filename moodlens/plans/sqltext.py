@@ -6,6 +6,7 @@ expression string.  Regexes are the very same strings the Spark side uses.
 
 from __future__ import annotations
 
+from ..functions import entities as EN
 from ..functions import text as T
 from ..functions.fixed import COMMON_HTML_ENTITIES, CONTRACTION_RULES
 from ..functions.lexicon import dict_order, fold_pairs, hitting_class
@@ -86,6 +87,33 @@ def html_unescape_common(e: str) -> str:
     return replace_literals(e, COMMON_HTML_ENTITIES)
 
 
+def html_unescape_full(e: str) -> str:
+    """Character references by the rules of ``functions.entities``, in DuckDB's functions."""
+    closed, old, windows = (
+        "MAP {" + ", ".join(f"{q(k) if isinstance(k, str) else k}: {q(v)}" for k, v in sorted(m.items())) + "}" for m in (EN.CLOSED, EN.OPEN, EN.WINDOWS)
+    )
+
+    def number(pattern, prefix):
+        return f"TRY_CAST({prefix} || ('0' || ltrim(regexp_extract(p, {q(pattern)}, 1), '0')) AS BIGINT)"
+
+    def character(n):
+        gone = f"{n} BETWEEN 1 AND 8 OR {n} = 11 OR {n} BETWEEN 14 AND 31 OR {n} = 127 OR {n} BETWEEN 64976 AND 65007 OR ({n} & 65534) = 65534"
+        return (
+            f"CASE WHEN {n} IS NULL OR {n} = 0 OR {n} BETWEEN 55296 AND 57343 OR {n} > 1114111 THEN chr(65533) "
+            f"WHEN {n} BETWEEN 128 AND 159 THEN {windows}[CAST({n} AS INTEGER)] WHEN {gone} THEN '' ELSE chr(CAST({n} AS INTEGER)) END"
+        )
+
+    dec, hexa = number(EN.DECIMAL_RE, "''"), number(EN.HEX_RE, "'0x'")
+    name, prefix = f"regexp_extract(p, {q(EN.NAME_RE)}, 1)", f"regexp_extract(p, {q(EN.OPEN_RE)}, 1)"
+    one = (
+        f"CASE WHEN regexp_matches(p, {q(EN.DECIMAL_RE)}) THEN ({character(dec)}) || regexp_replace(p, {q(EN.DECIMAL_RE)}, '') "
+        f"WHEN regexp_matches(p, {q(EN.HEX_RE)}) THEN ({character(hexa)}) || regexp_replace(p, {q(EN.HEX_RE)}, '') "
+        f"WHEN {closed}[{name}] IS NOT NULL THEN {closed}[{name}] || substr(p, length({name}) + 2) "
+        f"WHEN {prefix} <> '' THEN {old}[{prefix}] || substr(p, length({prefix}) + 1) ELSE '&' || p END"
+    )
+    return f"list_reduce(string_split({e}, '&'), lambda a, p: a || {one})"
+
+
 def ordered_replace(e: str, pairs, pad: bool = False, ascii_input: bool = False) -> str:
     return replace_literals(e, fold_pairs(dict_order(pairs), ascii_input=ascii_input), pad=pad)
 
@@ -145,7 +173,7 @@ def remove_stopwords(tokens: str, stopwords, case_sensitive: bool = False) -> st
 def clean_social_text(e: str, emoticons, abbreviations) -> str:
     t = replace_url(f"lower({e})")
     t = strip_ws(t)
-    t = html_unescape_common(t)
+    t = html_unescape_full(t)
     t = remove_unicode(t)
     t = ordered_replace(t, emoticons, ascii_input=True)
     t = lookup_words(t, abbreviations)

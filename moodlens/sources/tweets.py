@@ -46,6 +46,7 @@ DECORATIONS = [
     " Tom &amp; Ann &lt;3",
     " lol! brb w/ u",
     " ok :-D mail bob@x.org :thumbs_up: :fire:",
+    " it&#8217;s caf&eacute; &lt x &AMP &notit; &#x41;&#150;& &zzz;",
 ]
 
 

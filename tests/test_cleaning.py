@@ -72,11 +72,15 @@ def test_golden_classic(spark):
 
 
 def test_full_html_mode(spark):
-    df = _frame(spark, [(1, "a &copy; b &#x41; &amp;lt; &eacute;")])
-    r = df.select(TX.html_unescape(F.col("text"), "full").alias("o")).collect()[0]["o"]
     import html
 
-    assert r == html.unescape("a &copy; b &#x41; &amp;lt; &eacute;")
+    texts = [
+        "a &copy; b &#x41; &amp;lt; &eacute;", "it&#8217;s", "&lt &ltfoo &notit; &notin; &NotEqualTilde; &AMP&amp", "& && &; &# &#; &#x; &#xZ &zzz; &",
+        "&#0; &#150; &#x80; &#xD800; &#x110000; &#99999999999999999999; &#1; &#x1F600 &#00065; &#127;", "", "no reference", "&CounterClockwiseContourIntegral; &bne;",
+    ]
+    rows = list(enumerate(texts)) + [(99, None)]
+    got = {r["id"]: r["o"] for r in _frame(spark, rows).select("id", TX.html_unescape(F.col("text"), "full").alias("o")).collect()}
+    assert got == {i: None if t is None else html.unescape(t) for i, t in rows}
 
 
 def test_tokenize_ws_matches_java_split(spark):
