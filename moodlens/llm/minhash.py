@@ -10,7 +10,8 @@ two sets with probability equal to their Jaccard similarity, and the agreement i
    is compared with all others of its buckets: in a group of copies of one text, this is the text itself.
 3. Verified links give components.  Buckets that still hold several components may hide links between
    members that were never compared; these members go through an exact prefix-filter join (any two sets of
-   that similarity share one of their rarest shingles), restricted to pairs of different components.
+   that similarity share one of their rarest shingles, with enough shingles of both after it), restricted to pairs of
+   different components.
 
 No step emits all pairs of a bucket; a class is compared at most once per band with a bucket's leader.
 """
@@ -185,11 +186,14 @@ def near_duplicates(docs: DataFrame, percent: int = 75) -> DataFrame:
     often = grams.groupBy("gram").agg(F.count("*").alias("f"), F.min("comp").alias("lo"), F.max("comp").alias("hi")).where("f > 1")
     by_doc = Window.partitionBy("cls")
     known = grams.join(often, "gram").withColumn("m", F.count("*").over(by_doc)).withColumn("rank", F.row_number().over(by_doc.orderBy("f", "gram")))
-    prefix = F.expr(f"n - cast(ceil(n * {percent} / 100.0) as bigint) + 1 - (n - m)")
-    known = known.where((F.col("rank") <= prefix) & (F.col("lo") < F.col("hi"))).select("gram", "cls", "comp", "n")
-    x = known.select("gram", F.col("cls").alias("a"), F.col("comp").alias("x"), F.col("n").alias("x_n"))
-    y = known.select("gram", F.col("cls").alias("b"), F.col("comp").alias("y"), F.col("n").alias("y_n"))
-    fits = (F.col("a") < F.col("b")) & (F.col("x") != F.col("y")) & (F.least("x_n", "y_n") * 100 >= F.greatest("x_n", "y_n") * percent)
+    known = known.withColumn("place", F.expr("n - m + rank"))  # in the order of all shingles of the set
+    prefix = F.expr(f"n - cast(ceil(n * {percent} / 100.0) as bigint) + 1")
+    known = known.where((F.col("place") <= prefix) & (F.col("lo") < F.col("hi"))).select("gram", "cls", "comp", "n", F.expr("n - place").alias("left"))
+    x = known.select("gram", F.col("cls").alias("a"), F.col("comp").alias("x"), F.col("n").alias("x_n"), F.col("left").alias("x_left"))
+    y = known.select("gram", F.col("cls").alias("b"), F.col("comp").alias("y"), F.col("n").alias("y_n"), F.col("left").alias("y_left"))
+    # If this is their first common shingle, only what comes after it in both sets can be common too.
+    enough = (100 + percent) * (1 + F.least("x_left", "y_left")) >= percent * (F.col("x_n") + F.col("y_n"))
+    fits = (F.col("a") < F.col("b")) & (F.col("x") != F.col("y")) & (F.least("x_n", "y_n") * 100 >= F.greatest("x_n", "y_n") * percent) & enough
     more = x.join(y, "gram").where(fits).select("a", "b").distinct().join(pairs, ["a", "b"], "left_anti")
     more = written(verified(more), "more-links")
     if more.head(1):
