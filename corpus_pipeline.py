@@ -39,13 +39,16 @@ def quality_filter(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
 
 def exact_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of documents with equal texts (A-Z lower-cased) the one with the largest doc_id.  Of rows that are equal
-    in doc_id and text one stays; rows that share a doc_id but not the text stay if one of them does."""
+    """Of documents with equal texts (A-Z lower-cased) the one with the largest doc_id.  Rows are told apart by
+    doc_id and text; of rows that are equal in both one stays."""
     decided = exact_dedup(docs)
-    left = _without(docs, decided)
-    if decided.groupBy("doc_id", "text_sha256").agg(F.count("*").alias("n"), F.max("kept").alias("any")).where("n > 1 AND any").head(1):
-        left = left.withColumn("lowered", lower_ascii(F.coalesce("text", F.lit("")))).dropDuplicates(["doc_id", "lowered"]).drop("lowered")
-    return left
+    groups = decided.groupBy(F.col("doc_id").alias("gone_id"), F.col("text_sha256").alias("gone_sha")).agg(F.max("kept").alias("any"), F.count("*").alias("n"))
+    same = F.col("doc_id").eqNullSafe(F.col("gone_id")) & (F.col("pipeline_sha") == F.col("gone_sha"))
+    keyed = docs.withColumn("pipeline_sha", F.sha2(lower_ascii(F.coalesce("text", F.lit(""))), 256))
+    left = keyed.join(groups.where("NOT any").select("gone_id", "gone_sha"), same, "left_anti")
+    if groups.where("n > 1 AND any").head(1):
+        left = left.dropDuplicates(["doc_id", "pipeline_sha"])
+    return left.select(*docs.columns)
 
 
 def near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
