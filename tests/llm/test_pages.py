@@ -31,6 +31,7 @@ def test_markup():
     assert _lines('x<p class="notice">n</p>y<p hidden>h</p>') == ["x", "y"]
     assert _lines("<main><p>in</p></main><p>out</p>") == ["in"]
     assert _lines("<article><p><b>T<br><p>one") == ["T", "one"]
+    assert _lines('<article><div class="post-header"><h2>T</h2></div><p>x</p><div class="alert">a</div></article>') == ["T", "x"]
     assert _lines("") == _lines(None) == []
 
 
