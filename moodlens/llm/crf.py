@@ -19,7 +19,7 @@ from . import words as W
 from .bpe import slices
 
 THRESHOLD = 0.7
-PART_BYTES = 2 << 20
+PART_BYTES = 1 << 20
 _UPPER = np.zeros(256, bool)
 _UPPER[65:91] = True
 _LETTER = _UPPER.copy()
