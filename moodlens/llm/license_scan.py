@@ -3,7 +3,8 @@
 Units are the lines of a text and, where it has several, the whole text.  With a and b distinct bigrams and s
 shared ones the coefficient is 2 s / (a + b).  It can reach t only if a and b differ by at most the factor
 (2 - t) / t, so a unit meets just the templates of about its size, and most lines meet none.  Templates are a
-fixed list in the plan: the scan is narrow, with no join and no shuffle.
+fixed list in the plan: the scan is narrow, with no join and no shuffle.  Texts and lines without any of a few
+words that a match must hold are passed over.
 """
 
 from __future__ import annotations
@@ -44,6 +45,19 @@ def _bigrams(text: str) -> list[str]:
     return list(dict.fromkeys(f"{a} {b}" for a, b in zip(words, words[1:])))
 
 
+def needed_words(grams: list[str], threshold: float) -> set[str]:
+    """Words of which a unit must hold one to reach the threshold.  With b bigrams in the template that takes
+    ``threshold * b / (2 - threshold)`` shared ones; words are taken, longest first, until fewer bigrams are
+    left without any of them."""
+    least = threshold * len(grams) / (2 - threshold)
+    out: set[str] = set()
+    for word in sorted({w for g in grams for w in g.split()}, key=lambda w: (len(w), w), reverse=True):
+        if sum(out.isdisjoint(g.split()) for g in grams) < least - 1e-9:
+            break
+        out.add(word)
+    return out
+
+
 def license_scan(docs: DataFrame, templates: list[tuple[str, str]] = TEMPLATES, threshold: float = THRESHOLD) -> DataFrame:
     """Units of a document that are like a licence template.
 
@@ -62,14 +76,19 @@ def license_scan(docs: DataFrame, templates: list[tuple[str, str]] = TEMPLATES,
         """Candidates by size."""
         return F.filter("templates", lambda t: (t["n"] <= c * factor + 1e-9) & (c <= t["n"] * factor + 1e-9))
 
-    # Cleaned once per text; the generator keeps what follows from being computed anew for every reference.
-    units = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.regexp_replace(lower_ascii(F.col("text").cast("string")), "[^a-z0-9\n]+", " ").alias("text"))
-    whole = F.when(F.instr("text", "\n") > 0, F.translate("text", "\n", " ")).otherwise("")
-    units = units.select("doc_id", F.posexplode(F.concat(F.array(whole), F.split("text", "\n"))).alias("unit", "part"))
-    words = F.split(F.trim(F.regexp_replace("part", " +", " ")), " ")
+    # Cleaned once per text; generators keep what follows from being computed anew for every reference
+    # (the outer ones, for which no filter is inferred that would compute their input twice).
+    clean = F.regexp_replace(lower_ascii(F.col("text").cast("string")), "[^a-z0-9\n]+", " ")
+    words = "|".join(sorted(set().union(*(needed_words(b, threshold) for _, _, b, _ in known))))
+    likely = F.rlike("text", F.lit(f"(?:^|[ \n])(?:{words})(?:[ \n]|$)"))
+    texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.explode_outer(F.array(clean)).alias("text")).where(likely)
+    whole = F.when(F.instr("text", "\n") > 0, F.regexp_replace("text", "[ \n]+", " ")).otherwise("")
+    units = texts.select("doc_id", F.posexplode_outer(F.concat(F.array(whole), F.split("text", "\n"))).alias("unit", "text")).where(likely)
+    units = units.select("doc_id", "unit", F.trim("text").alias("part"))
+    words = F.split("part", " ")
     both = F.arrays_zip(F.slice(words, 1, F.size(words) - 1).alias("x"), F.slice(words, 2, F.size(words) - 1).alias("y"))
     pairs = F.array_distinct(F.transform(both, lambda z: F.concat(z["x"], F.lit(" "), z["y"])))
-    grams = units.where(F.instr(F.trim("part"), " ") > 0).select("doc_id", "unit", F.explode(F.array(pairs)).alias("grams"))
+    grams = units.where(F.instr("part", " ") > 0).select("doc_id", "unit", F.explode(F.array(pairs)).alias("grams"))
     near = grams.where(F.size("grams") <= longest).select("doc_id", "unit", "grams", F.size("grams").alias("n"), literal.alias("templates"))
     hits = F.transform(
         close(F.col("n")),
