@@ -110,8 +110,8 @@ def test_lexicon_dataframe_fold_equals_list(spark):
 ALPHABET = "abcdeilnorstuwhp0 \t\n  !?.@#'&;:)(/_-éü€" + "é"
 
 
-@settings(max_examples=15, deadline=None, suppress_health_check=list(HealthCheck))
-@given(st.lists(st.text(alphabet=ALPHABET, max_size=40), min_size=60, max_size=60))
+@settings(max_examples=5, deadline=None, suppress_health_check=list(HealthCheck))
+@given(st.lists(st.text(alphabet=ALPHABET, max_size=40), min_size=150, max_size=150))
 def test_properties_of_clean_texts(spark, texts):
     df = _frame(spark, list(enumerate(texts)))
     social_rows = social.social_text_df(df, "text", "o").collect()
