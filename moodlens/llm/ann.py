@@ -54,21 +54,37 @@ def kmeans(x: np.ndarray, lists: int, rounds: int = 8) -> np.ndarray:
     return c
 
 
-def probes_needed(x: np.ndarray, c: np.ndarray, k: int, recall: float, queries: int = 256) -> int:
-    """The smallest number of lists that finds ``recall`` of the sample's own neighbours."""
-    q = np.arange(0, len(x), max(1, len(x) // queries))[:queries]
-    s = x[q] @ x.T
-    s[np.arange(len(q)), q] = -np.inf
-    near = np.argpartition(-s, min(k, len(x) - 1) - 1, axis=1)[:, :k]
-    order = np.argsort(np.argsort(-(x[q] @ c.T), axis=1), axis=1)  # rank of each list for each query
-    need = np.take_along_axis(order, np.argmax(x @ c.T, axis=1)[near], axis=1)
-    return min(len(c), int(np.quantile(need, recall, method="higher")) + 1)
-
-
-def scan(q: np.ndarray, columns: np.ndarray, limit: float, k: int) -> np.ndarray:
-    """Rows of a block (``columns``: dimension by row, rotated) that may be among the k nearest of ``q``."""
+def nearest_of_ids(distance: np.ndarray, ids: np.ndarray, k: int) -> np.ndarray:
+    """Places of the nearest row of each of the k nearest ids (of all ids if there are fewer)."""
+    m = min(len(ids), 2 * k)
+    while True:
+        near = np.argpartition(distance, m - 1)[:m] if m < len(ids) else np.arange(m)
+        near = near[np.argsort(distance[near], kind="stable")]
+        first = np.sort(np.unique(ids[near], return_index=True)[1])
+        if len(first) >= k or m == len(ids):
+            return near[first[:k]]
+        m = min(len(ids), 4 * m)
+
+
+def probes_needed(x: np.ndarray, ids: np.ndarray, c: np.ndarray, k: int, recall: float, queries: int = 256) -> int:
+    """The smallest number of lists that finds ``recall`` of the sample's own neighbours (rows of other ids)."""
+    need, home = [], np.argmax(x @ c.T, axis=1)
+    for i in np.arange(0, len(x), max(1, len(x) // queries))[:queries]:
+        others = np.flatnonzero(ids != ids[i])
+        if len(others):
+            near = others[nearest_of_ids(-(x[others] @ x[i]), ids[others], k)]
+            order = np.argsort(np.argsort(-(x[i] @ c.T)))  # rank of each list for the query
+            need.append(order[home[near]])
+    return min(len(c), int(np.quantile(np.concatenate(need), recall, method="higher")) + 1) if need else len(c)
+
+
+def scan(q: np.ndarray, columns: np.ndarray, limit: float, k: int, ids: np.ndarray | None = None, own: int | None = None) -> np.ndarray:
+    """Rows of a block (``columns``: dimension by row, rotated) that may be the best of the k nearest ids of
+    ``q`` other than ``own``; without ``ids`` each row is one."""
     dim, n = columns.shape
-    alive, part = np.arange(n), np.zeros(n)
+    ids = np.arange(n) if ids is None else ids
+    alive = np.arange(n) if own is None else np.flatnonzero(ids != own)
+    part = np.zeros(len(alive))
     for at in range(0, dim, STEP):
         end = min(dim, at + STEP)
         block = columns[at:end][:, alive] if len(alive) < n else columns[at:end]
@@ -76,9 +92,10 @@ def scan(q: np.ndarray, columns: np.ndarray, limit: float, k: int) -> np.ndarray
         if end == dim:
             break
         if len(alive) > k:
-            # The k candidates that look nearest now give a distance that the k nearest cannot exceed.
-            best = alive[np.argpartition(part, k - 1)[:k]]
-            limit = min(limit, ((columns[:, best] - q[:, None]) ** 2).sum(axis=0).max())
+            # The k ids that look nearest now give a distance that the k nearest cannot exceed.
+            best = alive[nearest_of_ids(part, ids[alive], k)]
+            if len(best) == k:
+                limit = min(limit, ((columns[:, best] - q[:, None]) ** 2).sum(axis=0).max())
         # Of a squared distance D, a random rotation puts D * Beta(end / 2, (dim - end) / 2) in the first columns.
         spread = np.sqrt(2 * (dim - end) / (end * (dim + 2)))
         keep = part * (dim / end) <= limit * (1 + WIDTH * spread) + SLACK
@@ -100,8 +117,7 @@ def _search(k: int, turn: np.ndarray):
         limits = queries.column("worst").to_numpy()
         out = []
         for i, q in enumerate(q_unit @ turn):
-            near = scan(q, columns, limits[i], k + 1)
-            near = near[ids[near] != q_ids[i]]
+            near = scan(q, columns, limits[i], k, ids, q_ids[i])
             score = (unit[near] * q_unit[i]).sum(axis=1)
             order = np.lexsort((ids[near], -score))
             seen: dict[int, float] = {}
@@ -134,14 +150,14 @@ def nearest(vectors: DataFrame, every: int = 50, k: int = 5, recall: float = 0.9
     if size is None:
         return spark.createDataFrame([], schema)
     dim, total = size["d"], size["count"]
-    rows = rows.where(F.size("v") == dim)
+    rows = rows.where(F.size("v") == dim).distinct()  # equal rows count once, however many there are
 
-    # A bounded sample in the order of a hash of the id.
-    sample = rows.orderBy(F.xxhash64("vec_id"), "v").limit(sample_rows).select("v").toArrow().column("v")
-    x = _unit(np.array(sample.to_pylist(), np.float64))
+    # A bounded sample in the order of a hash of the row, so that no id fills it.
+    sample = rows.orderBy(F.xxhash64("vec_id", "v"), "vec_id", "v").limit(sample_rows).toArrow()
+    x = _unit(np.array(sample.column("v").to_pylist(), np.float64))
     lists = max(1, min(int(total**0.5), len(x) // 16))
     c = kmeans(x, lists)
-    probes = probes_needed(x, c, k, recall) if len(x) > 1 else lists
+    probes = probes_needed(x, sample.column("vec_id").to_numpy(), c, k, recall) if len(x) > 1 else lists
 
     def place(batches):
         for b in batches:
@@ -154,10 +170,12 @@ def nearest(vectors: DataFrame, every: int = 50, k: int = 5, recall: float = 0.9
     index = spark.read.parquet(base)
     sizes = {r["list"]: r["n"] for r in index.groupBy("list").agg(F.count("*").alias("n")).collect()}  # one row per list
     blocks = {i: -(-n // block_rows) for i, n in sizes.items()}
-    few = np.cumsum([0] * (lists - len(sizes)) + sorted(sizes.values()))
-    probes = max(probes, min(lists, int(np.searchsorted(few, k, side="right")) + 1))  # more than k rows in any probed lists
+    # Each id counts in one of its lists only: more than k ids in any probed lists.
+    homes = index.groupBy("vec_id").agg(F.min("list").alias("list")).groupBy("list").agg(F.count("*").alias("n")).collect()
+    few = np.cumsum([0] * (lists - len(homes)) + sorted(r["n"] for r in homes))
+    probes = max(probes, min(lists, int(np.searchsorted(few, k, side="right")) + 1))
     counts = F.create_map(*[F.lit(z) for kv in sorted(blocks.items()) for z in kv])
-    index = index.withColumn("block", F.pmod(F.xxhash64("vec_id"), counts[F.col("list")]).cast("int"))
+    index = index.withColumn("block", F.pmod(F.xxhash64("vec_id", "vec"), counts[F.col("list")]).cast("int"))
 
     queries = index.where(F.col("vec_id") % every == 0).groupBy(F.col("vec_id").alias("query_id")).agg(F.min("vec").alias("vec"))
     groups = max(1, -(-total // (every * block_rows)))  # of queries, so that a task's queries are bounded too
@@ -186,13 +204,18 @@ def nearest(vectors: DataFrame, every: int = 50, k: int = 5, recall: float = 0.9
         return got
 
     best = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
+
+    def ranked(found: DataFrame) -> DataFrame:
+        """The k best ids of each query; an id can come from several blocks and lists."""
+        found = found.repartition("query_id").groupBy("query_id", "vec_id").agg(F.max("score").alias("score"))
+        return found.withColumn("rank", F.row_number().over(best)).where(F.col("rank") <= k)
+
     path = f"{base}-first"
-    search(sent.where("turn = 0").withColumn("worst", F.lit(float("inf")))).withColumn("rank", F.row_number().over(best)).where(F.col("rank") <= k).drop("rank").write.parquet(path)
+    ranked(search(sent.where("turn = 0").withColumn("worst", F.lit(float("inf"))))).drop("rank").write.parquet(path)
     first = spark.read.parquet(path)
     # Squared distance of unit vectors: 2 - 2 cos.
     worst = first.groupBy("query_id").agg(F.count("*").alias("n"), F.min("score").alias("low"))
     worst = worst.where(F.col("n") >= k).select("query_id", (2 - 2 * F.col("low")).alias("worst"))
     others = sent.where("turn > 0").join(worst, "query_id", "left").withColumn("worst", F.coalesce("worst", F.lit(float("inf"))))
     found = first.unionByName(search(others))
-    ranked = found.withColumn("rank", F.row_number().over(best)).where(F.col("rank") <= k)
-    return ranked.select("query_id", F.col("rank").cast("int").alias("rank"), "vec_id", "score")
+    return ranked(found).select("query_id", F.col("rank").cast("int").alias("rank"), "vec_id", "score")

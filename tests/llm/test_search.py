@@ -51,3 +51,26 @@ def test_scan_keeps_the_nearest():
         assert len(near) < 400  # most candidates are abandoned
         lost += len(set(true) - set(near))
     assert lost <= 3
+
+
+def test_repeated_ids_push_no_candidate_out(spark):
+    rng = np.random.default_rng(5)
+    x = rng.standard_normal((400, 64))
+    near = x[0] + 0.1 * rng.standard_normal((8, 64))
+    rows = [(i, v) for i, v in enumerate(x)] + [(0, x[0])] * 10 + [(1000 + i, v) for i, v in enumerate(near)]
+    rows += [(1000, near[0])] * 10 + [(1001, near[1] + 0.001 * rng.standard_normal(64)) for _ in range(40)]  # equal and other vectors of an id
+    df = spark.createDataFrame([(i, v.tolist()) for i, v in rows], "vec_id long, embedding array<double>")
+    unit = np.array([v for _, v in rows])
+    unit /= np.linalg.norm(unit, axis=1, keepdims=True)
+    top = {}
+    for (i, _), s in zip(rows, unit @ unit[0]):
+        top[i] = max(top.get(i, -1), s)
+    want = sorted((i for i in top if i), key=lambda i: (-top[i], i))[:5]
+    for block in (4_096, 16):
+        got = sorted((r.rank, r.vec_id) for r in ann.nearest(df, block_rows=block, recall=1.0).collect() if r.query_id == 0)
+        assert got == list(enumerate(want, 1))
+    hot = [(0, x[0])] * 20 + [(1, x[1])] * 20 + [(2, x[2]), (3, x[3])]
+    df = spark.createDataFrame([(i, v.tolist()) for i, v in hot], "vec_id long, embedding array<double>")
+    assert sorted(r.vec_id for r in ann.nearest(df).collect()) == [1, 2, 3]  # all candidates
+    q, columns, ids = unit[0], np.ascontiguousarray(unit.T), np.array([i for i, _ in rows])
+    assert set(want) <= set(ids[ann.scan(q, columns, np.inf, 5, ids, 0)].tolist())
