@@ -5,10 +5,16 @@ shared ones the coefficient is 2 s / (a + b).  It can reach t only if a and b di
 (2 - t) / t, so a unit meets just the templates of about its size, and most lines meet none.  Templates are a
 fixed list in the plan: the scan is narrow, with no join and no shuffle.  Texts and lines without any of a few
 words that a match must hold are passed over.
+
+A notice can also be a part of a line or run over several lines of a longer text.  So runs of words are units
+too: over the words of the whole text, those that begin and end with a bigram of a template and have at most
+(2 - t) / t times its bigrams.  A run needs t b / (2 - t) shared bigrams, so only places with that many of them
+close together are looked at.
 """
 
 from __future__ import annotations
 
+import math
 import re
 
 from pyspark.sql import DataFrame
@@ -66,6 +72,10 @@ def license_scan(docs: DataFrame, templates: list[tuple[str, str]] = TEMPLATES,
     (its place in the list), license, shared, dice.  Text is compared without case (A-Z) and punctuation.
     Null and empty texts and units of fewer than two words match nothing; repeated rows match each; all
     templates that reach the threshold are returned, ties too.  An empty table gives an empty table.
+
+    Runs of words that reach it have as unit minus the place of their first word in the text (from 1).  Of the
+    runs of a template that overlap, the one with the highest coefficient counts (then the first, the shortest).
+    A run inside a line, or in a text, that itself matches a template of the same licence is not given again.
     """
     factor = (2 - threshold) / threshold
     known = [(i, name, b, len(b)) for i, (name, text) in enumerate(templates) for b in [_bigrams(text)]]
@@ -95,7 +105,71 @@ def license_scan(docs: DataFrame, templates: list[tuple[str, str]] = TEMPLATES,
         lambda t: F.struct(t["template"].alias("template"), t["license"].alias("license"), F.size(F.array_intersect("grams", t["grams"])).alias("shared"), (F.col("n") + t["n"]).alias("both")),
     )
     hits = near.select("doc_id", "unit", F.explode(hits).alias("t")).where(F.expr(f"2.0D * t.shared / t.both >= {threshold}D"))
-    return hits.select("doc_id", "unit", "t.template", "t.license", "t.shared", F.expr("2.0D * t.shared / t.both").alias("dice"))
+    hits = hits.select("doc_id", "unit", "t.template", "t.license", "t.shared", F.expr("2.0D * t.shared / t.both").alias("dice"))
+    return hits.unionByName(_runs(texts, templates, threshold))
+
+
+def _pairs(words):
+    """All bigrams of an array of words, in order."""
+    rest = F.greatest(F.size(words) - 1, F.lit(0))
+    return F.transform(F.arrays_zip(F.slice(words, 1, rest).alias("x"), F.slice(words, 2, rest).alias("y")), lambda z: F.concat(z["x"], F.lit(" "), z["y"]))
+
+
+def _best_end(start, window, grams, n):
+    """Of the runs from the begin of a window that end with a bigram of the template, the most alike."""
+    marked = F.transform(window, lambda g, i: F.struct(i.alias("i"), (F.array_position(window, g) == i + 1).alias("new"), F.array_contains(grams, g).alias("hit")))
+
+    def step(acc, x):
+        a = acc["a"] + x["new"].cast("int")
+        shared = acc["s"] + (x["new"] & x["hit"]).cast("int")
+        dice = F.lit(2.0) * shared / (a + n)
+        better = x["hit"] & (dice > acc["dice"])
+        return F.struct(
+            a.alias("a"), shared.alias("s"), F.when(better, dice).otherwise(acc["dice"]).alias("dice"),
+            F.when(better, x["i"]).otherwise(acc["last"]).alias("last"), F.when(better, shared).otherwise(acc["shared"]).alias("shared"),
+        )
+
+    zero = F.struct(F.lit(0).alias("a"), F.lit(0).alias("s"), F.lit(0.0).alias("dice"), F.lit(0).alias("last"), F.lit(0).alias("shared"))
+    return F.aggregate(marked, zero, step, lambda acc: F.struct((-acc["dice"]).alias("order"), start.alias("start"), (start + acc["last"]).alias("last"), acc["shared"].alias("shared"), acc["dice"].alias("dice")))
+
+
+def _runs(texts: DataFrame, templates: list[tuple[str, str]], threshold: float) -> DataFrame:
+    """Runs of words of cleaned texts that are like a template, without those in a unit of the same licence."""
+    factor = (2 - threshold) / threshold
+    known = []
+    for i, (name, text) in enumerate(templates):
+        grams, words = _bigrams(text), len(re.sub("[^a-z0-9]+", " ", text.lower()).split())
+        if grams:
+            known.append((i, name, grams, max(1, math.ceil(len(grams) / factor - 1e-9)), math.floor((words - 1) * factor + 1e-9)))
+    if not known:
+        return texts.where(F.lit(False)).select("doc_id", *[F.lit(None).cast(t).alias(c) for c, t in (("unit", "int"), ("template", "int"), ("license", "string"), ("shared", "int"), ("dice", "double"))])
+    literal = F.array(*[F.struct(F.lit(i).alias("template"), F.lit(name).alias("license"), F.array(*map(F.lit, b)).alias("grams"), F.lit(len(b)).alias("n"), F.lit(least).alias("least"), F.lit(most).alias("most")) for i, name, b, least, most in known])
+    every = F.array(*map(F.lit, sorted({g for _, _, b, *_ in known for g in b})))
+
+    def like(words, license):
+        """Whether a unit matches a template of the licence."""
+        found = F.transform(F.array(F.array_distinct(_pairs(words))), lambda own: F.exists("templates", lambda t: (t["license"] == license) & (F.lit(2.0) * F.size(F.array_intersect(own, t["grams"])) / (F.size(own) + t["n"]) >= threshold)))
+        return found[0]
+
+    words = texts.select("doc_id", "text", F.explode(F.array(F.filter(F.split("text", "[ \n]+"), lambda w: w != ""))).alias("words"))
+    grams = words.select("doc_id", "text", "words", F.explode(F.array(_pairs(F.col("words")))).alias("grams"))
+    common = grams.select("*", F.explode(F.array(F.array_intersect("grams", every))).alias("common")).where(F.size("common") >= min(least for *_, least, _ in known))
+    possible = F.filter("templates", lambda t: F.size(F.array_intersect("common", t["grams"])) >= t["least"])
+    rows = common.withColumn("templates", literal).withColumn("t", F.explode(possible))
+    # Places of the template's bigrams; a run begins at one that has enough others after it.
+    places = F.filter(F.transform("grams", lambda g, i: F.when(F.array_contains(F.col("t.grams"), g), i)), lambda i: i.isNotNull())
+    rows = rows.withColumn("places", F.explode(F.array(places)))
+    starts = F.filter("places", lambda p, k: F.get("places", k + F.col("t.least") - 1) - p < F.col("t.most"))
+    windows = F.transform(starts, lambda p: F.struct(p.alias("p"), F.slice("grams", p + 1, F.col("t.most")).alias("w")))
+    runs = F.transform(windows, lambda x: _best_end(x["p"], x["w"], F.col("t.grams"), F.col("t.n")))
+    rows = rows.withColumn("runs", F.explode(F.array(F.array_sort(F.filter(runs, lambda x: x["dice"] >= threshold))))).where(F.size("runs") > 0)
+    apart = F.aggregate("runs", F.slice("runs", 1, 0), lambda acc, x: F.when(F.exists(acc, lambda y: (y["start"] <= x["last"] + 1) & (x["start"] <= y["last"] + 1)), acc).otherwise(F.concat(acc, F.array(x))))
+    lines = F.transform(F.split("text", "\n"), lambda line: F.filter(F.split(line, " +"), lambda w: w != ""))
+    rows = rows.where(~like(F.col("words"), F.col("t.license"))).withColumn("lines", F.explode(F.array(lines)))
+    rows = rows.withColumn("line_of", F.explode(F.array(F.flatten(F.transform("lines", lambda w, i: F.array_repeat(i, F.size(w)))))))
+    rows = rows.withColumn("run", F.explode(apart)).withColumns({"begin": F.get("line_of", F.col("run.start")), "end": F.get("line_of", F.col("run.last") + 1)})
+    rows = rows.where((F.col("begin") != F.col("end")) | ~like(F.get("lines", F.col("begin")), F.col("t.license")))
+    return rows.select("doc_id", (-F.col("run.start") - 1).cast("int").alias("unit"), "t.template", "t.license", "run.shared", "run.dice")
 
 
 def oracle_sql(templates: list[tuple[str, str]] = TEMPLATES, threshold: float = THRESHOLD) -> str:

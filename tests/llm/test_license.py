@@ -1,3 +1,6 @@
+import re
+import textwrap
+
 from moodlens.llm import license_scan as L
 
 
@@ -23,3 +26,52 @@ def test_brute_force(table):
 
 def test_repeated_rows_match_each(table):
     assert L.license_scan(table([(1, "All rights reserved.")] * 2)).count() == 2
+
+
+def _words(text):
+    return re.sub("[^a-z0-9]+", " ", text.lower()).split()
+
+
+def _runs(text):
+    """Runs of words that match, and lie in no unit that matches the same licence."""
+    out, words = [], _words(text)
+    pairs = [f"{a} {b}" for a, b in zip(words, words[1:])]
+    line_of = [i for i, line in enumerate(text.split("\n")) for _ in _words(line)]
+    for i, (name, body) in enumerate(L.TEMPLATES):
+        known, most = set(L._bigrams(body)), int((len(_words(body)) - 1) * 1.5)
+        like = [x for other, x in L.TEMPLATES if other == name]
+        hits, found = [k for k, p in enumerate(pairs) if p in known], []
+        for a in hits:
+            ends = [(-2 * len(own & known) / (len(own) + len(known)), a, b) for b in hits if a <= b < a + most for own in [set(pairs[a : b + 1])]]
+            found += [x for x in ends if -x[0] >= L.THRESHOLD]
+        taken = []
+        for x in sorted(found):
+            if not any(x[1] <= y[2] + 1 and y[1] <= x[2] + 1 for y in taken):
+                taken.append(x)
+        for dice, a, b in taken:
+            units = [text] + ([text.split("\n")[line_of[a]]] if line_of[a] == line_of[b + 1] else [])
+            if not any(_dice(u, x) >= L.THRESHOLD for u in units for x in like):
+                out.append((-a - 1, i, round(-dice, 9)))
+    return sorted(out)
+
+
+def test_parts_of_lines_and_runs_over_lines(table):
+    other = " ".join(f"word{i} of the software" for i in range(60))
+    body = {i: "\n".join(f" * {x}" for x in textwrap.wrap(L.TEMPLATES[i][1], 72)) for i in (1, 4, 5, 7)}
+    texts = [
+        "Copyright 2024 Acme Inc. All rights reserved.",
+        "This project is released under the MIT License. See the file.\nNothing else here.",
+        *(f"{other}\n{x}\nint main()\n{other}" for x in body.values()),
+        f"{other} {L.TEMPLATES[7][1]} {other} {L.TEMPLATES[7][1].replace('any later', 'another')} All rights reserved, {other}",
+        f"{other}\nAll rights reserved.\nx all rights reserved, all rights reserved y all rights reserved",
+        "All rights reserved.\nReleased under the MIT License.\nx", "all rights", "", " \n ",
+    ]
+    got = {}
+    for r in L.license_scan(table(list(enumerate(texts)))).collect():
+        if r.unit < 0:
+            got.setdefault(r.doc_id, []).append((r.unit, r.template, round(r.dice, 9)))
+    assert {d: sorted(x) for d, x in got.items()} == {d: x for d, t in enumerate(texts) if (x := _runs(t))}
+    assert [x[1] for x in got[0]] == [17] and 2 in [x[1] for x in got[1]] and len(got[6]) > 4
+    for doc, i in enumerate(body, 2):
+        assert (i, 1.0) in [x[1:] for x in got[doc]]
+    assert 8 not in got
