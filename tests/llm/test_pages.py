@@ -68,6 +68,31 @@ def test_differencing(spark):
     assert H.main_text(df.limit(0)).count() == 0
 
 
+def test_copies_and_short_pages(spark):
+    nav = "".join(f"<div>menu entry {i}</div>" for i in range(12))
+    long = [f"<div>{w} page with words of its own {w * 200}</div>" for w in ("first", "last")]
+    copy = f"{nav}<div>the copied text {'c' * 200}</div>"
+    rows = [_page(0, "http://h/a", nav + long[0]), *(_page(i, f"http://h/b?{i}", copy) for i in range(1, 6)), _page(6, "http://h/c", nav + long[1])]
+    rows += [_page(10 + i, f"http://n/b{i}", f"{copy}<div>no {i}</div>") for i in range(1, 6)]  # near copies
+    rows += [_page(10, "http://n/a", nav + long[0]), _page(16, "http://n/c", nav + long[1])]
+    rows += [_page(20, "http://s/a", nav + long[0]), _page(21, "http://s/b", f"{nav}<div>short</div>"), _page(22, "http://s/c", nav + long[1])]
+    rows += [_page(30, "http://i/a", f"{nav}{copy[len(nav):]}{long[0] * 3}"), _page(31, "http://i/b", copy), _page(32, "http://i/c", nav + long[1])]
+    df = spark.createDataFrame(rows, "page_id long, url string, html string")
+    kept = spark.conf.get("spark.sql.adaptive.coalescePartitions.enabled")
+    for coalesce in (kept, "false"):  # false: the runs lie in several partitions
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", coalesce)
+        try:
+            text = {r.page_id: r.text for r in H.main_text(df).collect()}
+        finally:
+            spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", kept)
+        own = f"the copied text {'c' * 200}"
+        assert all(text[i] == own for i in range(1, 6))
+        assert all(text[10 + i] == f"{own}\nno {i}" for i in range(1, 6))
+        assert all("menu" not in text[i] and "own" in text[i] for i in (0, 6, 10, 16, 20, 22))
+        assert text[21] == "short"
+        assert text[31] == own  # an index that repeats the page does not delete it
+
+
 def test_whole_table(spark):
     import html as entities
 
