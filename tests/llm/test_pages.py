@@ -35,6 +35,16 @@ def test_markup():
     assert _lines("") == _lines(None) == []
 
 
+def test_slugs_and_formulas_in_articles():
+    page = (
+        '<article><h2 id="related-work">R</h2><h3 id="comments">C</h3><section id="social-impact">S</section><div id="comment-faire">F</div><p id="notice">N</p>'
+        '<p>x <math><mi>a</mi><mo>+</mo><mi>b</mi><annotation encoding="application/x-tex">a+b</annotation></math> y</p>'
+        '<div class="share-buttons">b</div><ul class="wide related-posts"><li>p</ul><div id="ad-slot-3">ad</div><p class="comment">c</p></article>'
+    )
+    assert _lines(page) == ["R", "C", "S", "F", "N", "x a+b y"]
+    assert _lines('<div id="social-impact">s</div><p>t') == ["t"]
+
+
 def test_shared_lines_are_a_longest_common_subsequence():
     rnd = random.Random(2)
     for _ in range(50):
