@@ -7,6 +7,7 @@ from typing import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from ..sources.tables import read_table
+from . import best_position, bond
 from . import exact_dedup as exact
 from . import license_scan as licences
 from . import warc
@@ -17,6 +18,7 @@ from .html_text import main_text
 from .minhash import near_duplicates
 from .packing import pack
 from .substring_dedup import substring_dedup
+from .url_filter import url_verdicts
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -91,3 +93,24 @@ ORACLES["op2_license_scan"] = licences.oracle_sql()
 @query
 def op10_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "labels"))
+
+
+@query
+def op11_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return url_verdicts(read_table(spark, sf_dir, "pages"))
+
+
+@query
+def op12_ranked_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return best_position.ranked_search(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "benchmark"), k=50)
+
+
+ORACLES["op12_ranked_search"] = best_position.ORACLE_SQL
+
+
+@query
+def op13_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return bond.hard_negatives(read_table(spark, sf_dir, "embeddings"), every=100)
+
+
+ORACLES["op13_hard_negatives"] = bond.ORACLE_SQL
