@@ -26,23 +26,25 @@ STEP = 8  # columns between two tests
 EXACT = 2**53  # doubles add integers below it exactly
 RANGE = 2.0**62
 ANCHOR_BYTES = 8 << 20
-INF = float("inf")
+LEAST, MOST = -(2**63) + 1, 2**63 - 1  # no limit
 
 
-def kth(x: np.ndarray, k: int) -> float:
-    return -INF if len(x) < k else float(np.partition(x, len(x) - k)[len(x) - k])
+def kth(x: np.ndarray, k: int) -> int:
+    return LEAST if len(x) < k else int(np.partition(x, len(x) - k)[len(x) - k])
 
 
-def scan(columns: np.ndarray, low: np.ndarray, high: np.ndarray, anchor: np.ndarray, windows: list, limits: list, k: int) -> tuple[np.ndarray, np.ndarray]:
+def scan(columns: np.ndarray, low: np.ndarray, high: np.ndarray, anchor: np.ndarray, windows: list, limits: list, k: int, without: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray]:
     """Rows of ``columns`` (dimension by row, each between ``low`` and ``high``) and their scores, among them the k
-    best of each window ``(least, most)`` that reach the window's limit (the k-th score known, or -inf)."""
+    best of each window ``(least, most)`` that reach the window's limit (the k-th score known, or LEAST);
+    rows marked in ``without`` take no part."""
     dim, n = columns.shape
     order = np.argsort(-np.abs(anchor), kind="stable")
     ends = np.stack([anchor * low, anchor * high])[:, order]
     # What the columns from each place on can still add.
     rest = [np.concatenate([np.cumsum(e[::-1])[::-1], [0]]) for e in (ends.min(axis=0), ends.max(axis=0))]
     limits = list(limits)
-    alive, part = np.arange(n), np.zeros(n, columns.dtype)
+    alive = np.arange(n) if without is None else np.flatnonzero(~without)
+    part = np.zeros(len(alive), columns.dtype)
     for at in range(0, dim, STEP):
         read = order[at : at + STEP]
         block = columns[read] if len(alive) == n else columns[np.ix_(read, alive)]
@@ -50,8 +52,7 @@ def scan(columns: np.ndarray, low: np.ndarray, high: np.ndarray, anchor: np.ndar
         end = at + len(read)
         least, most = part + rest[0][end], part + rest[1][end]
         for i, (lo, hi) in enumerate(windows):
-            if limits[i] == -INF:
-                limits[i] = kth(least[(least >= lo) & (most <= hi)], k)
+            limits[i] = max(limits[i], kth(least[(least >= lo) & (most <= hi)], k))
         floors = [max(lo, limit) for (lo, _), limit in zip(windows, limits)]
         bitmap = (most >= min(floors)) & (least <= max(hi for _, hi in windows))
         alive, part = alive[bitmap], part[bitmap]
@@ -80,8 +81,8 @@ class Block:
             self.columns[kind] = self.columns[np.int64].astype(kind)
         return self.columns[kind], kind
 
-    def search(self, anchor: np.ndarray, label: int, same: bool, windows: list, limits: list, k: int):
-        """Ids and scores of the rows of the same label, or of all others, that may belong to a window's best."""
+    def search(self, own: int, anchor: np.ndarray, label: int, same: bool, windows: list, limits: list, k: int):
+        """Ids and scores of rows of other ids, of the same label or of all others, that may belong to a window's best."""
         columns, kind = self.typed(anchor)
         i = int(np.searchsorted(self.labels, label))
         has = i < len(self.labels) and self.labels[i] == label
@@ -93,7 +94,8 @@ class Block:
             if a < b:
                 span = slice(self.at[a], self.at[b])
                 low, high = self.low[a:b].min(axis=0).astype(kind), self.high[a:b].max(axis=0).astype(kind)
-                near, score = scan(columns[:, span], low, high, anchor.astype(kind), windows, limits, k)
+                mine = self.ids[span] == own
+                near, score = scan(columns[:, span], low, high, anchor.astype(kind), windows, limits, k, mine if mine.any() else None)
                 yield self.ids[span][near], score.astype(np.int64)
 
 
@@ -138,11 +140,8 @@ def searcher(anchors: list, same: bool, k: int):
                     continue
                 spans = [(lo, hi) for _, lo, hi, _ in windows]
                 held = [found.get((n, place)) for place, *_ in windows]
-                limits = [max(limit, h[1][-1] if h is not None and len(h[1]) == k else -INF) for (*_, limit), h in zip(windows, held)]
-                for ids, score in block.search(vector, label, same, spans, limits, k):
-                    if same:
-                        other = ids != own
-                        ids, score = ids[other], score[other]
+                limits = [max(limit, h[1][-1] if h is not None and len(h[1]) == k else LEAST) for (*_, limit), h in zip(windows, held)]
+                for ids, score in block.search(own, vector, label, same, spans, limits, k):
                     for place, lo, hi, limit in windows:
                         fit = (score >= max(lo, limit)) & (score <= hi)
                         if fit.any():
@@ -172,7 +171,7 @@ def _in_blocks(index: DataFrame, anchors: DataFrame, block_rows: int, same: bool
         block = [r.asDict(recursive=True) for r in anchors.where(F.col("part") == part).orderBy("anchor_id").collect()]
 
         def job(rows: DataFrame, limits: dict) -> DataFrame:
-            sent = [(r["anchor_id"], r["label"], np.frombuffer(r["vec"], np.int64), [(w["place"], w["lo"], w["hi"], limits.get((r["anchor_id"], w["place"]), -INF)) for w in r["windows"]]) for r in block]
+            sent = [(r["anchor_id"], r["label"], np.frombuffer(r["vec"], np.int64), [(w["place"], w["lo"], w["hi"], limits.get((r["anchor_id"], w["place"]), LEAST)) for w in r["windows"]]) for r in block]
             return _ranked(rows.mapInArrow(searcher(sent, same, k), schema), k)
 
         # One row in `share` gives the first limits: at most k rows for each window of the block.
@@ -192,7 +191,7 @@ def hard_negatives(vectors: DataFrame, every: int = 100, n_positives: int = 5, n
     Input: ``vec_id``, ``label``, ``embedding`` (others are ignored, whatever their names).  Result: anchor_id,
     positive_id, rank (from 1), negative_id, positive_score, negative_score.  Components count as floor(256 x);
     scores are integer inner products, higher first, ties by smaller vec_id.  Positives are the first rows of the
-    anchor's label with another vec_id; negatives the first rows of other labels whose score is between
+    anchor's label, negatives the first of other labels, both with another vec_id; a negative's score is between
     ``least_percent`` and ``most_percent`` of the positive's (nothing fits a negative score).
 
     Rows without a vec_id, label or vector, or with a null or non-finite component, take no part.  Rows that
@@ -203,7 +202,7 @@ def hard_negatives(vectors: DataFrame, every: int = 100, n_positives: int = 5, n
     ``share`` is scanned first for limits.
     """
     rows = vectors.select(F.col("vec_id").cast("long").alias("vec_id"), F.col("label").cast("int").alias("label"), F.col("embedding").cast("array<double>").alias("v"))
-    sound = F.forall("v", lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < INF))
+    sound = F.forall("v", lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < float("inf")))
     rows = rows.dropna().where(sound)
     moved = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
     rows = rows.select("vec_id", moved.cast("int").alias("label"), "v")
@@ -220,13 +219,16 @@ def hard_negatives(vectors: DataFrame, every: int = 100, n_positives: int = 5, n
     index = materialize(rows.mapInArrow(integers, "vec_id long, label int, dim int, vec binary"))
     own = index.where(F.col("vec_id") % every == 0).groupBy(F.col("vec_id").alias("anchor_id")).agg(F.min(F.struct("label", "vec")).alias("r"))
     own = materialize(own.select("anchor_id", "r.label", "r.vec"))
-    whole = F.array(F.struct(F.lit(1).alias("place"), F.lit(-INF).alias("lo"), F.lit(INF).alias("hi")))
+    whole = F.array(F.struct(F.lit(1).alias("place"), F.lit(LEAST).alias("lo"), F.lit(MOST).alias("hi")))
     positives = _in_blocks(index, own.withColumn("windows", whole), block_rows, True, n_positives, share)
     positives = materialize(positives.select("anchor_id", F.col("rank").alias("place"), F.col("vec_id").alias("positive_id"), F.col("score").alias("positive_score")))
-    # 30 p <= 100 s <= 90 p in whole numbers: s from ceil(30 p / 100) to floor(90 p / 100).
-    lo = -F.expr(f"(-({least_percent} * positive_score) - pmod(-({least_percent} * positive_score), 100)) div 100")
-    hi = F.expr(f"({most_percent} * positive_score - pmod({most_percent} * positive_score, 100)) div 100")
-    windows = positives.where(lo <= hi).groupBy("anchor_id").agg(F.sort_array(F.collect_list(F.struct("place", lo.cast("double").alias("lo"), hi.cast("double").alias("hi")))).alias("windows"))
+    # 30 p <= 100 s <= 90 p in whole numbers, hundreds and rest apart: s from ceil(30 p / 100) to floor(90 p / 100).
+    p = F.col("positive_score")
+    tens, rest = F.expr("positive_score div 100"), p % 100
+    lo = tens * least_percent + F.ceil(rest * least_percent / 100).cast("long")
+    hi = tens * most_percent + F.floor(rest * most_percent / 100).cast("long")
+    window = F.struct("place", lo.alias("lo"), hi.alias("hi"))
+    windows = positives.where((p >= 0) & (lo <= hi)).groupBy("anchor_id").agg(F.sort_array(F.collect_list(window)).alias("windows"))
     negatives = _in_blocks(index, own.join(windows, "anchor_id"), block_rows, False, n_negatives, share)
     out = positives.join(negatives, ["anchor_id", "place"])
     return out.select("anchor_id", "positive_id", F.col("rank").cast("int").alias("rank"), F.col("vec_id").alias("negative_id"), "positive_score", F.col("score").alias("negative_score"))
