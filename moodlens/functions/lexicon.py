@@ -9,23 +9,22 @@ A lexicon reaches a row in one of three shapes:
 
 The first two inline the lexicon into the plan, so they collect it once on the driver; that is
 only done behind a row-count bound (``max_entries``, a parameter).  Maps beyond it have a join form
-(lookup, tag filter, stop words) in ``operators.lexicon_ops``; long folds become one expression over
-an array of pairs instead of a chain of calls.
+(lookup, tag filter, stop words) in ``operators.lexicon_ops``; long folds run through one automaton
+(``functions.automaton``) instead of a chain of calls.
 """
 
 from __future__ import annotations
 
-import json
-import re
 from typing import Iterable, Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from .automaton import fold_column
 from .text import WS, _col, split_words
 
 LEXICON_SCHEMA = "ord int, key string, value string"
-LONG_FOLD = 500  # beyond this a fold runs over an array of pairs
+LONG_FOLD = 500  # beyond this one automaton stands for the chain of calls
 MAX_FOLD = 200_000
 MAX_INLINE_MAP = 20_000
 
@@ -122,14 +121,12 @@ def ordered_replace(c, lexicon, pad: bool = False, ascii_input: bool = False,
     col = _col(c)
     if not pairs:
         return col
-    if len(pairs) > LONG_FOLD:
-        table = F.from_json(F.lit(json.dumps([{"k": k, "v": v} for k, v in pairs])), "array<struct<k:string,v:string>>")
-        out = F.aggregate(table, col, lambda acc, p: F.replace(acc, p["k"], p["v"]))
-    else:
-        out = col
-        for k, v in pairs:
-            out = F.replace(out, F.lit(k), F.lit(v))
     guard = hitting_class([k for k, _ in pairs])
+    if len(pairs) > LONG_FOLD:
+        return fold_column(col, pairs, guard)
+    out = col
+    for k, v in pairs:
+        out = F.replace(out, F.lit(k), F.lit(v))
     if guard is None:
         return out
     return F.when(col.rlike(guard), out).otherwise(col)

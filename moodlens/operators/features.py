@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 
 from ..functions.text import explode_rows, ngrams_1_2
 from ..session import materialize
+from .selection import numbered, top_k
 from .sizing import broadcast_if_small
 
 
@@ -59,26 +60,8 @@ def term_stats(tf: DataFrame) -> DataFrame:
     return tf.groupBy("term").agg(F.count(F.lit(1)).alias("df"), F.sum("tf").alias("cf"))
 
 
-def top_k(df: DataFrame, k: int, count_col: str, tie_col: str) -> DataFrame:
-    """The ``k`` rows with the largest ``count_col``, ties by ``tie_col`` ascending (exact).
-
-    ``orderBy().limit(k)`` alone is a TakeOrdered: every task ships its own top ``k`` to one
-    reducer, so with k = 500 000 and a thousand tasks one task would read half a billion rows.
-    First the count at place ``k`` is found from the histogram of counts (one row per distinct
-    count value, a few thousand for word frequencies and never more than √(2·Σcount)), and rows
-    below it are dropped where they are; only the rows at or above that cut-off reach the final
-    top-k.  ``df`` is read twice, so pass a materialized table.
-    """
-    hist = df.groupBy(count_col).agg(F.count(F.lit(1)).alias("_n"))
-    w = Window.orderBy(F.desc(count_col)).rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    cut = (hist.select(count_col, F.sum("_n").over(w).alias("_at_least"))
-           .filter(F.col("_at_least") >= k).agg(F.max(count_col).alias("cut")).first()["cut"])
-    cand = df if cut is None else df.filter(F.col(count_col) >= F.lit(cut))
-    return cand.orderBy(F.desc(count_col), F.asc(tie_col)).limit(k)
-
-
 def top_vocabulary(stats: DataFrame, max_features: int | None) -> DataFrame:
-    """The ``max_features`` most frequent terms (by ``cf``, ties by term), see :func:`top_k`."""
+    """The ``max_features`` most frequent terms (by ``cf``, ties by term), see :func:`selection.top_k`."""
     if max_features is None:
         return stats
     return top_k(stats, max_features, "cf", "term")
@@ -86,7 +69,8 @@ def top_vocabulary(stats: DataFrame, max_features: int | None) -> DataFrame:
 
 def idf_table(vocab: DataFrame, n_docs: int) -> DataFrame:
     """Smoothed idf: ``ln((1 + n) / (1 + df)) + 1``."""
-    return vocab.select("term", "df", (F.log((F.lit(n_docs) + 1) / (F.col("df") + 1)) + 1).alias("idf"))
+    idx = [c for c in ("idx",) if c in vocab.columns]
+    return vocab.select("term", "df", *idx, (F.log((F.lit(n_docs) + 1) / (F.col("df") + 1)) + 1).alias("idf"))
 
 
 def tfidf(tf: DataFrame, idf: DataFrame, bounded_vocab: bool) -> DataFrame:
@@ -98,11 +82,20 @@ def tfidf(tf: DataFrame, idf: DataFrame, bounded_vocab: bool) -> DataFrame:
     document its norm (a document is one input row, so no key is hot).
     """
     side = broadcast_if_small(idf) if bounded_vocab else idf
-    w = tf.join(side.select("term", "idf"), "term").withColumn("w", F.col("tf") * F.col("idf"))
+    w = tf.join(side.drop("df"), "term").withColumn("w", F.col("tf") * F.col("idf"))
     norm = F.sqrt(F.sum(F.col("w") * F.col("w")).over(Window.partitionBy("doc_id")))
     return w.withColumn("weight", F.col("w") / norm).drop("w")
 
 
+def sparse_rows(features: DataFrame, docs: DataFrame) -> DataFrame:
+    """``docs`` plus ``ids array<int>`` and ``x array<double>``: the non-zeros of each document by rising id."""
+    pairs = features.groupBy("doc_id").agg(F.array_sort(F.collect_list(F.struct("idx", "x"))).alias("_p"))
+    out = docs.join(pairs, "doc_id", "left")
+    none = F.array()
+    return out.select(*docs.columns, F.coalesce(F.col("_p.idx"), none.cast("array<int>")).alias("ids"),
+                      F.coalesce(F.col("_p.x"), none.cast("array<double>")).alias("x"))
+
+
 class TfidfFit:
     """Fit on the training rows, apply to all rows (as ``TfidfVectorizer.fit`` then ``transform``)."""
 
@@ -112,7 +105,9 @@ class TfidfFit:
         # Statistics feed the cut-off histogram and the top-k; the vocabulary feeds a size check,
         # the vocabulary count and every transform: each is written once, not recomputed.
         stats = materialize(term_stats(train)) if max_features is not None else term_stats(train)
-        self.vocab = materialize(top_vocabulary(stats, max_features))
+        # ``idx``: the term's place by frequency, from 0; ids of sparse rows and of model weights.
+        order = [F.desc("cf"), F.asc("term")]
+        self.vocab = materialize(numbered(top_vocabulary(stats, max_features), order, "idx", start=0))
         self.bounded = max_features is not None
         self.idf = idf_table(self.vocab, self.n_docs)
 
@@ -146,11 +141,7 @@ def vocabulary_ids(tokens_df: DataFrame, doc_col: str, tokens_col: str, vocab_si
     exploded = tokens_df.select(F.col(doc_col).alias("doc_id"), F.posexplode(F.slice(tokens_col, 1, seq_len)).alias("pos", "term"))
     counts = materialize(whole.groupBy("term").agg(F.count(F.lit(1)).alias("cnt")))
     top = top_k(counts, vocab_size, "cnt", "term")
-    # At most ``vocab_size`` rows: numbering them in one ordered window is bounded work.
-    ranked = materialize(
-        top.withColumn("id", (F.row_number().over(Window.orderBy(F.desc("cnt"), F.asc("term"))) + 1).cast("int"))
-        .select("term", "id")
-    )
+    ranked = materialize(numbered(top, [F.desc("cnt"), F.asc("term")], "id", start=2).select("term", F.col("id").cast("int").alias("id")))
     ids = exploded.join(broadcast_if_small(ranked), "term", "left").select(
         "doc_id", "pos", F.coalesce("id", F.lit(1)).alias("id")
     )

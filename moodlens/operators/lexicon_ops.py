@@ -1,9 +1,7 @@
-"""Lexicon lookups as joins, for lexicons too large to inline as literals.
+"""Lexicons given as tables, of any size, applied to token columns.
 
-Tokens are exploded with their position, joined to the lexicon, and gathered back per document in
-order.  The lexicon is broadcast only after its rows and bytes are measured against bounds; larger
-ones take a shuffle join (AQE splits hot tokens' partitions).  A document is one row before and after,
-so re-gathering never builds a group larger than an input row.
+Each of these is a dictionary from a word to the words that replace it, applied by
+``vocabulary.replace_tokens``: in place where the dictionary is measured small, by a join otherwise.
 """
 
 from __future__ import annotations
@@ -12,66 +10,47 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.text import split_words
-from ..session import materialize
-from .sizing import broadcast_if_small
-
-
-def _explode(df: DataFrame, id_col: str, tokens_col: str) -> DataFrame:
-    """``(_row, _id, _pos, _tok)``.  Rows are numbered and written first: two rows may share an id, and a
-    number must not change when a task runs again."""
-    rows = materialize(df.select(F.col(id_col).alias("_id"), F.col(tokens_col).alias("_tokens"), F.monotonically_increasing_id().alias("_row")))
-    return rows.select("_row", "_id", F.posexplode_outer("_tokens").alias("_pos", "_tok"))
-
-
-def _gather(pieces: DataFrame, id_col: str, out_col: str) -> DataFrame:
-    """Re-assemble ``(_row, _id, _pos, _out)`` into an ordered array per row."""
-    g = pieces.groupBy("_row", "_id").agg(
-        F.array_sort(F.collect_list(F.when(F.col("_pos").isNotNull(), F.struct("_pos", "_out")))).alias("_p")
-    )
-    arr = F.flatten(F.transform("_p", lambda s: s["_out"]))
-    return g.select(F.col("_id").alias(id_col), arr.alias(out_col))
+from .vocabulary import MAX_SENT_ROWS, distinct_words, replace_tokens
 
 
 def _dictionary(lexicon: DataFrame, value_name: str) -> DataFrame:
-    """``(_tok, value)`` with one row per key, the last one in lexicon order; broadcast if measured small."""
+    """``(word, value)`` with one row per key, the last one in lexicon order."""
     last = F.max_by("value", "ord") if "ord" in lexicon.columns else F.max("value")
-    return broadcast_if_small(lexicon.groupBy(F.col("key").alias("_tok")).agg(last.alias(value_name)))
+    return lexicon.groupBy(F.col("key").alias("word")).agg(last.alias(value_name)).where("word is not null")
+
+
+def _applied(df: DataFrame, id_col: str, tokens_col: str, dictionary: DataFrame, out_col: str, max_rows: int) -> DataFrame:
+    tokens = df.select(F.col(id_col), F.coalesce(F.col(tokens_col), F.array().cast("array<string>")).alias(out_col))
+    return replace_tokens(tokens, out_col, dictionary, max_rows)
 
 
 def lexicon_lookup_join(df: DataFrame, id_col: str, tokens_col: str, lexicon: DataFrame, out_col: str = "tokens",
-                        resplit: bool = True) -> DataFrame:
+                        resplit: bool = True, max_rows: int = MAX_SENT_ROWS) -> DataFrame:
     """``(id, out)``: each token replaced by its lexicon value (``key → value``), multi-word values
     split into several tokens."""
-    lex = _dictionary(lexicon, "_val")
-    ex = _explode(df, id_col, tokens_col)
-    j = ex.join(lex, "_tok", "left")
-    val = F.coalesce("_val", "_tok")
-    out = F.when(F.col("_val").isNotNull(), split_words(val)).otherwise(F.array("_tok")) if resplit else F.array(val)
-    return _gather(j.select("_row", "_id", "_pos", out.alias("_out")), id_col, out_col)
-
-
-def _kept(ex: DataFrame, kept: DataFrame, id_col: str, out_col: str) -> DataFrame:
-    """Gather the kept tokens, with one empty piece per row: rows without tokens, or without any left, stay."""
-    empties = ex.filter("_pos IS NULL OR _pos = 0").select("_row", "_id", F.lit(None).cast("int").alias("_pos"), F.lit(None).cast("string").alias("_tok"))
-    pieces = kept.select("_row", "_id", "_pos", "_tok").unionByName(empties)
-    return _gather(pieces.select("_row", "_id", "_pos", F.array("_tok").alias("_out")), id_col, out_col)
+    lex = _dictionary(lexicon, "_val").where("_val is not null")
+    out = split_words("_val") if resplit else F.array("_val")
+    return _applied(df, id_col, tokens_col, lex.select("word", out.alias("out")), out_col, max_rows)
 
 
-def stopword_anti_join(df: DataFrame, id_col: str, tokens_col: str, stopwords: DataFrame, out_col: str = "tokens") -> DataFrame:
-    """``(id, out)``: tokens not in the stop-word table (``word``), order kept (left anti join)."""
-    stop = broadcast_if_small(stopwords.select(F.col("word").alias("_tok")).distinct())
-    ex = _explode(df, id_col, tokens_col)
-    return _kept(ex, ex.filter(F.col("_pos").isNotNull()).join(stop, "_tok", "left_anti"), id_col, out_col)
+def stopword_anti_join(df: DataFrame, id_col: str, tokens_col: str, stopwords: DataFrame, out_col: str = "tokens",
+                       max_rows: int = MAX_SENT_ROWS) -> DataFrame:
+    """``(id, out)``: tokens not in the stop-word table (``word``), order kept."""
+    none = F.array().cast("array<string>")
+    stop = stopwords.select("word").where("word is not null").distinct().withColumn("out", none)
+    return _applied(df, id_col, tokens_col, stop, out_col, max_rows)
 
 
 def tag_filter_join(df: DataFrame, id_col: str, tokens_col: str, lexicon: DataFrame, out_col: str = "tokens",
-                    default_tag: str = "NN", allowed=("J", "R", "V", "N")) -> DataFrame:
-    """``(id, out)``: tokens whose tag (``key -> value``, else ``default_tag``) starts with an allowed letter, by a
-    join: the form of ``pos_filter`` for lexicons of any size."""
-    ex = _explode(df, id_col, tokens_col)
-    tagged = ex.filter(F.col("_pos").isNotNull()).join(_dictionary(lexicon, "_tag"), "_tok", "left")
+                    default_tag: str = "NN", allowed=("J", "R", "V", "N"), max_rows: int = MAX_SENT_ROWS) -> DataFrame:
+    """``(id, out)``: tokens whose tag (``key -> value``, else ``default_tag``) starts with an allowed letter: the
+    form of ``pos_filter`` for lexicons of any size."""
+    tags = _dictionary(lexicon, "_tag")
+    if default_tag[:1] not in allowed:  # words without an entry go too
+        tags = distinct_words(df, tokens_col).join(tags, "word", "left")
     first = F.substring(F.coalesce("_tag", F.lit(default_tag)), 1, 1)
-    return _kept(ex, tagged.filter(first.isin(*allowed)), id_col, out_col)
+    gone = tags.where(~first.isin(*allowed)).select("word", F.array().cast("array<string>").alias("out"))
+    return _applied(df, id_col, tokens_col, gone, out_col, max_rows)
 
 
 def invert_lexicon(lexicon: DataFrame) -> DataFrame:

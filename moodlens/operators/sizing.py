@@ -1,9 +1,8 @@
 """Broadcast a join side only when its size is measured, not assumed.
 
-A side capped by row count (a top-k vocabulary, a lexicon) can still be large in bytes when its
-strings are long, so both are measured: the check reads at most ``max_rows + 1`` rows of the side,
-never the whole of an unexpectedly large one.  Sides over either bound are returned unchanged and
-the join shuffles on its key (AQE may still pick a broadcast at run time from real sizes).
+A side capped by row count (a top-k vocabulary, a lexicon) can still be large in bytes when its strings are
+long, so both are measured, by partial aggregates over the side.  Sides over either bound are returned unchanged
+and the join shuffles on its key (AQE may still pick a broadcast at run time from real sizes).
 """
 
 from __future__ import annotations
@@ -34,14 +33,14 @@ def _row_bytes(df: DataFrame):
     return total.cast("bigint")
 
 
-def measure(df: DataFrame, max_rows: int = MAX_BROADCAST_ROWS) -> tuple[int, int]:
-    """``(rows, bytes)`` of the first ``max_rows + 1`` rows (rows > max_rows means "too many")."""
-    row = df.limit(max_rows + 1).agg(F.count(F.lit(1)).alias("n"), F.sum(_row_bytes(df)).alias("b")).first()
+def measure(df: DataFrame) -> tuple[int, int]:
+    """``(rows, bytes)``, counted where the rows lie: a row per task is shuffled."""
+    row = df.agg(F.count(F.lit(1)).alias("n"), F.sum(_row_bytes(df)).alias("b")).first()
     return int(row["n"]), int(row["b"] or 0)
 
 
 def is_small(df: DataFrame, max_rows: int = MAX_BROADCAST_ROWS, max_bytes: int = MAX_BROADCAST_BYTES) -> bool:
-    n, b = measure(df, max_rows)
+    n, b = measure(df)
     return n <= max_rows and b <= max_bytes
 
 

@@ -14,6 +14,7 @@ from ..functions.labels import label_replace
 from ..functions.text import keep_where
 from ..session import materialize
 from ..operators import features as FE
+from ..operators import sizing
 from ..operators.naive_bayes import NaiveBayesModel, fit_naive_bayes
 from ..sources import tweets as SRC
 from . import classic
@@ -40,9 +41,31 @@ class ClassicJob:
 
     @cached_property
     def features(self) -> DataFrame:
-        """``(doc_id, term, is_train, label, x)``, written on first use: counts and vocabulary do not need it."""
+        """``(doc_id, term, idx, is_train, label, x)``, written on first use: counts and vocabulary do not need it."""
         w = self.fit.transform(self.tf)
-        return materialize(w.select("doc_id", "term", "is_train", "label", F.col("weight").alias("x")))
+        return materialize(w.select("doc_id", "term", F.col("idx").cast("int").alias("idx"), "is_train", "label", F.col("weight").alias("x")))
+
+    @cached_property
+    def rows(self) -> DataFrame:
+        """``(doc_id, label, is_train, ids, x)``: a sparse row per document, also of one without known terms."""
+        docs = self.corpus.select("doc_id", "label", "is_train")
+        return materialize(FE.sparse_rows(self.features, docs))
+
+    @cached_property
+    def n_terms(self) -> int:
+        return self.fit.vocab_size()
+
+    def train_rows(self) -> DataFrame:
+        return self._sized(self.rows.filter("is_train"))
+
+    def test_rows(self) -> DataFrame:
+        return self._sized(self.rows.filter("not is_train"))
+
+    def _sized(self, rows: DataFrame) -> DataFrame:
+        """About 12 bytes per non-zero; an iterative fit runs a job per pass, so small inputs get few tasks."""
+        if "_bytes" not in self.__dict__:
+            self._bytes = int(self.rows.agg(F.sum(F.size("ids") * 12 + 64).alias("b")).first()["b"] or 0)
+        return sizing.fit_partitions(rows.drop("is_train"), self._bytes, target=16 * 1024 * 1024)
 
     def train_docs(self) -> DataFrame:
         return self.corpus.filter("is_train").select("doc_id", "label")

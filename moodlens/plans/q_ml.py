@@ -8,7 +8,11 @@ from pyspark.sql import functions as F
 
 from ..functions import text as TX
 from ..functions.labels import label_binary, label_ternary
+from ..functions.fixed import CLASSIC_EMOJIS, CLASSIC_STOPWORDS, DEFAULT_ABBREVIATIONS
 from ..operators import features as FE
+from ..operators import forest as RF
+from ..operators import incremental as INC
+from ..operators import linear as LIN
 from ..operators import metrics as M
 from ..operators import ml as ML
 from ..operators import sizing
@@ -17,8 +21,9 @@ from ..session import materialize
 from ..sources import tweets as SRC
 from ..sources.tables import read_table
 from . import social
+from . import sqltext as S
 from .catalog import register
-from .classic_job import classic_job
+from .classic_job import MAX_FEATURES, classic_job
 from .q_model import _nb_sql
 
 
@@ -141,52 +146,78 @@ def q_predict(spark, sf_dir):
     return model.transform(test).select("doc_id", "label", "prediction")
 
 
+def _held_out(pred):
+    return pred.select("doc_id", F.col("label").cast("double").alias("label"), "prediction")
+
+
 @register("logistic_regression")
 def q_lr(spark, sf_dir):
-    _, train, test = _vector_job(spark, sf_dir)
-    model = ML.logistic_regression(train.count()).fit(train)
-    return model.transform(test).select("doc_id", "label", "prediction")
+    """Multinomial logistic regression, C = 2, to a gradient tolerance; 90/10 hash split."""
+    job = classic_job(spark, sf_dir)
+    return _held_out(LIN.fit_linear(job.train_rows(), job.n_terms, "softmax", c=2.0).transform(job.test_rows()))
+
+
+@register("fit_history")
+def q_fit_history(spark, sf_dir):
+    """Objective and gradient norm of the logistic regression after each Newton step, with the passes so far."""
+    job = classic_job(spark, sf_dir)
+    model = LIN.fit_linear(job.train_rows(), job.n_terms, "softmax", c=2.0)
+    return spark.createDataFrame(model.history, "iteration int, objective double, gradient_norm double, passes int")
 
 
 @register("random_forest")
 def q_rf(spark, sf_dir):
-    """2 trees of depth 5 on the full vocabulary."""
-    _, train, test = _vector_job(spark, sf_dir)
-    model = ML.random_forest().fit(train)
-    return model.transform(test).select("doc_id", "label", "prediction")
+    """2 trees of depth 5 on the full vocabulary, from sparse histograms."""
+    job = classic_job(spark, sf_dir)
+    forest = RF.fit_forest(job.train_rows(), job.n_terms)
+    pred = forest.transform(RF.binned(job.test_rows(), "doc_id", "label"))
+    return _held_out(pred.select("doc_id", "label", "prediction"))
+
+
+FIRST_SPLIT_SQL = S.classic_job_ctes(DEFAULT_ABBREVIATIONS, CLASSIC_EMOJIS, CLASSIC_STOPWORDS, MAX_FEATURES) + ",\n" + S.first_split_ctes() + """
+SELECT tree, idx, bin, right_rows, left_rows, round(score, 6) AS score FROM best"""
+
+
+@register("forest_first_split", FIRST_SPLIT_SQL)
+def q_first_split(spark, sf_dir):
+    """The root of each tree: the term and bin it splits on, the (weighted) documents right and left, the score."""
+    job = classic_job(spark, sf_dir)
+    forest = RF.fit_forest(job.train_rows(), job.n_terms, max_depth=1)
+    rows = []
+    for t in range(forest.num_trees):
+        node, right, left = (forest.nodes[t, i].counts if i > 1 else forest.nodes[t, 1] for i in (1, 3, 2))
+        score = sum(c * c for c in right) / sum(right) + sum(c * c for c in left) / sum(left)
+        rows.append((t, *node.split, sum(right), sum(left), round(score, 6)))
+    return spark.createDataFrame(rows, "tree int, idx int, bin int, right_rows long, left_rows long, score double")
 
 
 @register("linear_svc")
 def q_svc(spark, sf_dir):
-    """Linear SVM; binary only, so labels are negative (0) against the rest."""
-    _, train, test = _vector_job(spark, sf_dir)
-    tr = train.withColumn("label", (F.col("label") > 0).cast("double"))
-    te = test.withColumn("label", (F.col("label") > 0).cast("double"))
-    model = ML.linear_svc(tr.count()).fit(tr)
-    return model.transform(te).select("doc_id", "label", "prediction")
+    """Linear SVM, squared hinge, C = 1, one class against the rest, to a gradient tolerance."""
+    job = classic_job(spark, sf_dir)
+    return _held_out(LIN.fit_linear(job.train_rows(), job.n_terms, "squared_hinge").transform(job.test_rows()))
 
 
 @register("eval_curve")
 def q_eval_curve(spark, sf_dir):
-    """Training curve: objective by iteration of the logistic regression (from its summary)."""
-    _, train, _ = _vector_job(spark, sf_dir)
-    model = ML.logistic_regression(train.count()).fit(train)
-    hist = ML.objective_history(model)
-    return spark.createDataFrame(hist, "iteration int, objective double")
+    """Training loss, validation loss and accuracy by step of one epoch in 15 batches."""
+    job = classic_job(spark, sf_dir)
+    return INC.IncrementalFit(job.train_rows(), job.n_terms).run().curve(job.test_rows())
 
 
 @register("model_comparison")
 def q_model_comparison(spark, sf_dir):
-    """Accuracy per classifier on the same held-out rows, best first."""
-    job, train, test = _vector_job(spark, sf_dir)
-    rows = []
-    for name, kind, lam in (("Multinomial Naive Bayes", "multinomial", 1.0), ("Bernoulli Naive Bayes", "bernoulli", 2.0)):
-        pred = job.predict(job.naive_bayes(kind, lam))
-        rows.append(M.summary_metrics(pred).select(F.lit(name).alias("classifier"), "accuracy"))
-    n = train.count()
-    for name, est in (("Logistic Regression", ML.logistic_regression(n)), ("Random Forest", ML.random_forest())):
-        pred = est.fit(train).transform(test)
-        rows.append(M.summary_metrics(pred).select(F.lit(name).alias("classifier"), "accuracy"))
+    """Accuracy per classifier on the same labels and held-out rows, best first."""
+    job = classic_job(spark, sf_dir)
+    train, test, n = job.train_rows(), job.test_rows(), job.n_terms
+    preds = {
+        "Multinomial Naive Bayes": job.predict(job.naive_bayes("multinomial", 1.0)),
+        "Bernoulli Naive Bayes": job.predict(job.naive_bayes("bernoulli", 2.0)),
+        "Logistic Regression": LIN.fit_linear(train, n, "softmax", c=2.0).transform(test),
+        "Random Forest": RF.fit_forest(train, n).transform(RF.binned(test, "doc_id", "label")),
+        "LinearSVC": LIN.fit_linear(train, n, "squared_hinge").transform(test),
+    }
+    rows = [M.summary_metrics(p).select(F.lit(name).alias("classifier"), "accuracy") for name, p in preds.items()]
     out = rows[0]
     for r in rows[1:]:
         out = out.unionByName(r)

@@ -3,7 +3,6 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from ..functions import text as TX
@@ -54,9 +53,7 @@ def q_doc_freq(spark, sf_dir):
 )
 def q_top_vocab(spark, sf_dir):
     job = classic_job(spark, sf_dir)
-    # ``vocab`` is a top-k (at most MAX_FEATURES rows): ranking it globally is bounded work.
-    w = Window.orderBy(F.desc("cf"), F.asc("term"))
-    return job.fit.vocab.select("term", "df", "cf", F.row_number().over(w).cast("bigint").alias("rank"))
+    return job.fit.vocab.select("term", "df", "cf", (F.col("idx") + 1).alias("rank"))
 
 
 @register("tfidf", f"{JOB}\nSELECT doc_id, term, round(x, 6) AS weight FROM feat")
@@ -160,5 +157,4 @@ TIE_K = 40
 def q_top_vocab_small(spark, sf_dir):
     """The same cut at a small k, where it does drop terms."""
     job = classic_job(spark, sf_dir, TIE_K)
-    w = Window.orderBy(F.desc("cf"), F.asc("term"))
-    return job.fit.vocab.select("term", "df", "cf", F.row_number().over(w).cast("bigint").alias("rank"))
+    return job.fit.vocab.select("term", "df", "cf", (F.col("idx") + 1).alias("rank"))

@@ -297,3 +297,28 @@ pr AS (SELECT *, CASE WHEN tp + fp > 0 THEN tp / (tp + fp) ELSE 0.0 END AS preci
               CASE WHEN support > 0 THEN tp / support ELSE 0.0 END AS recall FROM pc),
 prf AS (SELECT *, CASE WHEN precision + recall > 0 THEN 2 * precision * recall / (precision + recall) ELSE 0.0 END AS f1
         FROM pr)"""
+
+
+def first_split_ctes(num_trees: int = 2, seed: int = 0) -> str:
+    """CTE ``best(tree, idx, bin, right_rows, left_rows, score)`` after ``classic_job_ctes``: the first split of each tree."""
+    from ..operators.forest import OCTAVE, OFFSET, POISSON, PRIME
+
+    u = md5_bucket(f"concat(doc_id, '|{seed}|', tree)", 1_000_000)
+    drawn = " + ".join(f"CASE WHEN u >= {t} THEN 1 ELSE 0 END" for t in POISSON)
+    k = f"((1 + tree * 64) * 7919 + {104_729 + 15_485_863 * (seed % 1000)})"
+    return f"""ids AS (SELECT term, row_number() OVER (ORDER BY cf DESC, term) - 1 AS idx FROM vocab),
+drawn AS (SELECT doc_id, label, tree, {drawn} AS w FROM (SELECT *, {u} AS u FROM train_docs CROSS JOIN range({num_trees}) AS r(tree))),
+picked AS (SELECT tree, term, idx FROM (SELECT tree, term, idx, (idx + {k}) % {PRIME} AS a, {k} AS k FROM ids CROSS JOIN range({num_trees}) AS r(tree))
+           CROSS JOIN vsize WHERE ((a * a) % {PRIME} * 48271 + k) % {PRIME} < CAST(floor({PRIME}::BIGINT * greatest(1, CAST(floor(sqrt(v)) AS BIGINT)) / v) AS BIGINT)),
+hist AS (SELECT p.tree, p.idx, CAST(floor(log2(f.x) * {OCTAVE} + {OFFSET}) AS INTEGER) AS bin, d.label, sum(d.w) AS w
+         FROM feat f JOIN picked p USING (term) JOIN drawn d ON d.doc_id = f.doc_id AND d.tree = p.tree
+         WHERE f.is_train AND d.w > 0 GROUP BY ALL),
+root AS (SELECT tree, label, sum(w) AS t FROM drawn GROUP BY ALL),
+cuts AS (SELECT DISTINCT tree, idx, bin FROM hist),
+sides AS (SELECT c.tree, c.idx, c.bin, r.label, r.t, coalesce((SELECT sum(h.w) FROM hist h WHERE h.tree = c.tree AND h.idx = c.idx AND h.bin >= c.bin AND h.label = r.label), 0) AS r
+          FROM cuts c JOIN root r ON r.tree = c.tree),
+scored AS (SELECT tree, idx, bin, CAST(sum(r) AS BIGINT) AS right_rows, CAST(sum(t - r) AS BIGINT) AS left_rows,
+                  sum(r * r) / sum(r) + sum((t - r) * (t - r)) / sum(t - r) AS score
+           FROM sides GROUP BY tree, idx, bin HAVING sum(r) > 0 AND sum(t - r) > 0),
+best AS (SELECT CAST(tree AS INTEGER) AS tree, CAST(idx AS INTEGER) AS idx, bin, right_rows, left_rows, score FROM scored
+         QUALIFY row_number() OVER (PARTITION BY tree ORDER BY score DESC, idx, bin) = 1)"""
