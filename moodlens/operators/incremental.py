@@ -58,7 +58,7 @@ class IncrementalFit:
         w, h, _ = self.state(done)
         for step in range(done + 1, self.steps + 1):
             batch = self.rows.where(F.col("batch") == step - 1)
-            loss, _, n, grad = run_pass(batch, "softmax", w)
+            loss, _, n, (grad, _) = run_pass(batch, "softmax", w)
             if n:
                 grad = grad / n
                 h = h + grad * grad

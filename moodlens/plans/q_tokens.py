@@ -16,9 +16,13 @@ from ..functions.fixed import (
     SPARK_ENGLISH_STOPWORDS,
 )
 from ..functions.lexicon import dict_order, lexicon_frame, lexicon_pairs, ordered_replace
+from ..functions.porter import stem
 from ..operators import features as FE
 from ..operators import lexicon_ops as LX
-from ..operators.stem import stem_tokens
+from ..operators import ppmi as PP
+from ..operators import tagger as TG
+from ..operators import vocabulary as V
+from ..session import materialize
 from ..sources import tweets as SRC
 from . import social
 from . import sqltext as S
@@ -150,8 +154,6 @@ SELECT c.doc_id, array_to_string((coalesce(s.ids, []::INTEGER[]) || [{', '.join(
 FROM corpus c LEFT JOIN seq s USING (doc_id)""",
 )
 def q_pad_truncate(spark, sf_dir):
-    from ..session import materialize
-
     c = materialize(classic_corpus(spark, sf_dir).select("doc_id", "words"))
     ids = FE.vocabulary_ids(c, "doc_id", "words", VOCAB_K, SEQ_LEN)
     return ids.select("doc_id", F.array_join("input_ids", ",").alias("input_ids"))
@@ -191,5 +193,93 @@ def q_demojize(spark, sf_dir):
 def q_stem(spark, sf_dir):
     """Porter stems of the social tokens (rows-only: a library-defined algorithm)."""
     v = SRC.text_view(spark, sf_dir).select("TweetID", "TweetText")
-    toks = social.social_tokens_df(v, "TweetText", "t", keep=["TweetID"])
-    return _tokens_out(toks.select("TweetID", stem_tokens("t").alias("a")), "TweetID", "a")
+    toks = materialize(social.social_tokens_df(v, "TweetText", "a", keep=["TweetID"]))
+    return _tokens_out(V.apply_word_rule(toks, "a", stem), "TweetID", "a")
+
+
+#: Step 1a of Porter's rules, in SQL: sses -> ss, ies -> i, ss -> ss, s -> nothing.
+_PLURAL_SQL = ("CASE WHEN suffix(w, 'sses') OR suffix(w, 'ies') THEN w[1:length(w) - 2] "
+               "WHEN suffix(w, 's') AND NOT suffix(w, 'ss') THEN w[1:length(w) - 1] ELSE w END")
+
+
+def _plural_rule(w):
+    """The same as an expression over the dictionary."""
+    short = F.when(F.endswith(w, F.lit("sses")) | F.endswith(w, F.lit("ies")), 2).when(F.endswith(w, F.lit("s")) & ~F.endswith(w, F.lit("ss")), 1).otherwise(0)
+    return F.left(w, F.length(w) - short)
+
+
+@register("stem_plurals", _tokens_sql(f"list_transform({_REGEX_TOKENS}, lambda w: {_PLURAL_SQL})"))
+def q_stem_plurals(spark, sf_dir):
+    """Step 1a of the stemmer, each distinct word handled once."""
+    v = SRC.text_view(spark, sf_dir).select("TweetID", TX.tokenize_regex(TX.lower_text(T)).alias("a"))
+    return _tokens_out(V.apply_word_rule(materialize(v), "a", expression=_plural_rule), "TweetID", "a")
+
+
+_FORMS = " UNION ALL ".join(
+    f"SELECT w, w[1:length(w) - {len(e)}] || {S.q(r)} AS f FROM words WHERE suffix(w, {S.q(e)}) AND length(w) > {len(e)}" for e, r in V.NOUN_ENDINGS
+)
+
+
+@register(
+    "lemmatize_nouns",
+    f"""{CTE},
+toks AS (SELECT TweetID, {_REGEX_TOKENS} AS t FROM tweets),
+words AS (SELECT DISTINCT unnest(t) AS w FROM toks),
+ruled AS (SELECT w, min(printf('%08d', length(f)) || f)[9:] AS l FROM ({_FORMS}) WHERE length(f) > 1 AND f IN (SELECT w FROM words) GROUP BY w),
+own(w, l) AS (VALUES {", ".join(f"({S.q(k)}, {S.q(v)})" for k, v in DEFAULT_LEMMAS)}),
+lemma AS (SELECT words.w, coalesce(own.l, ruled.l, words.w) AS l FROM words LEFT JOIN own USING (w) LEFT JOIN ruled USING (w)),
+ex AS (SELECT TweetID, unnest(t) AS w, unnest(range(len(t))) AS pos FROM toks),
+got AS (SELECT TweetID, list(l ORDER BY pos) AS a FROM ex JOIN lemma USING (w) GROUP BY TweetID)
+SELECT TweetID, array_to_string(coalesce(a, []), '|') AS out, CAST(len(coalesce(a, [])) AS INTEGER) AS n_tokens FROM toks LEFT JOIN got USING (TweetID)""",
+)
+def q_lemmatize_nouns(spark, sf_dir):
+    """Noun lemmas: exceptions first, then detachment rules whose result is a word of the corpus."""
+    v = materialize(SRC.text_view(spark, sf_dir).select("TweetID", TX.tokenize_regex(TX.lower_text(T)).alias("a")))
+    lemmas = V.noun_lemmas(V.distinct_words(v, "a"), lexicon_frame(spark, DEFAULT_LEMMAS))
+    return _tokens_out(V.replace_tokens(v, "a", lemmas.select("word", F.array("lemma").alias("out"))), "TweetID", "a")
+
+
+@register("hmm_tags")
+def q_hmm_tags(spark, sf_dir):
+    """Tags by context: a hidden Markov model of the text's own tag pairs, with the words of the tag lexicon."""
+    v = materialize(SRC.text_view(spark, sf_dir).select("TweetID", TX.tokenize_regex(TX.lower_text(T)).alias("a")))
+    tagger = TG.fit_tagger(TG.lexicon_tagged(v, "a", lexicon_frame(spark, DEFAULT_POS_TAGS)))
+    return _tokens_out(tagger.transform(v, "a", "tags"), "TweetID", "tags")
+
+
+WINDOW, MIN_COUNT = 5, 5
+_PAIRS_SQL = S.classic_job_ctes(DEFAULT_ABBREVIATIONS, CLASSIC_EMOJIS, CLASSIC_STOPWORDS) + f""",
+places AS (SELECT doc_id, unnest(words) AS w, unnest(range(len(words))) AS pos FROM corpus),
+pairs AS (SELECT least(x.w, y.w) AS a, greatest(x.w, y.w) AS b, count(*) AS n
+          FROM places x JOIN (SELECT p.*, d FROM places p CROSS JOIN range(1, {WINDOW + 1}) AS r(d)) y ON x.doc_id = y.doc_id AND x.pos = y.pos - y.d GROUP BY ALL)"""
+
+
+@register("cooccurrence_counts", _PAIRS_SQL + "\nSELECT a, b, n FROM pairs")
+def q_cooccurrences(spark, sf_dir):
+    """How often two words stand at most five places apart."""
+    c = classic_corpus(spark, sf_dir).select("words")
+    return PP.cooccurrences(c, "words", WINDOW)
+
+
+@register(
+    "sppmi_weights",
+    _PAIRS_SQL + f""",
+common AS (SELECT w FROM places GROUP BY w HAVING count(*) >= {MIN_COUNT}),
+kept AS (SELECT * FROM pairs WHERE a IN (SELECT w FROM common) AND b IN (SELECT w FROM common)),
+margins AS (SELECT w, sum(n) AS s FROM (SELECT a AS w, n FROM kept UNION ALL SELECT b, n FROM kept WHERE a <> b) GROUP BY w),
+total AS (SELECT sum(s) AS t FROM margins)
+SELECT a, b, round(ln(n * t / (x.s * y.s)), 6) AS m FROM kept CROSS JOIN total JOIN margins x ON x.w = a JOIN margins y ON y.w = b WHERE ln(n * t / (x.s * y.s)) > 0""",
+)
+def q_sppmi(spark, sf_dir):
+    """Positive pointwise mutual information of words met five times or more."""
+    c = materialize(classic_corpus(spark, sf_dir).select("words"))
+    weights = PP.sppmi(PP.cooccurrences(c, "words", WINDOW), PP.word_counts(c, "words", MIN_COUNT))
+    return weights.select("a", "b", F.round("m", 6).alias("m"))
+
+
+@register("ppmi_embed")
+def q_ppmi_embed(spark, sf_dir):
+    """Mean PPMI vector (100 dimensions) of each cleaned tweet; no vocabulary or matrix on the driver."""
+    c = materialize(classic_corpus(spark, sf_dir).select("doc_id", "words"))
+    vectors = PP.embed_words(c, "words", vector_size=100, window=WINDOW, min_count=MIN_COUNT)
+    return PP.embed_rows(c, "doc_id", "words", vectors, 100)
