@@ -66,6 +66,13 @@ def lexicon_pairs(lexicon, max_entries: int = MAX_INLINE_MAP) -> list[tuple[str,
     return dict_order(pairs)
 
 
+def is_large(lexicon, max_entries: int = MAX_INLINE_MAP) -> bool:
+    """Whether a lexicon has too many keys for a map literal (a table of its own is applied as a dictionary then)."""
+    if isinstance(lexicon, DataFrame):
+        return lexicon.limit(max_entries + 1).count() > max_entries
+    return len(lexicon) > max_entries
+
+
 # ------------------------------------------------------------------------ ordered fold
 
 _COMMON = set("abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ0123456789 ")

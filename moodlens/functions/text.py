@@ -53,8 +53,15 @@ def staged(df, exprs: dict, keep=None):
     return df.select(*keep, *[e.alias(n) for n, e in exprs.items()])
 
 
+class FrameStep:
+    """A step of ``run_steps`` that needs the whole frame: ``fn(df, column name) -> df`` with that column changed."""
+
+    def __init__(self, fn):
+        self.fn = fn
+
+
 def run_steps(df, text_col: str, steps, out_col: str, keep=None, empty=None):
-    """Apply ``steps`` (``Column -> Column``) one projection each, keeping ``keep`` columns.
+    """Apply ``steps`` (``Column -> Column``, or a ``FrameStep``) one after another, keeping ``keep`` columns.
 
     Small projections keep every generated method well under the JIT and 64 KB limits, and a
     step's guard (``when(test(x), f(x)).otherwise(x)``) then reads a plain column, never a deep
@@ -64,6 +71,9 @@ def run_steps(df, text_col: str, steps, out_col: str, keep=None, empty=None):
     cur = text_col
     steps = list(steps)
     for i, step in enumerate(steps):
+        if isinstance(step, FrameStep):  # never the first or the last
+            df = step.fn(df, cur)
+            continue
         name = out_col if i == len(steps) - 1 else f"_{out_col}_{i}"
         last = i == len(steps) - 1
         df = df.select(*keep, null_safe(cur, step, empty if last else None).alias(name))

@@ -11,7 +11,8 @@ from pyspark.sql import functions as F
 
 from ..functions import text as TX
 from ..functions.fixed import CLASSIC_EMOJIS, CLASSIC_STOPWORDS, DEFAULT_ABBREVIATIONS
-from ..functions.lexicon import lexicon_pairs, lookup_tokens, lookup_words, ordered_replace
+from ..functions.lexicon import MAX_FOLD, lexicon_pairs, lookup_tokens, lookup_words, ordered_replace
+from ..operators.lexicon_ops import token_lookup_steps, word_lookup_steps
 
 
 def expand_abbreviations(text, abbreviations=DEFAULT_ABBREVIATIONS, mode: str = "word") -> Column:
@@ -39,19 +40,19 @@ def classic_words(text, abbreviations=DEFAULT_ABBREVIATIONS, stopwords=CLASSIC_S
 
 def classic_steps(abbreviations=DEFAULT_ABBREVIATIONS, stopwords=CLASSIC_STOPWORDS, lemma_lexicon=None,
                   abbrev_mode: str = "substring"):
-    abbr = lexicon_pairs(abbreviations)
-    lemma = lexicon_pairs(lemma_lexicon) if lemma_lexicon is not None else None
-
-    def words_of(c):
-        w = TX.remove_stopwords(TX.min_length_filter(TX.split_words(c), 2), stopwords, case_sensitive=True)
-        return lookup_tokens(w, lemma, resplit=False) if lemma is not None else w
-
+    if abbrev_mode not in ("substring", "word"):
+        raise ValueError(abbrev_mode)
+    substring = abbrev_mode == "substring"
+    slang = [lambda c, p=lexicon_pairs(abbreviations, MAX_FOLD): ordered_replace(c, p, pad=True)] if substring else word_lookup_steps(abbreviations)
+    lemmas = token_lookup_steps(lemma_lexicon, resplit=False) if lemma_lexicon is not None else []
     return [
         lambda c: TX.replace_mention_padded(TX.replace_url_padded(c)),
         lambda c: ordered_replace(c, CLASSIC_EMOJIS, pad=True),
-        lambda c: expand_abbreviations(c, abbr, abbrev_mode),
+        *slang,
         lambda c: TX.lower_text(TX.keep_alnum(c)),
-        words_of,
+        lambda c: TX.remove_stopwords(TX.min_length_filter(TX.split_words(c), 2), stopwords, case_sensitive=True),
+        *lemmas,
+        lambda c: c,
     ]
 
 

@@ -21,6 +21,7 @@ from ..functions.fixed import (
 )
 from ..functions.lexicon import (
     MAX_FOLD,
+    is_large,
     lexicon_pairs,
     lookup_tokens,
     lookup_words,
@@ -28,6 +29,7 @@ from ..functions.lexicon import (
     ordered_replace,
     probe,
 )
+from ..operators.lexicon_ops import tag_filter_step, token_lookup_steps, word_lookup_steps
 
 
 def _head(text, emoticons, html_mode) -> Column:
@@ -56,13 +58,12 @@ def clean_social_text(text, emoticons=DEFAULT_EMOTICONS, abbreviations=DEFAULT_A
 def social_text_steps(emoticons=DEFAULT_EMOTICONS, abbreviations=DEFAULT_ABBREVIATIONS, html_mode: str = "full"):
     """The string steps of ``clean_social_text``, one ``Column -> Column`` per projection."""
     emot = lexicon_pairs(emoticons, MAX_FOLD)
-    abbr = lexicon_pairs(abbreviations)
     return [
         lambda c: TX.strip_ws(TX.replace_url(TX.lower_text(c))),
         lambda c: TX.html_unescape(c, html_mode),
         TX.remove_unicode,
         lambda c: ordered_replace(c, emot, ascii_input=True),
-        lambda c: lookup_words(c, abbr),
+        *word_lookup_steps(abbreviations),
         lambda c: TX.strip_hashtag(TX.replace_mention(c)),
         TX.collapse_repeats,
         *TX.contraction_steps(CONTRACTION_RULES),
@@ -110,10 +111,15 @@ def social_tokens_df(df: DataFrame, text_col: str, out_col: str = "tokens", emot
     """``df`` plus ``out_col``: the token array of ``clean_social`` (NULL text → empty array).
 
     Three projections: the string chain runs in whole-stage codegen; the lookups and token
-    filters (higher-order functions) only see a column reference.  No shuffle.
+    filters (higher-order functions) only see a column reference.  No shuffle, unless a lexicon is too
+    large to send to the tasks (``operators.vocabulary``).
     """
-    abbr = lexicon_pairs(abbreviations)
-    steps = social_text_steps(emoticons, abbr, html_mode) + [
-        lambda c: social_tokens(c, abbr, stopwords, pos_lexicon)
-    ]
-    return TX.run_steps(df, text_col, steps, out_col, keep, empty=F.array().cast("array<string>"))
+    if not isinstance(abbreviations, DataFrame) or not is_large(abbreviations):
+        abbreviations = lexicon_pairs(abbreviations, MAX_FOLD)
+    text = social_text_steps(emoticons, abbreviations, html_mode)
+    if is_large(abbreviations) or (pos_lexicon is not None and is_large(pos_lexicon)):
+        tags = [] if pos_lexicon is None else [tag_filter_step(pos_lexicon, "NN", ALLOWED_TAG_PREFIXES)]
+        tokens = [TX.tokenize_regex, *token_lookup_steps(abbreviations, True, True), *tags, lambda c: TX.remove_stopwords(c, stopwords, case_sensitive=True)]
+    else:
+        tokens = [lambda c: social_tokens(c, abbreviations, stopwords, pos_lexicon)]
+    return TX.run_steps(df, text_col, text + tokens, out_col, keep, empty=F.array().cast("array<string>"))

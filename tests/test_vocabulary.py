@@ -194,3 +194,31 @@ def test_unknown_words_go_by_their_ending(spark):
     tagger = TG.fit_tagger(TG.tagged(spark.createDataFrame(rows, "t array<string>, tags array<string>"), "t", "tags"))
     got = tagger.transform(spark.createDataFrame([(["nicely"],), (["flat"],)], "t array<string>"), "t").collect()
     assert [r["tags"] for r in got] == [["R"], ["N"]]
+
+
+# ------------------------------------------------------- lexicons beyond a map literal
+
+
+def test_cleaners_take_lexicons_of_any_size(spark):
+    from moodlens.functions.lexicon import MAX_INLINE_MAP
+    from moodlens.plans import classic, social
+
+    many = [(f"zz{i}", f"word {i}") for i in range(MAX_INLINE_MAP + 1)]
+    small = [("brb", "be right back"), ("lol", "laughing"), ("u", "you")]
+    texts = ["LOL brb, u there? zz17 http://x.org/a", None, "", "the zz20000 @ann nothing", "@a brb"]
+    df = spark.createDataFrame(list(enumerate(texts)), "id int, t string")
+    few = small + [("zz17", "word 17"), ("zz20000", "word 20000")]
+    tags = [("there", "DT"), ("word", "IN")]
+    more_tags = tags + [(f"yy{i}", "DT") for i in range(MAX_INLINE_MAP)]
+
+    def rows(frame):
+        return sorted(map(repr, frame.collect()))
+
+    for large in (small + many, lexicon_frame(spark, small + many)):
+        for pos, large_pos in ((None, None), (tags, more_tags), (tags, lexicon_frame(spark, more_tags))):
+            want = social.social_tokens_df(df, "t", "o", abbreviations=few, pos_lexicon=pos, keep=["id"])
+            assert rows(social.social_tokens_df(df, "t", "o", abbreviations=large, pos_lexicon=large_pos, keep=["id"])) == rows(want)
+        want = classic.clean_classic_df(df, "t", "o", keep=["id"], abbreviations=few, abbrev_mode="word", lemma_lexicon=few)
+        assert rows(classic.clean_classic_df(df, "t", "o", keep=["id"], abbreviations=large, abbrev_mode="word", lemma_lexicon=large)) == rows(want)
+    want = classic.clean_classic_df(df, "t", "o", keep=["id"], abbreviations=few, abbrev_mode="word")
+    assert classic.clean_classic_df(df, "t", "o", keep=["id"], abbreviations=small + many, abbrev_mode="substring").count() == want.count()
