@@ -102,7 +102,7 @@ def test_random_split_is_a_partition(spark):
     assert {r.TweetID for r in rows} == _held_out(spark, "TweetID", 0)
 
 
-@pytest.mark.parametrize("name,labels", [("random_forest", {0.0, 1.0, 2.0}), ("linear_svc", {0.0, 1.0})])
+@pytest.mark.parametrize("name,labels", [("random_forest", {0.0, 1.0, 2.0}), ("linear_svc", {0.0, 1.0, 2.0})])
 def test_classic_models(spark, name, labels):
     rows = _rows_of(spark, name)
     assert {r.doc_id for r in rows} == {r.doc_id for r in _rows_of(spark, "predict")}
@@ -116,10 +116,26 @@ def test_stems_keep_the_token_counts(spark):
     assert any(stems[k][1] != tokens[k][1] for k in tokens)
 
 
+def test_fit_history_falls_to_the_tolerance(spark):
+    rows = sorted(_rows_of(spark, "fit_history"))
+    assert [r.iteration for r in rows] == list(range(len(rows))) and rows[-1].passes < 30
+    assert rows[-1].gradient_norm <= 1e-4 * rows[0].gradient_norm
+    assert all(b.objective < a.objective for a, b in zip(rows, rows[1:]))
+
+
+def test_tags_and_vectors(spark):
+    tokens = {r.TweetID: r.n_tokens for r in _rows_of(spark, "tokenize_regex")}
+    tags = _rows_of(spark, "hmm_tags")
+    assert {r.TweetID: r.n_tokens for r in tags} == tokens
+    assert {t for r in tags for t in r.out.split("|")} <= {"", "JJ", "RB", "VB", "VBZ", "DT", "CC", "IN", "TO", "PRP"}
+    rows = _rows_of(spark, "ppmi_embed")
+    assert all(len(r.vector) == 100 for r in rows) and any(any(r.vector) for r in rows)
+
+
 def test_every_query_is_checked():
     rows_only = {
         "mlp_ternary", "mlp_binary", "select_predictions", "mlp_metrics", "word2vec_embed", "nb_on_embeddings", "random_split", "random_forest", "linear_svc",
-        "stem_vocabulary",
+        "stem_vocabulary", "fit_history", "hmm_tags", "ppmi_embed",
     }
     assert set(OWN) == set(ORACLES) | rows_only | SLOW
 
