@@ -8,6 +8,7 @@ import uuid
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..operators.sizing import broadcast_if_small
 from ..session import ensure_checkpoint_dir
 
 
@@ -35,9 +36,12 @@ def connected_components(links: DataFrame) -> DataFrame:
         roots = better.groupBy(F.col("comp").alias("root")).agg(F.min("offer").alias("hook"))
         now = at.select("node", "comp", "offer").join(roots, F.col("node") == F.col("root"), "left")
         now = now.select("node", F.least("comp", "offer", "hook").alias("comp"))
-        jump = now.select(F.col("node").alias("up"), F.col("comp").alias("up_comp"))
-        now = now.join(jump, F.col("comp") == F.col("up"), "left").select("node", F.least("comp", "up_comp").alias("comp"))
-        now = written(now, f"labels-{step}")
+        # Pointer jumping over the distinct roots that themselves have moved: a component of any size is one row.
+        now = written(now, f"hooked-{step}")
+        jump = now.where("comp < node").select(F.col("node").alias("up"), F.col("comp").alias("up_comp"))
+        moved = now.select(F.col("comp").alias("up")).distinct().join(jump, "up")
+        now = now.join(broadcast_if_small(written(moved, f"moved-{step}")), F.col("comp") == F.col("up"), "left")
+        now = written(now.select("node", F.least("comp", "up_comp").alias("comp")), f"labels-{step}")
         changed = now.join(labels.withColumnRenamed("comp", "old"), "node").where("comp <> old").limit(1).count()
         labels = now
         if not changed:

@@ -26,6 +26,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..operators.sizing import broadcast_if_small
 from ..session import ensure_checkpoint_dir
 from . import words as W
 from .bpe import slices
@@ -96,7 +97,7 @@ def _sketch_batches(batches):
                 key = W.mix(key + s[:, :, r], 40 + r)
             key = W.mix(key + np.arange(BANDS, dtype=U), 50).view(np.int64)
             bands = pa.ListArray.from_arrays(pa.array(np.arange(len(off), dtype=np.int32) * BANDS), pa.array(key.ravel()))
-            yield pa.RecordBatch.from_arrays([part.column("doc_id"), pa.array(np.diff(off)), pa.array(p1), pa.array(p2), bands], names=["doc_id", "n", "p1", "p2", "bands"])
+            yield pa.RecordBatch.from_arrays([part.column("doc_id"), part.column("h"), pa.array(np.diff(off)), pa.array(p1), pa.array(p2), bands], names=["doc_id", "h", "n", "p1", "p2", "bands"])
 
 
 def _set_batches(batches):
@@ -130,10 +131,10 @@ def near_duplicates(docs: DataFrame, percent: int = 75) -> DataFrame:
     """Components of documents whose sets of 5-word shingles have ``100 * |A & B| >= percent * |A | B|``.
 
     Input: ``doc_id``, ``text`` (others are ignored, whatever their names).  One row per input row: doc_id,
-    n_shingles, component_id (the smallest doc_id of the component), kept (the row that stands for it).
-    Null texts, empty texts and texts without words have no shingles and are linked with nothing.  A null
-    doc_id is never the smallest unless all are null.  Of rows that tie in doc_id and component exactly one
-    is kept.  An empty table gives an empty table.
+    n_shingles, component_id (the smallest doc_id of the component), kept (doc_id is component_id, also where
+    both are null).  Null texts, empty texts and texts without words have no shingles and are linked with
+    nothing.  A null doc_id is never the smallest unless all are null.  Rows that repeat the smallest doc_id of
+    their component are all kept.  An empty table gives an empty table.
     """
     spark = docs.sparkSession
     base = os.path.join(ensure_checkpoint_dir(spark), "minhash", uuid.uuid4().hex)
@@ -143,14 +144,15 @@ def near_duplicates(docs: DataFrame, percent: int = 75) -> DataFrame:
         return spark.read.parquet(f"{base}/{name}")
 
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    made = docs.mapInArrow(_sketch_batches, "doc_id long, n long, p1 long, p2 long, bands array<long>")
+    docs = docs.withColumn("h", F.xxhash64("text"))  # tells rows that repeat a doc_id apart
+    made = docs.mapInArrow(_sketch_batches, "doc_id long, h long, n long, p1 long, p2 long, bands array<long>")
     rows = written(made.withColumn("row", F.monotonically_increasing_id()), "rows")
 
     # 1. Classes of equal sets: cls is the row of the first document.
-    ids = rows.select("row", "doc_id", "n", "p1", "p2")
-    order = F.struct(F.col("doc_id").isNull().alias("last"), "doc_id", "row")
+    ids = rows.select("row", "doc_id", "h", "n", "p1", "p2")
+    order = F.struct(F.col("doc_id").isNull().alias("last"), "doc_id", "row", "h")
     classes = ids.where("n > 0").groupBy("p1", "p2", "n").agg(F.min(order).alias("first"))
-    classes = written(classes.select("p1", "p2", "n", F.col("first.doc_id").alias("doc_id"), F.col("first.row").alias("cls")), "classes")
+    classes = written(classes.select("p1", "p2", "n", F.col("first.doc_id").alias("doc_id"), F.col("first.h").alias("h"), F.col("first.row").alias("cls")), "classes")
 
     # 2. Buckets with more than one class, their leaders, and verified links.
     bands = rows.select(F.col("row").alias("cls"), "bands").join(classes.select("cls"), "cls").select("cls", F.explode("bands").alias("key"))
@@ -162,8 +164,8 @@ def near_duplicates(docs: DataFrame, percent: int = 75) -> DataFrame:
     pairs = members.join(leads, "key").where("cls <> lead").select(F.least("cls", "lead").alias("a"), F.greatest("cls", "lead").alias("b")).distinct()
     pairs = written(pairs, "pairs")
 
-    met = members.select("cls").distinct().join(classes, "cls").select("cls", "p1", "p2", F.col("doc_id").alias("met_id")).hint("shuffle_hash")
-    texts = docs.join(met, F.col("doc_id").eqNullSafe(F.col("met_id"))).select("cls", "p1", "p2", "text")
+    met = members.select("cls").distinct().join(classes, "cls").select("cls", "p1", "p2", F.col("doc_id").alias("met_id"), F.col("h").alias("met_h")).hint("shuffle_hash")
+    texts = docs.join(met, F.col("doc_id").eqNullSafe(F.col("met_id")) & (F.col("h") == F.col("met_h"))).select("cls", "p1", "p2", "text")
     # Rows that repeat a doc_id and its text give one set.
     sets = written(texts.mapInArrow(_set_batches, "cls long, n long, grams array<long>").groupBy("cls").agg(F.first("n").alias("n"), F.first("grams").alias("grams")), "sets")
 
@@ -200,13 +202,12 @@ def near_duplicates(docs: DataFrame, percent: int = 75) -> DataFrame:
         comps = connected_components(links.unionByName(more))
 
     # 4. Back to the rows.
-    named = classes.join(comps, F.col("cls") == F.col("node"), "left").withColumn("comp", F.coalesce("comp", "cls"))
-    firsts = named.groupBy("comp").agg(F.min(F.struct(F.col("doc_id").isNull().alias("last"), F.col("doc_id").alias("id"), F.col("cls").alias("row"))).alias("first"))
-    named = written(named.join(firsts, "comp").select("p1", "p2", "n", F.col("first.id").alias("first_id"), F.col("first.row").alias("first_row")), "named")
-    out = ids.join(named, ["p1", "p2", "n"], "left")
-    return out.select(
-        "doc_id",
-        F.col("n").alias("n_shingles"),
-        F.when(F.col("first_row").isNull(), F.col("doc_id")).otherwise(F.col("first_id")).alias("component_id"),
-        (F.coalesce("first_row", "row") == F.col("row")).alias("kept"),
-    )
+    linked = written(classes.join(comps, F.col("cls") == F.col("node")).select("cls", "doc_id", "comp"), "linked")
+    firsts = linked.groupBy("comp").agg(F.min(F.struct(F.col("doc_id").isNull().alias("last"), F.col("doc_id").alias("id"))).alias("first"))
+    firsts = broadcast_if_small(written(firsts.select("comp", F.col("first.id").alias("first_id")), "firsts"))
+    heads = linked.join(firsts, "comp").select("cls", "first_id", F.lit(True).alias("in_component"))
+    named = classes.join(heads, "cls", "left")
+    named = written(named.select("p1", "p2", "n", F.when(F.col("in_component"), F.col("first_id")).otherwise(F.col("doc_id")).alias("first_id"), F.lit(True).alias("shingled")), "named")
+    component = F.when(F.col("shingled"), F.col("first_id")).otherwise(F.col("doc_id"))
+    out = ids.join(named, ["p1", "p2", "n"], "left").select("doc_id", F.col("n").alias("n_shingles"), component.alias("component_id"))
+    return out.withColumn("kept", F.col("doc_id").eqNullSafe(F.col("component_id")))
