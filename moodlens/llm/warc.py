@@ -1,4 +1,4 @@
-"""Content-addressed WARC archive; DataFrame functions only.
+"""Content-addressed WARC archive by DataFrame functions; WARC files are written and read too.
 
 ``write_archive`` stores every payload once, under its SHA-256 digest (rows meet by their bytes, and a
 digest that met other bytes would fail the write), and the exact header block of every record in a second
@@ -9,9 +9,12 @@ reading moves them only if the caller asks for the records' bytes.
 
 from __future__ import annotations
 
+import gzip
+import io
 import os
 import uuid
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -75,13 +78,22 @@ def write_archive(pages: DataFrame, path: str, min_bytes: int = 0, date: str = "
     headers = plain.join(first, "sha", "left")
     again = (F.col("first_row") != F.col("row")) & (F.col("bytes") >= min_bytes)
     kind = F.when(again, "revisit").otherwise("response")
-    refers = F.when(kind == "revisit", F.col("first_id"))
-    headers.select("row", "page_id", "sha", _header(kind, date).alias("header"), refers.alias("refers_to")).write.parquet(f"{path}/headers", compression="zstd")
+    headers.select("sha", _header(kind, date).alias("header")).write.parquet(f"{path}/headers", compression="zstd")
+
+
+def header_field(name: str):
+    """A field of the header block, empty if it has none."""
+    return F.regexp_extract("header", f"(?m)^{name}: (.*?)\\r?$", 1)
+
+
+def _page_of(name: str):
+    """The page_id in a record id of a header field (null if it names none)."""
+    return F.regexp_extract(header_field(name), "^<urn:page:(-?[0-9]+):", 1).try_cast("long")
 
 
 def read_archive(spark: SparkSession, path: str) -> DataFrame:
     """The archive's records: page_id, header, payload (the full payload, for revisits too), payload_bytes,
-    payload_digest (both computed from the stored bytes), record_type, refers_to.
+    payload_digest, record_type, refers_to; all but the payload and its length parsed from the header blocks.
 
     Fails if a stored payload does not have its digest, or a header not its payload's length and digest.
     """
@@ -89,12 +101,11 @@ def read_archive(spark: SparkSession, path: str) -> DataFrame:
     stored = spark.read.parquet(f"{path}/payloads").drop("copies")
     stored = stored.select("sha", "payload", F.length("payload").cast("long").alias("payload_bytes"), sha1_base32(F.col("payload")).alias("payload_digest"), (F.sha2("payload", 256) == F.col("sha")).alias("sound"))
 
-    def field(name: str):
-        return F.regexp_extract("header", f"(?m)^{name}: (.*?)\\r?$", 1)
-
-    agrees = F.col("sound") & (field("Content-Length") == F.col("payload_bytes").cast("string")) & (field("WARC-Payload-Digest") == F.concat(F.lit("sha1:"), F.col("payload_digest")))
-    kind = F.when(agrees, field("WARC-Type")).otherwise(F.raise_error(F.concat(F.lit("damaged record: "), F.col("header"))))
-    return headers.join(stored, "sha").select("page_id", "header", "payload", "payload_bytes", "payload_digest", kind.alias("record_type"), "refers_to")
+    digest = header_field("WARC-Payload-Digest")
+    agrees = F.col("sound") & (header_field("Content-Length") == F.col("payload_bytes").cast("string")) & (digest == F.concat(F.lit("sha1:"), F.col("payload_digest")))
+    kind = F.when(agrees, header_field("WARC-Type")).otherwise(F.raise_error(F.concat(F.lit("damaged record: "), F.col("header"))))
+    fields = [_page_of("WARC-Record-ID").alias("page_id"), "header", "payload", "payload_bytes", F.substring(digest, 6, 32).alias("payload_digest"), kind.alias("record_type"), _page_of("WARC-Refers-To").alias("refers_to")]
+    return headers.join(stored, "sha").select(*fields)
 
 
 def export_warc(records: DataFrame, path: str) -> None:
@@ -103,6 +114,61 @@ def export_warc(records: DataFrame, path: str) -> None:
     records.select(whole.alias("value")).write.text(path, compression="gzip", lineSep=CRLF + CRLF)
 
 
+def _records(content: bytes):
+    """(header block, payload) of each record of a WARC file, compressed or not, read as a stream."""
+    file = io.BufferedReader(gzip.GzipFile(fileobj=io.BytesIO(content)) if content[:2] == b"\x1f\x8b" else io.BytesIO(content))
+    while True:
+        line = file.readline()
+        while line in (b"\r\n", b"\n"):
+            line = file.readline()
+        if not line:
+            return
+        if not line.startswith(b"WARC/"):
+            raise ValueError("no WARC record where one should start")
+        head, size = [line], None
+        while (line := file.readline()) not in (b"\r\n", b"\n"):
+            if not line:
+                raise ValueError("a WARC header without an end")
+            head.append(line)
+            name, _, value = line.partition(b":")
+            if name.strip().lower() == b"content-length":
+                size = int(value)
+        payload = file.read(size or 0)
+        if len(payload) < (size or 0):
+            raise ValueError("a WARC record shorter than its Content-Length")
+        yield b"".join(head).decode("utf-8", "replace") + line.decode(), payload
+
+
+def read_warc(spark: SparkSession, path: str) -> DataFrame:
+    """Records of WARC files (gzip or plain): file, header, payload, payload_bytes, payload_digest, record_type,
+    refers_to (the record id that ``WARC-Refers-To`` names, else null); the last three as the header says.
+
+    A file is read in one task, record by record: its compressed bytes are in memory, of its contents one batch.
+    A damaged file is an error.  A path without files is one too, as for every reader of Spark.
+    """
+
+    def parse(batches):
+        for b in batches:
+            for name, content in zip(b.column("path").to_pylist(), b.column("content").to_pylist()):
+                rows, size = [], 0
+                for record in _records(content):
+                    rows.append((name, *record))
+                    size += len(record[1])
+                    if size > 16 << 20 or len(rows) == 10_000:
+                        yield pa.RecordBatch.from_arrays([pa.array(c) for c in zip(*rows)], names=["file", "header", "payload"])
+                        rows, size = [], 0
+                if rows:
+                    yield pa.RecordBatch.from_arrays([pa.array(c) for c in zip(*rows)], names=["file", "header", "payload"])
+
+    files = spark.read.format("binaryFile").load(path).select("path", "content")
+    records = files.mapInArrow(parse, "file string, header string, payload binary")
+    digest, refers = header_field("WARC-Payload-Digest"), header_field("WARC-Refers-To")
+    return records.select(
+        "file", "header", "payload", F.length("payload").cast("long").alias("payload_bytes"), F.regexp_replace(digest, "^sha1:", "").alias("payload_digest"),
+        header_field("WARC-Type").alias("record_type"), F.when(refers != "", refers).alias("refers_to"),
+    )
+
+
 def archive_round_trip(pages: DataFrame, min_bytes: int = 0) -> DataFrame:
     """Write ``pages`` to a new archive in the shared folder and read it back."""
     path = os.path.join(ensure_checkpoint_dir(pages.sparkSession), "warc", uuid.uuid4().hex)

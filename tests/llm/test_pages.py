@@ -7,6 +7,7 @@ import random
 import re
 
 import numpy as np
+import pytest
 
 from moodlens.llm import html_text as H
 from moodlens.llm import warc
@@ -138,6 +139,33 @@ def test_warc_round_trip(spark, tmp_path):
         assert files[at : at + 4] == b"\r\n\r\n"
         at, found = at + 4, found + 1
     assert found == len(rows)
+    # The files read back give the archive's records, types and digests.
+    again = warc.read_warc(spark, str(tmp_path / "w")).collect()
+    assert sorted((r.header, bytes(r.payload), r.payload_bytes, r.payload_digest, r.record_type) for r in again) == sorted((r.header, bytes(r.payload), r.payload_bytes, r.payload_digest, r.record_type) for r in got)
+    assert sorted(r.refers_to.split(":")[2] for r in again if r.refers_to) == ["1", "5", "5"]
+    plain = tmp_path / "plain.warc"
+    plain.write_bytes(files)
+    assert warc.read_warc(spark, str(plain)).count() == len(rows)
+
+
+def test_warc_fields_come_from_the_header(spark, tmp_path):
+    from pyspark.sql import functions as F
+
+    path = str(tmp_path / "a")
+    warc.write_archive(spark.createDataFrame([(-4, "u", "x"), (7, "v", "x"), (None, "w", "y")], "page_id long, url string, html string"), path)
+    headers = spark.read.parquet(f"{path}/headers")
+    assert headers.columns == ["sha", "header"]
+    assert sorted((r.page_id or 0, r.record_type, r.refers_to) for r in warc.read_archive(spark, path).collect()) == [(-4, "response", None), (0, "response", None), (7, "revisit", -4)]
+    changed = headers.withColumn("header", F.replace("header", F.lit("Refers-To: <urn:page:-4:"), F.lit("Refers-To: <urn:page:9:")))
+    changed.write.parquet(str(tmp_path / "b" / "headers"))
+    spark.read.parquet(f"{path}/payloads").write.parquet(str(tmp_path / "b" / "payloads"))
+    assert {r.refers_to for r in warc.read_archive(spark, str(tmp_path / "b")).collect()} == {None, 9}
+
+
+@pytest.mark.parametrize("content", [b"HTTP/1.1 200\r\n\r\n", b"WARC/1.1\r\nContent-Length: 9\r\n\r\nabc", b"WARC/1.1\r\nContent-Length: 9\r\n"])
+def test_damaged_warc_files_are_errors(content):
+    with pytest.raises(ValueError):
+        list(warc._records(content))
 
 
 def test_warc_smaller_payloads_are_responses(spark):
