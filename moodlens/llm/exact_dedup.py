@@ -2,8 +2,9 @@
 
 * Every row leaves an index record: its 64-bit key and SHA-256 digest, no text.
 * The directory starts as one bucket; where a bucket holds more than ``capacity`` records, its depth grows
-  by one key bit (the directory doubles) until it fits or ``max_depth`` is reached.  Records with one key
-  cannot be split: they are the bucket's overflow chain, and are summed before they are shuffled.
+  by one key bit (the directory doubles) until it fits; the depth that can be reached follows from the number
+  of records.  Records with one key cannot be split: they are the bucket's overflow chain, and are summed
+  before they are shuffled.
 * Index files are partitioned by bucket.  Owner tasks take the keys of a bucket's range; only where a key
   has several records are the texts fetched, and their bytes compared as grouping keys: texts that share a
   key but not their bytes become separate entries of its chain.
@@ -11,6 +12,7 @@
 
 from __future__ import annotations
 
+import math
 import os
 import string
 import uuid
@@ -18,7 +20,8 @@ import uuid
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..session import ensure_checkpoint_dir
+from ..operators.sizing import broadcast_if_small
+from ..session import ensure_checkpoint_dir, materialize
 
 
 def lower_ascii(c):
@@ -27,17 +30,19 @@ def lower_ascii(c):
 
 
 def directory(records: DataFrame, capacity: int, max_depth: int) -> DataFrame:
-    """(slot, bucket): the bucket of each used slot of the full directory; at most 2**max_depth rows."""
+    """(slot, bucket): the bucket of each used slot of the full directory; at most 2**max_depth rows, which is in
+    proportion to records / capacity."""
     slots = records.groupBy("slot").agg(F.count("*").alias("n"))
     levels = slots.withColumn("depth", F.explode(F.sequence(F.lit(0), F.lit(max_depth))))
     levels = levels.withColumn("part", F.expr(f"shiftright(slot, {max_depth} - depth)"))
     sizes = levels.groupBy("depth", "part").agg(F.sum("n").alias("size"))
     fits = sizes.where((F.col("size") <= capacity) | (F.col("depth") == max_depth)).select("depth", "part")
-    local = levels.join(fits, ["depth", "part"]).groupBy("slot").agg(F.min("depth").alias("depth"))
-    return local.select("slot", F.expr(f"shiftleft(1, depth) + shiftright(slot, {max_depth} - depth)").alias("bucket"))
+    # All slots share the part of depth 0: the side that is a row per part goes to them.
+    local = levels.join(broadcast_if_small(materialize(fits)), ["depth", "part"]).groupBy("slot").agg(F.min("depth").alias("depth"))
+    return local.select("slot", F.expr(f"shiftleft(1L, depth) + shiftright(slot, {max_depth} - depth)").alias("bucket"))
 
 
-def exact_dedup(docs: DataFrame, capacity: int | None = None, max_depth: int = 12) -> DataFrame:
+def exact_dedup(docs: DataFrame, capacity: int | None = None, max_depth: int | None = None) -> DataFrame:
     """Group documents whose texts are equal after lower-casing A-Z; the largest doc_id of a group stays.
 
     Input: ``doc_id``, ``text`` (others are ignored, whatever their names).  One row per input row: doc_id,
@@ -51,20 +56,24 @@ def exact_dedup(docs: DataFrame, capacity: int | None = None, max_depth: int = 1
     norm = docs.select("doc_id", lower_ascii(F.coalesce("text", F.lit(""))).alias("norm"))
 
     # The records, written once: a row's number must not change when a task is run again.
-    shift = 64 - max_depth
     records = norm.select(F.monotonically_increasing_id().alias("row"), "doc_id", F.xxhash64("norm").alias("key"), F.sha2("norm", 256).alias("sha"))
     records.write.parquet(f"{base}/records")
-    records = spark.read.parquet(f"{base}/records").withColumn("slot", F.expr(f"cast(shiftrightunsigned(key, {shift}) as int)"))
+    records = spark.read.parquet(f"{base}/records")
+    total = records.count()
     if capacity is None:
         parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
-        capacity = max(1 << 14, min(1 << 22, records.count() // max(1, 4 * parts)))
+        capacity = max(1 << 14, min(1 << 22, total // max(1, 4 * parts)))
+    if max_depth is None:
+        # Two bits more than equal buckets would need: keys are hashes, so only copies can overfill such a bucket.
+        max_depth = max(1, math.ceil(math.log2(max(total, 1) / capacity)) + 2) if total > capacity else 1
+    records = records.withColumn("slot", F.expr(f"shiftrightunsigned(key, {64 - max_depth})"))
 
     # The index: one entry per digest, summed before it is shuffled, in the files of its bucket.
-    slots = directory(records, capacity, max_depth)  # at most 2**max_depth rows, so it can be broadcast
+    slots = broadcast_if_small(materialize(directory(records, capacity, max_depth)))
     found = records.groupBy("slot", "key", "sha").agg(F.count("*").alias("n"))
-    found = found.join(F.broadcast(slots), "slot").drop("slot").repartition("bucket").sortWithinPartitions("bucket", "key", "sha")
+    found = found.join(slots, "slot").drop("slot").repartition("bucket").sortWithinPartitions("bucket", "key", "sha")
     found.write.partitionBy("bucket").parquet(f"{base}/index")
-    index = spark.read.schema("key long, sha string, n long, bucket int").parquet(f"{base}/index")
+    index = spark.read.schema("key long, sha string, n long, bucket long").parquet(f"{base}/index")
 
     # Rows of entries that were met again, and their texts.  They come by doc_id, which no group of copies
     # makes hot; equal (doc_id, key) rows come as one, so a text meets its own key once.

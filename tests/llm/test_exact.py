@@ -1,6 +1,6 @@
 import random
 
-from moodlens.llm.exact_dedup import exact_dedup
+from moodlens.llm.exact_dedup import directory, exact_dedup
 
 from .brute import exact_rows
 
@@ -16,6 +16,16 @@ def test_groups(table):
     assert _got(exact_dedup(table(docs), capacity=8, max_depth=6)) == exact_rows(docs)
 
 
+def test_depth_follows_the_number_of_records(table):
+    from pyspark.sql import functions as F
+
+    docs = [(i, f"text {i % 900}" if i % 3 else "hot") for i in range(1_500)]
+    assert _got(exact_dedup(table(docs), capacity=16)) == exact_rows(docs)
+    records = table([(i, str(i)) for i in range(4_096)]).select(F.shiftrightunsigned(F.xxhash64("text"), 55).alias("slot"))
+    sizes = {r["bucket"]: r["n"] for r in records.join(directory(records, 32, 9), "slot").groupBy("bucket").agg(F.count("*").alias("n")).collect()}
+    assert sum(sizes.values()) == 4_096 and max(sizes.values()) <= 32 and len(sizes) > 128
+
+
 def test_odd_rows(table, odd_rows):
     rows = exact_dedup(table(odd_rows)).collect()
     assert len(rows) == len(odd_rows)
