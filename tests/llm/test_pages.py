@@ -104,10 +104,11 @@ def test_copies_and_short_pages(spark):
         assert text[31] == own  # an index that repeats the page does not delete it
 
 
-def test_whole_table(spark):
+@pytest.mark.parametrize("sf", ["sf0.001", "sf0.1"])
+def test_whole_table(spark, sf):
     import html as entities
 
-    pages = spark.read.parquet("/root/testdata/sf0.001/pages.parquet")
+    pages = spark.read.parquet(f"/root/testdata/{sf}/pages.parquet")
     source = {r.page_id: r.html for r in pages.collect()}
     for r in H.main_text(pages).collect():
         inner = re.search(r"<article>(.*?)</article>", source[r.page_id], re.S).group(1)
