@@ -18,6 +18,7 @@ from pyspark.sql import functions as F
 from . import words as W
 from .bpe import slices
 
+FIT_LINES, RUN = 120, 40  # lines of a document that the fit reads, and of one run of them
 THRESHOLD = 0.7
 PART_BYTES = 1 << 20
 _UPPER = np.zeros(256, bool)
@@ -154,15 +155,19 @@ def train(docs: DataFrame, labels: DataFrame, per_class: int = 1500) -> dict:
     prior = 1.0 if share is None else float(share)
     sample = first[0].unionByName(first[1]).withColumnRenamed("doc_id", "id")
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    texts = texts.join(F.broadcast(sample), F.col("doc_id") == F.col("id")).select("doc_id", "quality", "text")
+    texts = texts.join(F.broadcast(sample), F.col("doc_id") == F.col("id"))
+    # One text of each id, however many rows repeat it.
+    texts = texts.groupBy("doc_id").agg(F.min(F.struct(F.xxhash64("text").alias("h"), "quality", "text")).alias("t")).select("doc_id", "t.quality", "t.text")
 
     def features(batches):
         for batch in batches:
             for part in slices(batch, size=PART_BYTES):
                 x, size, off = line_features(part.column("text"))
                 x, size = x.astype(np.float32), size.astype(np.float32)
-                cut = [(x[a:b].tobytes(), size[a:b].tobytes()) for a, b in zip(off[:-1], off[1:])]
-                yield pa.RecordBatch.from_arrays([part.column("doc_id"), part.column("quality"), pa.array([c[0] for c in cut], pa.binary()), pa.array([c[1] for c in cut], pa.binary())], names=["doc_id", "quality", "x", "size"])
+                rows = [(i, a + at, a + end) for i, (a, b) in enumerate(zip(off[:-1], off[1:])) for at, end in segments(b - a)]
+                which = pa.array([i for i, _, _ in rows], pa.int64())
+                cut = [pa.array([v[a:b].tobytes() for _, a, b in rows], pa.binary()) for v in (x, size)]
+                yield pa.RecordBatch.from_arrays([part.column("doc_id").take(which), part.column("quality").take(which), *cut], names=["doc_id", "quality", "x", "size"])
 
     rows = sorted(texts.mapInArrow(features, "doc_id long, quality int, x binary, size binary").collect(), key=lambda r: (r["doc_id"], bytes(r["x"])))
     rows = [r for r in rows if len(r["x"])]
@@ -185,6 +190,14 @@ def train(docs: DataFrame, labels: DataFrame, per_class: int = 1500) -> dict:
     return model
 
 
+def segments(lines: int) -> list[tuple[int, int]]:
+    """The lines of a document that the fit reads: all, or evenly spaced runs of ``RUN`` lines, ``FIT_LINES`` in all."""
+    if lines <= FIT_LINES:
+        return [(0, lines)]
+    starts = np.linspace(0, lines - RUN, FIT_LINES // RUN).round().astype(int).tolist()
+    return [(a, a + RUN) for a in starts]
+
+
 def held_out(c: str):
     return F.coalesce(F.crc32(F.col(c).cast("string")) % 4 == 2, F.lit(False))
 
@@ -221,7 +234,9 @@ def quality(docs: DataFrame, labels: DataFrame, per_class: int = 1500) -> DataFr
 
     Input: ``doc_id``, ``text`` of the documents and ``doc_id``, ``quality`` of the labels (others are ignored,
     whatever their names).  One row per input row: doc_id, held_out (crc32 of the doc_id as text mod 4 is 2; a
-    null doc_id is not held out), score, predicted (1 from a score of 0.7).  Null, empty and blank texts have no
+    null doc_id is not held out), score, predicted (1 from a score of 0.7).  The fit reads at most ``per_class``
+    labelled documents of each class and ``FIT_LINES`` lines of each (runs spread over the whole text); scores read
+    every line.  Null, empty and blank texts have no
     lines and get the share of good labels.  Repeated rows are scored each; an empty table gives an empty table.
     """
     return score(docs, train(docs, labels, per_class))

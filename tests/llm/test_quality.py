@@ -1,5 +1,6 @@
 import itertools
 import random
+import time
 import zlib
 
 import numpy as np
@@ -83,3 +84,17 @@ def test_odd_rows(spark, table, odd_rows):
     assert len(rows) == len(odd_rows) and not any(r.held_out for r in rows if r.doc_id is None)
     assert {r.score for r in C.quality(table(odd_rows), lab.limit(0)).collect()} == {1.0}
     assert C.quality(table(odd_rows).limit(0), lab).count() == 0
+
+
+def test_long_documents_and_a_hot_id_bound_the_fit(spark, table):
+    docs, labels = _corpus(80)
+    long = "\n".join(t for _, t in docs if t) * 60
+    hot = [(i, t) for i, t in docs if i % 4 != 2] + [(0, long), (1, long)] + [(5, f"Row {i}.\nMore.") for i in range(2_000)]
+    lab = spark.createDataFrame(labels, "doc_id long, quality int")
+    assert long.count("\n") > 20_000
+    t0 = time.perf_counter()
+    rows = C.quality(table(hot), lab).collect()
+    assert len(rows) == len(hot) and time.perf_counter() - t0 < 60
+    cut = C.segments(100_000)
+    assert sum(b - a for a, b in cut) == C.FIT_LINES and cut[0][0] == 0 and cut[-1][1] == 100_000
+    assert C.segments(7) == [(0, 7)] and C.segments(0) == [(0, 0)]
