@@ -33,8 +33,14 @@ def duplicate_groups(df: DataFrame, cols=None, digest: str | None = None) -> Dat
     return df.groupBy(*cols).agg(F.count(F.lit(1)).alias("count")).filter(F.col("count") > 1)
 
 
-def drop_duplicates(df: DataFrame, cols=None) -> DataFrame:
-    return df.dropDuplicates(list(cols) if cols else None)
+def drop_duplicates(df: DataFrame, cols=None, text: str | None = None) -> DataFrame:
+    """Distinct rows.  A long column ``text`` is not a key: rows meet by the other columns and its 64-bit hash, copies
+    within a task before the shuffle, and the bytes decide (a set per key, of one text unless hashes collide)."""
+    if text is None:
+        return df.dropDuplicates(list(cols) if cols else None)
+    others = [c for c in df.columns if c != text]
+    sets = df.groupBy(*others, F.xxhash64(text).alias("_hash")).agg(F.collect_set(text).alias("_texts"))
+    return sets.select(*others, F.explode_outer("_texts").alias(text)).select(*df.columns)
 
 
 def distinct_rows(df: DataFrame, digest: str) -> DataFrame:

@@ -127,20 +127,11 @@ def q_nb_embeddings(spark, sf_dir):
     return pred.select("TweetID", "label", "prediction")
 
 
-def _vector_job(spark, sf_dir, max_features=500_000):
-    job = classic_job(spark, sf_dir, max_features)
-    vec = materialize(ML.tfidf_vectors(job.corpus, job.fit.idf))
-    # Sparse vectors: about 12 bytes per non-zero (index and value) plus a row overhead.
-    vec = sizing.fit_partitions(vec, 12 * job.features.count() + 64 * job.corpus.count())
-    train = vec.filter("is_train").withColumn("label", F.col("label").cast("double"))
-    test = vec.filter("not is_train").withColumn("label", F.col("label").cast("double"))
-    return job, train, test
-
-
 @register("predict", _nb_sql("multinomial", 1.0) + "\nSELECT doc_id, CAST(label AS DOUBLE) AS label, prediction FROM pred")
 def q_predict(spark, sf_dir):
     """``pyspark.ml`` multinomial NaiveBayes on the TF-IDF vectors, scored on the held-out rows."""
-    _, train, test = _vector_job(spark, sf_dir)
+    job = classic_job(spark, sf_dir)
+    train, test = (ML.sparse_vectors(r.withColumn("label", F.col("label").cast("double")), job.n_terms) for r in (job.train_rows(), job.test_rows()))
     model = ML.naive_bayes("multinomial", 1.0).fit(train)
     return model.transform(test).select("doc_id", "label", "prediction")
 
@@ -168,20 +159,24 @@ def q_fit_history(spark, sf_dir):
     return spark.createDataFrame(model.history, "iteration int, objective double, gradient_norm double, passes int")
 
 
-@register("random_forest")
+_FOREST_JOB = S.classic_job_ctes(DEFAULT_ABBREVIATIONS, CLASSIC_EMOJIS, CLASSIC_STOPWORDS, MAX_FEATURES) + ",\n"
+
+
+@register("random_forest", _FOREST_JOB + S.forest_ctes() + "\nSELECT doc_id, CAST(label AS DOUBLE) AS label, CAST(prediction AS DOUBLE) AS prediction, round(score, 6) AS score FROM pred")
 def q_rf(spark, sf_dir):
     """2 trees of depth 5 on the full vocabulary, from sparse histograms."""
     job = classic_job(spark, sf_dir)
     forest = RF.fit_forest(job.train_rows(), job.n_terms)
     pred = forest.transform(RF.binned(job.test_rows(), "doc_id", "label"))
-    return _held_out(pred.select("doc_id", "label", "prediction"))
+    score = F.round(F.array_max("probability"), 6).alias("score")
+    return pred.select("doc_id", F.col("label").cast("double").alias("label"), "prediction", score)
 
 
-FIRST_SPLIT_SQL = S.classic_job_ctes(DEFAULT_ABBREVIATIONS, CLASSIC_EMOJIS, CLASSIC_STOPWORDS, MAX_FEATURES) + ",\n" + S.first_split_ctes() + """
-SELECT tree, idx, bin, right_rows, left_rows, round(score, 6) AS score FROM best"""
-
-
-@register("forest_first_split", FIRST_SPLIT_SQL)
+@register(
+    "forest_first_split",
+    _FOREST_JOB + S.forest_ctes(max_depth=1) + """
+SELECT CAST(tree AS INTEGER) AS tree, CAST(idx AS INTEGER) AS idx, bin, CAST(right_rows AS BIGINT) AS right_rows, CAST(left_rows AS BIGINT) AS left_rows, round(score, 6) AS score FROM best1""",
+)
 def q_first_split(spark, sf_dir):
     """The root of each tree: the term and bin it splits on, the (weighted) documents right and left, the score."""
     job = classic_job(spark, sf_dir)

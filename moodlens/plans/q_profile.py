@@ -247,7 +247,7 @@ def filter_having_dups(spark, sf_dir):
 @register("drop_duplicates", f"{CTE}\nSELECT DISTINCT Polarity, TweetText FROM tweets")
 def drop_duplicates(spark, sf_dir):
     v = SRC.tweet_view(spark, sf_dir).drop("TweetID", "Date", "QueryFlag", "User")
-    return profile.drop_duplicates(v)
+    return profile.drop_duplicates(v, text="TweetText")
 
 
 @register(

@@ -299,26 +299,41 @@ prf AS (SELECT *, CASE WHEN precision + recall > 0 THEN 2 * precision * recall /
         FROM pr)"""
 
 
-def first_split_ctes(num_trees: int = 2, seed: int = 0) -> str:
-    """CTE ``best(tree, idx, bin, right_rows, left_rows, score)`` after ``classic_job_ctes``: the first split of each tree."""
+def forest_ctes(num_trees: int = 2, max_depth: int = 5, seed: int = 0) -> str:
+    """CTEs after ``classic_job_ctes``: ``best1(tree, node, idx, bin, right_rows, left_rows, score)``, the first split of
+    each tree, and so on to the last level; ``pred(doc_id, label, prediction, score)`` of the held-out documents.  Labels are
+    0, 1, 2."""
     from ..operators.forest import OCTAVE, OFFSET, POISSON, PRIME
 
     u = md5_bucket(f"concat(doc_id, '|{seed}|', tree)", 1_000_000)
     drawn = " + ".join(f"CASE WHEN u >= {t} THEN 1 ELSE 0 END" for t in POISSON)
-    k = f"((1 + tree * 64) * 7919 + {104_729 + 15_485_863 * (seed % 1000)})"
-    return f"""ids AS (SELECT term, row_number() OVER (ORDER BY cf DESC, term) - 1 AS idx FROM vocab),
-drawn AS (SELECT doc_id, label, tree, {drawn} AS w FROM (SELECT *, {u} AS u FROM train_docs CROSS JOIN range({num_trees}) AS r(tree))),
-picked AS (SELECT tree, term, idx FROM (SELECT tree, term, idx, (idx + {k}) % {PRIME} AS a, {k} AS k FROM ids CROSS JOIN range({num_trees}) AS r(tree))
-           CROSS JOIN vsize WHERE ((a * a) % {PRIME} * 48271 + k) % {PRIME} < CAST(floor({PRIME}::BIGINT * greatest(1, CAST(floor(sqrt(v)) AS BIGINT)) / v) AS BIGINT)),
-hist AS (SELECT p.tree, p.idx, CAST(floor(log2(f.x) * {OCTAVE} + {OFFSET}) AS INTEGER) AS bin, d.label, sum(d.w) AS w
-         FROM feat f JOIN picked p USING (term) JOIN drawn d ON d.doc_id = f.doc_id AND d.tree = p.tree
-         WHERE f.is_train AND d.w > 0 GROUP BY ALL),
-root AS (SELECT tree, label, sum(w) AS t FROM drawn GROUP BY ALL),
-cuts AS (SELECT DISTINCT tree, idx, bin FROM hist),
-sides AS (SELECT c.tree, c.idx, c.bin, r.label, r.t, coalesce((SELECT sum(h.w) FROM hist h WHERE h.tree = c.tree AND h.idx = c.idx AND h.bin >= c.bin AND h.label = r.label), 0) AS r
-          FROM cuts c JOIN root r ON r.tree = c.tree),
-scored AS (SELECT tree, idx, bin, CAST(sum(r) AS BIGINT) AS right_rows, CAST(sum(t - r) AS BIGINT) AS left_rows,
-                  sum(r * r) / sum(r) + sum((t - r) * (t - r)) / sum(t - r) AS score
-           FROM sides GROUP BY tree, idx, bin HAVING sum(r) > 0 AND sum(t - r) > 0),
-best AS (SELECT CAST(tree AS INTEGER) AS tree, CAST(idx AS INTEGER) AS idx, bin, right_rows, left_rows, score FROM scored
-         QUALIFY row_number() OVER (PARTITION BY tree ORDER BY score DESC, idx, bin) = 1)"""
+    k = f"((node + tree * 64) * 7919 + {104_729 + 15_485_863 * (seed % 1000)})"
+    labels = (0, 1, 2)
+
+    def columns(form: str, sep: str = ", ") -> str:
+        return sep.join(form.format(i=i) for i in labels)
+
+    out = f"""ids AS (SELECT term, row_number() OVER (ORDER BY cf DESC, term) - 1 AS idx FROM vocab),
+bins AS (SELECT doc_id, idx, CAST(floor(log2(x) * {OCTAVE} + {OFFSET}) AS INTEGER) AS bin FROM feat JOIN ids USING (term)),
+share AS (SELECT CAST(floor({PRIME}::BIGINT * greatest(1, CAST(floor(sqrt(v)) AS BIGINT)) / v) AS BIGINT) AS below FROM vsize),
+at1 AS (SELECT doc_id, label, tree, is_train, 1::BIGINT AS node, CASE WHEN is_train THEN {drawn} ELSE 0 END AS w
+        FROM (SELECT doc_id, label, tree, is_train, {u} AS u FROM corpus CROSS JOIN range({num_trees}) AS r(tree)))"""
+    for d in range(1, max_depth + 1):
+        out += f""",
+total{d} AS (SELECT tree, node, {columns("sum(CASE WHEN label = {i} THEN w ELSE 0 END) AS t{i}")} FROM at{d} WHERE w > 0 GROUP BY tree, node),
+open{d} AS (SELECT * FROM total{d} WHERE {columns("CASE WHEN t{i} > 0 THEN 1 ELSE 0 END", " + ")} > 1 AND node >= {2 ** (d - 1)}),
+hist{d} AS (SELECT a.tree, a.node, b.idx, b.bin, {columns("sum(CASE WHEN a.label = {i} THEN a.w ELSE 0 END) AS c{i}")}
+            FROM at{d} a JOIN open{d} o ON o.tree = a.tree AND o.node = a.node JOIN bins b ON b.doc_id = a.doc_id WHERE a.w > 0 GROUP BY a.tree, a.node, b.idx, b.bin),
+right{d} AS (SELECT tree, node, idx, bin, {columns("sum(c{i}) OVER up AS r{i}")} FROM hist{d} WINDOW up AS (PARTITION BY tree, node, idx ORDER BY bin DESC)),
+sides{d} AS (SELECT r.*, {columns("r{i}", " + ")} AS r, {columns("(t{i} - r{i})", " + ")} AS l, {columns("t{i}")}, (idx + {k.replace('node', 'r.node').replace('tree', 'r.tree')}) % {PRIME} AS a, {k.replace('node', 'r.node').replace('tree', 'r.tree')} AS k
+             FROM right{d} r JOIN open{d} o ON o.tree = r.tree AND o.node = r.node),
+best{d} AS (SELECT tree, node, idx, bin, r AS right_rows, l AS left_rows, score
+            FROM (SELECT *, ((a * a) % {PRIME} * 48271 + k) % {PRIME} AS h, ({columns("r{i} * r{i}", " + ")}) / r + ({columns("(t{i} - r{i}) * (t{i} - r{i})", " + ")}) / l AS score FROM sides{d} WHERE r > 0 AND l > 0) CROSS JOIN share
+            QUALIFY row_number() OVER (PARTITION BY tree, node ORDER BY CASE WHEN h < below THEN -1 ELSE h END, score DESC, idx, bin) = 1),
+at{d + 1} AS (SELECT a.doc_id, a.label, a.tree, a.is_train, a.w, CASE WHEN s.node IS NULL THEN a.node WHEN b.bin >= s.bin THEN 2 * a.node + 1 ELSE 2 * a.node END AS node
+              FROM at{d} a LEFT JOIN best{d} s ON s.tree = a.tree AND s.node = a.node LEFT JOIN bins b ON b.doc_id = a.doc_id AND b.idx = s.idx)"""
+    last = max_depth + 1
+    return out + f""",
+leaf AS (SELECT tree, node, {columns("sum(CASE WHEN label = {i} THEN w ELSE 0 END) / sum(w) AS p{i}")} FROM at{last} WHERE w > 0 GROUP BY tree, node),
+prob AS (SELECT a.doc_id, a.label, {columns("sum(p{i}) / " + str(num_trees) + " AS p{i}")} FROM at{last} a JOIN leaf USING (tree, node) WHERE NOT a.is_train GROUP BY a.doc_id, a.label),
+pred AS (SELECT doc_id, label, CASE WHEN p0 >= p1 AND p0 >= p2 THEN 0.0 WHEN p1 >= p2 THEN 1.0 ELSE 2.0 END AS prediction, greatest(p0, p1, p2) AS score FROM prob)"""
