@@ -13,6 +13,7 @@ others.  What survives is scored with the cosine of the original vectors in doub
 
 from __future__ import annotations
 
+import math
 import os
 import uuid
 
@@ -46,7 +47,7 @@ def kmeans(x: np.ndarray, lists: int, rounds: int = 8) -> np.ndarray:
     rng = np.random.default_rng(7)
     c = x[rng.choice(len(x), lists, replace=False)]
     for _ in range(rounds):
-        near = np.argmax(x @ c.T, axis=1)
+        near = np.concatenate([np.argmax(x[a : a + 4096] @ c.T, axis=1) for a in range(0, len(x), 4096)])
         total = np.zeros_like(c)
         np.add.at(total, near, x)
         size = np.sqrt((total * total).sum(axis=1))
@@ -131,7 +132,7 @@ def _search(k: int, turn: np.ndarray):
     return run
 
 
-def nearest(vectors: DataFrame, every: int = 50, k: int = 5, recall: float = 0.98, sample_rows: int = 16_384, block_rows: int = 4_096) -> DataFrame:
+def nearest(vectors: DataFrame, every: int = 50, k: int = 5, recall: float = 0.98, sample_rows: int | None = None, block_rows: int = 4_096) -> DataFrame:
     """The k nearest rows, by cosine, of each row whose vec_id is divisible by ``every``.
 
     Input: ``vec_id``, ``embedding`` (others are ignored, whatever their names).  Result: query_id, rank (from
@@ -152,6 +153,7 @@ def nearest(vectors: DataFrame, every: int = 50, k: int = 5, recall: float = 0.9
     dim, total = size["d"], size["count"]
     rows = rows.where(F.size("v") == dim).distinct()  # equal rows count once, however many there are
 
+    sample_rows = sample_rows or min(65_536, max(16_384, 16 * math.isqrt(total)))
     # A bounded sample in the order of a hash of the row, so that no id fills it.
     sample = rows.orderBy(F.xxhash64("vec_id", "v"), "vec_id", "v").limit(sample_rows).toArrow()
     x = _unit(np.array(sample.column("v").to_pylist(), np.float64))
@@ -178,8 +180,6 @@ def nearest(vectors: DataFrame, every: int = 50, k: int = 5, recall: float = 0.9
     index = index.withColumn("block", F.pmod(F.xxhash64("vec_id", "vec"), counts[F.col("list")]).cast("int"))
 
     queries = index.where(F.col("vec_id") % every == 0).groupBy(F.col("vec_id").alias("query_id")).agg(F.min("vec").alias("vec"))
-    groups = max(1, -(-total // (every * block_rows)))  # of queries, so that a task's queries are bounded too
-
     def route(batches):
         for b in batches:
             v = _matrix(b.column("vec"))
@@ -194,8 +194,11 @@ def nearest(vectors: DataFrame, every: int = 50, k: int = 5, recall: float = 0.9
             )
 
     sent = queries.mapInArrow(route, "query_id long, vec binary, list int, turn int").where(F.col("list").isin(list(blocks)))
-    sent = sent.withColumn("block", F.explode(F.sequence(F.lit(0), (counts[F.col("list")] - 1).cast("int")))).withColumn("part", F.pmod(F.xxhash64("query_id"), F.lit(groups)).cast("int"))
-    cells = index.withColumn("part", F.explode(F.sequence(F.lit(0), F.lit(groups - 1)))) if groups > 1 else index.withColumn("part", F.lit(0))
+    # Queries of a list in parts of at most about block_rows, so that a task's queries are bounded too.
+    asked = {r["list"]: -(-r["n"] // block_rows) for r in sent.groupBy("list").agg(F.count("*").alias("n")).collect()}  # one row per list
+    parts = F.create_map(*[F.lit(z) for kv in sorted(asked.items()) for z in kv]) if asked else F.create_map().cast("map<int,int>")
+    sent = sent.withColumn("block", F.explode(F.sequence(F.lit(0), (counts[F.col("list")] - 1).cast("int")))).withColumn("part", F.pmod(F.xxhash64("query_id"), parts[F.col("list")]).cast("int"))
+    cells = index.where(F.col("list").isin(list(asked))).withColumn("part", F.explode(F.sequence(F.lit(0), (parts[F.col("list")] - 1).cast("int"))))
     turn = rotation(dim)
 
     def search(q: DataFrame) -> DataFrame:

@@ -1,4 +1,5 @@
 import numpy as np
+import pytest
 
 from moodlens.llm import ann
 
@@ -74,3 +75,23 @@ def test_repeated_ids_push_no_candidate_out(spark):
     assert sorted(r.vec_id for r in ann.nearest(df).collect()) == [1, 2, 3]  # all candidates
     q, columns, ids = unit[0], np.ascontiguousarray(unit.T), np.array([i for i, _ in rows])
     assert set(want) <= set(ids[ann.scan(q, columns, np.inf, 5, ids, 0)].tolist())
+
+
+@pytest.mark.parametrize("sf", ["sf0.01", "sf0.1"])
+def test_recall_on_all_queries_of_the_table(spark, sf):
+    df = spark.read.parquet(f"/root/testdata/{sf}/embeddings.parquet")
+    table = df.toPandas()
+    want = _exact(table.vec_id.to_numpy(), np.array(table.embedding.tolist(), np.float64), 50, 5)
+    rows = ann.nearest(df).collect()
+    got = {q: {r.vec_id for r in rows if r.query_id == q} for q in want}
+    assert len(rows) == 5 * len(want) and np.mean([len(got[q] & set(w)) / 5 for q, w in want.items()]) >= 0.9
+
+
+def test_queries_of_a_list_in_parts(spark):
+    rng = np.random.default_rng(9)
+    x = rng.standard_normal((600, 16))
+    df = spark.createDataFrame([(int(i), v.tolist()) for i, v in enumerate(x)], "vec_id long, embedding array<double>")
+    rows = ann.nearest(df, every=2, block_rows=20, recall=1.0).collect()  # 300 queries, lists probed by more than 20
+    want = _exact(np.arange(600), x, 2, 5)
+    got = {q: [r.vec_id for r in sorted((r for r in rows if r.query_id == q), key=lambda r: r.rank)] for q in want}
+    assert len(rows) == 1_500 and np.mean([got[q] == w for q, w in want.items()]) >= 0.95
