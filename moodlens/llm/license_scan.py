@@ -115,22 +115,33 @@ def _pairs(words):
     return F.transform(F.arrays_zip(F.slice(words, 1, rest).alias("x"), F.slice(words, 2, rest).alias("y")), lambda z: F.concat(z["x"], F.lit(" "), z["y"]))
 
 
-def _best_end(start, window, grams, n):
-    """Of the runs from the begin of a window that end with a bigram of the template, the most alike."""
-    marked = F.transform(window, lambda g, i: F.struct(i.alias("i"), (F.array_position(window, g) == i + 1).alias("new"), F.array_contains(grams, g).alias("hit")))
+def _previous(grams):
+    """For each bigram the place where it stood before (-1: nowhere), by one sort of the text's bigrams."""
+    ordered = F.array_sort(F.transform(grams, lambda g, i: F.struct(g.alias("g"), i.alias("i"))))
+    return ordered, lambda o: F.transform(
+        F.array_sort(F.transform(o, lambda x, k: F.struct(x["i"].alias("i"), F.when((k > 0) & (F.get(o, k - 1)["g"] == x["g"]), F.get(o, k - 1)["i"]).otherwise(F.lit(-1)).alias("before")))),
+        lambda x: x["before"],
+    )
+
+
+def _best_end(start, before, hits, most, n):
+    """Of the runs from a place that end with a bigram of the template within ``most`` places, the most alike: running
+    counts of new bigrams and of new ones of the template, without a copy of the run."""
 
-    def step(acc, x):
-        a = acc["a"] + x["new"].cast("int")
-        shared = acc["s"] + (x["new"] & x["hit"]).cast("int")
+    def step(acc, i):
+        new, hit = F.get(before, i) < start, F.get(hits, i)
+        a = acc["a"] + new.cast("int")
+        shared = acc["s"] + (new & hit).cast("int")
         dice = F.lit(2.0) * shared / (a + n)
-        better = x["hit"] & (dice > acc["dice"])
+        better = hit & (dice > acc["dice"])
         return F.struct(
             a.alias("a"), shared.alias("s"), F.when(better, dice).otherwise(acc["dice"]).alias("dice"),
-            F.when(better, x["i"]).otherwise(acc["last"]).alias("last"), F.when(better, shared).otherwise(acc["shared"]).alias("shared"),
+            F.when(better, i).otherwise(acc["last"]).alias("last"), F.when(better, shared).otherwise(acc["shared"]).alias("shared"),
         )
 
-    zero = F.struct(F.lit(0).alias("a"), F.lit(0).alias("s"), F.lit(0.0).alias("dice"), F.lit(0).alias("last"), F.lit(0).alias("shared"))
-    return F.aggregate(marked, zero, step, lambda acc: F.struct((-acc["dice"]).alias("order"), start.alias("start"), (start + acc["last"]).alias("last"), acc["shared"].alias("shared"), acc["dice"].alias("dice")))
+    zero = F.struct(F.lit(0).alias("a"), F.lit(0).alias("s"), F.lit(0.0).alias("dice"), start.alias("last"), F.lit(0).alias("shared"))
+    places = F.sequence(start, F.least(start + most, F.size(hits)) - 1)
+    return F.aggregate(places, zero, step, lambda acc: F.struct((-acc["dice"]).alias("order"), start.alias("start"), acc["last"].alias("last"), acc["shared"].alias("shared"), acc["dice"].alias("dice")))
 
 
 def _runs(texts: DataFrame, templates: list[tuple[str, str]], threshold: float) -> DataFrame:
@@ -155,13 +166,16 @@ def _runs(texts: DataFrame, templates: list[tuple[str, str]], threshold: float)
     grams = words.select("doc_id", "text", "words", F.explode(F.array(_pairs(F.col("words")))).alias("grams"))
     common = grams.select("*", F.explode(F.array(F.array_intersect("grams", every))).alias("common")).where(F.size("common") >= min(least for *_, least, _ in known))
     possible = F.filter("templates", lambda t: F.size(F.array_intersect("common", t["grams"])) >= t["least"])
-    rows = common.withColumn("templates", literal).withColumn("t", F.explode(possible))
+    rows = common.withColumn("templates", literal).withColumn("possible", F.explode(F.array(possible))).where(F.size("possible") > 0)
+    ordered, places_of = _previous(F.col("grams"))
+    rows = rows.withColumn("ordered", F.explode(F.array(ordered))).withColumn("before", F.explode(F.array(places_of(F.col("ordered"))))).drop("ordered")
+    rows = rows.withColumn("t", F.explode("possible")).drop("possible")
     # Places of the template's bigrams; a run begins at one that has enough others after it.
-    places = F.filter(F.transform("grams", lambda g, i: F.when(F.array_contains(F.col("t.grams"), g), i)), lambda i: i.isNotNull())
+    rows = rows.withColumn("hits", F.explode(F.array(F.transform("grams", lambda g: F.array_contains(F.col("t.grams"), g)))))
+    places = F.filter(F.transform("hits", lambda h, i: F.when(h, i)), lambda i: i.isNotNull())
     rows = rows.withColumn("places", F.explode(F.array(places)))
     starts = F.filter("places", lambda p, k: F.get("places", k + F.col("t.least") - 1) - p < F.col("t.most"))
-    windows = F.transform(starts, lambda p: F.struct(p.alias("p"), F.slice("grams", p + 1, F.col("t.most")).alias("w")))
-    runs = F.transform(windows, lambda x: _best_end(x["p"], x["w"], F.col("t.grams"), F.col("t.n")))
+    runs = F.transform(starts, lambda p: _best_end(p, F.col("before"), F.col("hits"), F.col("t.most"), F.col("t.n")))
     rows = rows.withColumn("runs", F.explode(F.array(F.array_sort(F.filter(runs, lambda x: x["dice"] >= threshold))))).where(F.size("runs") > 0)
     apart = F.aggregate("runs", F.slice("runs", 1, 0), lambda acc, x: F.when(F.exists(acc, lambda y: (y["start"] <= x["last"] + 1) & (x["start"] <= y["last"] + 1)), acc).otherwise(F.concat(acc, F.array(x))))
     lines = F.transform(F.split("text", "\n"), lambda line: F.filter(F.split(line, " +"), lambda w: w != ""))

@@ -75,3 +75,16 @@ def test_parts_of_lines_and_runs_over_lines(table):
     for doc, i in enumerate(body, 2):
         assert (i, 1.0) in [x[1:] for x in got[doc]]
     assert 8 not in got
+
+
+def test_many_notices_in_one_long_text(spark):
+    import time
+
+    body = next(t for n, t in L.TEMPLATES if n.upper().startswith("MIT") and len(t.split()) > 100)
+    text = " ".join(f"{' '.join(f'word{i}x{j}' for j in range(90))} {body}" for i in range(60))
+    df = spark.createDataFrame([(1, text), (2, "nothing")], "doc_id long, text string")
+    L.license_scan(df.where("doc_id = 2")).collect()
+    t0 = time.perf_counter()
+    rows = [r for r in L.license_scan(df).collect() if r.unit < 0]
+    assert time.perf_counter() - t0 < 20
+    assert len({r.unit for r in rows if r.dice == 1.0}) == 60 and {r.doc_id for r in rows} == {1}
