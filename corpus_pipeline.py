@@ -26,10 +26,22 @@ def _carried(made: DataFrame, docs: DataFrame, **changed) -> DataFrame:
     return made.select(*[changed.get(c, F.col(f"carried_{i}")).alias(c) for i, c in enumerate(docs.columns)])
 
 
+def _free(docs: DataFrame, *names: str) -> list[str]:
+    """Column names that ``docs`` does not have."""
+    taken = {c.lower() for c in docs.columns}
+    out = []
+    for name in names:
+        while name.lower() in taken:
+            name += "_"
+        out.append(name)
+    return out
+
+
 def _without(docs: DataFrame, decided: DataFrame) -> DataFrame:
     """Documents less those of whose rows ``decided`` keeps none (a null doc_id matches a null one)."""
-    gone = decided.groupBy(F.col("doc_id").alias("gone_id")).agg(F.max("kept").alias("any")).where("NOT any").select("gone_id")
-    return docs.join(gone, F.col("doc_id").eqNullSafe(F.col("gone_id")), "left_anti")
+    (gone_id,) = _free(docs, "gone_id")
+    gone = decided.groupBy(F.col("doc_id").alias(gone_id)).agg(F.max("kept").alias("any")).where("NOT any").select(gone_id)
+    return docs.join(gone, F.col("doc_id").eqNullSafe(F.col(gone_id)), "left_anti")
 
 
 def quality_filter(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -42,12 +54,13 @@ def exact_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
     """Of documents with equal texts (A-Z lower-cased) the one with the largest doc_id.  Rows are told apart by
     doc_id and text; of rows that are equal in both one stays."""
     decided = exact_dedup(docs)
-    groups = decided.groupBy(F.col("doc_id").alias("gone_id"), F.col("text_sha256").alias("gone_sha")).agg(F.max("kept").alias("any"), F.count("*").alias("n"))
-    same = F.col("doc_id").eqNullSafe(F.col("gone_id")) & (F.col("pipeline_sha") == F.col("gone_sha"))
-    keyed = docs.withColumn("pipeline_sha", F.sha2(lower_ascii(F.coalesce("text", F.lit(""))), 256))
-    left = keyed.join(groups.where("NOT any").select("gone_id", "gone_sha"), same, "left_anti")
+    gone_id, gone_sha, sha = _free(docs, "gone_id", "gone_sha", "pipeline_sha")
+    groups = decided.groupBy(F.col("doc_id").alias(gone_id), F.col("text_sha256").alias(gone_sha)).agg(F.max("kept").alias("any"), F.count("*").alias("n"))
+    same = F.col("doc_id").eqNullSafe(F.col(gone_id)) & (F.col(sha) == F.col(gone_sha))
+    keyed = docs.withColumn(sha, F.sha2(lower_ascii(F.coalesce("text", F.lit(""))), 256))
+    left = keyed.join(groups.where("NOT any").select(gone_id, gone_sha), same, "left_anti")
     if groups.where("n > 1 AND any").head(1):
-        left = left.dropDuplicates(["doc_id", "pipeline_sha"])
+        left = left.dropDuplicates(["doc_id", sha])
     return left.select(*docs.columns)
 
 
