@@ -16,7 +16,7 @@ SF = "/root/testdata/sf0.001"
 
 def test_registered():
     names = E.queries()
-    assert [n for n in range(1, 11) if sum(k.startswith(f"op{n}_") for k in names) != 1] == []
+    assert [n for n in range(1, 14) if sum(k.startswith(f"op{n}_") for k in names) != 1] == []
     assert "pipeline" in names and len(corpus_pipeline.STAGES) == 5
 
 
@@ -72,3 +72,21 @@ def test_stages_on_odd_rows(spark):
     counts = [stage(spark, docs, SF).count() for _, stage in corpus_pipeline.STAGES]
     assert counts[:4] == [6, 3, 6, 6]
     assert all(stage(spark, docs.limit(0), SF).count() == 0 for _, stage in corpus_pipeline.STAGES)
+
+
+def test_columns_of_documents_with_any_name(spark):
+    from pyspark.sql import functions as F
+
+    stages = dict(corpus_pipeline.STAGES)
+    text = " ".join(f"word{i}" for i in range(30))
+    rows = [(1, text), (2, text.upper()), (3, text + " more"), (None, "a b"), (None, "a b"), (4, None)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    for c in ("gone_id", "gone_sha", "pipeline_sha", "Gone_ID_", "any", "n", "kept", "h"):
+        docs = docs.withColumn(c, F.concat(F.lit(f"{c} of "), F.col("doc_id").cast("string")))
+    left = stages["exact_dedup"](spark, docs, SF)
+    assert left.columns == docs.columns
+    assert sorted((r.doc_id or 0, r.text, r.gone_id, r.pipeline_sha) for r in left.collect() if r.doc_id != 4) == [
+        (0, "a b", None, None), (2, text.upper(), "gone_id of 2", "pipeline_sha of 2"), (3, text + " more", "gone_id of 3", "pipeline_sha of 3"),
+    ]
+    near = stages["near_dedup"](spark, left, SF)
+    assert near.columns == docs.columns and sorted(r.doc_id or 0 for r in near.collect()) == [0, 2, 4]
