@@ -88,3 +88,14 @@ def test_many_notices_in_one_long_text(spark):
     rows = [r for r in L.license_scan(df).collect() if r.unit < 0]
     assert time.perf_counter() - t0 < 20
     assert len({r.unit for r in rows if r.dice == 1.0}) == 60 and {r.doc_id for r in rows} == {1}
+
+
+def test_bodies_wrapped_in_longer_texts(spark):
+    names = ["bsd-2-clause", "bsd-3-clause", "zlib", "bsl-1.0", "lgpl-3.0", "lgpl-2.1", "agpl-3.0", "epl-2.0", "unlicense"]
+    bodies = {n: t for n, t in L.TEMPLATES if n in names}
+    assert sorted(bodies) == sorted(names)
+    docs = [(i, f"A file of its own words {n}\nand more of them\n" + "\n".join(textwrap.wrap(bodies[n], 72)) + "\n" + "\n".join(f"line{j} of the file{j}" for j in range(200))) for i, n in enumerate(names)]
+    rows = L.license_scan(spark.createDataFrame(docs, "doc_id long, text string")).collect()
+    for i, n in enumerate(names):
+        best = max((r for r in rows if r.doc_id == i), key=lambda r: r.dice)
+        assert best.license == n and best.dice == 1.0 and best.unit < 0
