@@ -297,8 +297,9 @@ def substring_dedup(docs: DataFrame, window: int = 20, chunk_bytes: int = 4 << 2
     by_chunk = texts.groupBy("chunk")
     blobs, back = "bucket int, chunk int, kind int, blob binary", "chunk int, blob binary"
     buckets = max(least, -(-total // (4 * chunk_bytes)))
-    blocks = by_chunk.applyInArrow(_name_blocks(window, buckets), blobs).groupBy("bucket").applyInArrow(_meet_blocks, back)
+    # A task for each bucket: their number grows with the table, so that a task does not.
+    blocks = by_chunk.applyInArrow(_name_blocks(window, buckets), blobs).repartition(buckets, "bucket").groupBy("bucket").applyInArrow(_meet_blocks, back)
     places = by_chunk.cogroup(blocks.groupBy("chunk")).applyInArrow(_name_windows(window, buckets), blobs)
-    later = places.groupBy("bucket").applyInArrow(_meet_windows, back)
+    later = places.repartition(buckets, "bucket").groupBy("bucket").applyInArrow(_meet_windows, back)
     made = OUT + "".join(f", carried_{i} {t}" for i, t in enumerate(types))
     return by_chunk.cogroup(later.groupBy("chunk")).applyInArrow(_cut(window, with_text, len(carry)), made)
