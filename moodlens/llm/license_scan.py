@@ -100,7 +100,9 @@ def license_scan(docs: DataFrame, templates: list[tuple[str, str]] = TEMPLATES,
     clean = F.regexp_replace(lower_ascii(F.col("text").cast("string")), "[^a-z0-9\n]+", " ")
     words = "|".join(sorted(set().union(*(needed_words(b, threshold) for _, _, b, _ in known))))
     likely = F.rlike("text", F.lit(f"(?:^|[ \n])(?:{words})(?:[ \n]|$)"))
-    texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.explode_outer(F.array(clean)).alias("text")).where(likely)
+    # The same test on the text as it is, so that only texts that pass are cleaned.
+    raw = F.rlike(F.col("text").cast("string"), F.lit(f"(?i)(?<![a-z0-9])(?:{words})(?![a-z0-9])"))
+    texts = docs.where(raw).select(F.col("doc_id").cast("long").alias("doc_id"), F.explode_outer(F.array(clean)).alias("text"))
     whole = F.when(F.instr("text", "\n") > 0, F.regexp_replace("text", "[ \n]+", " ")).otherwise("")
     units = texts.select("doc_id", F.posexplode_outer(F.concat(F.array(whole), F.split("text", "\n"))).alias("unit", "text")).where(likely)
     units = units.select("doc_id", "unit", F.trim("text").alias("part"))
