@@ -150,3 +150,18 @@ def test_row_gate_not_pushed_into_scan(spark):
     for line in plan.split("\n"):
         if "Filter" in line:
             assert "regexp_replace" not in line and "array_join" not in line, line
+
+
+def test_word_steps_run_in_batches(spark):
+    """Odd texts through the staged cleaners; no step is interpreted per token."""
+    rows = [(0, None), (1, ""), (2, "\u2003 Lol\x85u \x1f"), (3, "a &amp;lt;3 &#x41;b\\\\u00e9 é\u212a w/ won't"), (4, "1\u212a2ab x Cats! the lol")]
+    df = spark.createDataFrame(rows, "id int, t string")
+    tags = [("lol", "XX"), ("out", "DT"), ("laughing", "JJ"), ("love", None)]
+    steps = social.social_tokens_df(df, "t", "o", pos_lexicon=tags, keep=["id"])
+    got = {r["id"]: r["o"] for r in steps.collect()}
+    assert got[0] == [] and got[1] == [] and got[2] == ["laughing", "loud"]
+    assert "lambdafunction" not in steps._jdf.queryExecution().optimizedPlan().toString()
+    words = classic.classic_words_df(df, "t", "o", keep=["id"], abbrev_mode="word")
+    got = {r["id"]: r["o"] for r in words.collect()}
+    assert got[0] == [] and got[1] == [] and got[4] == ["2ab", "cats", "laughing", "loud"]
+    assert "lambdafunction" not in words._jdf.queryExecution().optimizedPlan().toString()
