@@ -222,3 +222,14 @@ def test_cleaners_take_lexicons_of_any_size(spark):
         assert rows(classic.clean_classic_df(df, "t", "o", keep=["id"], abbreviations=large, abbrev_mode="word", lemma_lexicon=large)) == rows(want)
     want = classic.clean_classic_df(df, "t", "o", keep=["id"], abbreviations=few, abbrev_mode="word")
     assert classic.clean_classic_df(df, "t", "o", keep=["id"], abbreviations=small + many, abbrev_mode="substring").count() == want.count()
+
+
+def test_joined_dictionary_moves_chunks_not_tokens(spark, monkeypatch):
+    monkeypatch.setattr(V, "CHUNK_TOKENS", 3)
+    df = spark.createDataFrame(ROWS * 3, "id long, t array<string>").repartition(2)
+    d = spark.createDataFrame([("cats", ["the", "cat"]), ("x", [])], "word string, out array<string>")
+    got = V.replace_tokens(df, "t", d, max_rows=0)
+    assert "posexplode" not in got._jdf.queryExecution().optimizedPlan().toString()
+    table = {"cats": ["the", "cat"], "x": []}
+    want = [(i, None if t is None else [o for w in t for o in table.get(w, [w])]) for i, t in ROWS * 3]
+    assert _sorted(map(tuple, got.collect())) == _sorted(want)
