@@ -77,3 +77,10 @@ def test_verdicts_of_the_table(spark):
     for r in rows:
         host, path, rule, verdict = plain(urls[r.page_id])
         assert (r.host, r.path, r.rule) == (host, path, rule) and (verdict is None or r.verdict == verdict)
+
+
+def test_every_labelled_url_counts(spark):
+    """More labelled URLs than a task holds: suffixes and trees know them all."""
+    rows = spark.createDataFrame([(i, f"http://h{i}.example/{'a' if i % 2 else 'b1'}", i % 2) for i in range(300)], "page_id long, url string, label int")
+    model = U.UrlModel(U.with_rules(rows, ()), 100, 2, 2)
+    assert model.rows == 300 and model.stats["last"].first()["n"] == 300 and model.stats["last_two"].count() == 300
