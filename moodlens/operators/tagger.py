@@ -21,6 +21,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..functions.lexicon import text_slices
 from ..session import materialize
 from .sizing import measure
 from .vocabulary import MAX_SENT_BYTES, MAX_SENT_ROWS, distinct_words
@@ -28,6 +29,7 @@ from .vocabulary import MAX_SENT_BYTES, MAX_SENT_ROWS, distinct_words
 SUFFIXES = (3, 2, 1)
 MAX_TAGS = 200
 UNIT = 1_000_000
+PLACES, CELLS = 200_000, 8_000_000  # tokens whose paths are found together, and those times pairs of tags
 
 
 def lexicon_tagged(df: DataFrame, tokens_col: str, lexicon: DataFrame) -> DataFrame:
@@ -66,21 +68,47 @@ class Tagger:
                 return self.suffixes[word[-n:]]
         return self.suffixes[""]
 
+    def paths(self, costs: np.ndarray, size: np.ndarray) -> np.ndarray:
+        """The cheapest tags of rows, from the (token, tag) costs of all their tokens and the rows' sizes (1 or more).
+        The longest rows come first, so that those that reach a place are the first ones: a step of the fold
+        handles a place of all of them."""
+        first = np.cumsum(size) - size
+        order = np.argsort(-size, kind="stable")
+        at, left = first[order], size[order]
+        total = self.start + costs[at]
+        came = np.zeros(costs.shape, np.uint8)  # of each token, by its tag: the tag before (fewer than 256 tags)
+        for place in range(1, int(left[0]) if len(left) else 0):
+            n = int(np.searchsorted(-left, -place, side="left"))  # rows of more than ``place`` tokens
+            by = total[:n, :, None] + self.step
+            best = by.argmin(axis=1)
+            came[at[:n] + place] = best
+            total[:n] = np.take_along_axis(by, best[:, None, :], 1)[:, 0] + costs[at[:n] + place]
+        out = np.zeros(len(costs), np.int64)
+        tag = total.argmin(axis=1)
+        out[at + left - 1] = tag
+        for place in range(int(left[0]) - 1 if len(left) else 0, 0, -1):
+            n = int(np.searchsorted(-left, -place, side="left"))
+            tag[:n] = came[at[:n] + place, tag[:n]]
+            out[at[:n] + place - 1] = tag[:n]
+        return out
+
     def path(self, costs: np.ndarray) -> list[int]:
         """The cheapest tags of a row, from its (token, tag) costs."""
-        total = self.start + costs[0]
-        came = []
-        for own in costs[1:]:
-            by = total[:, None] + self.step
-            best = by.argmin(axis=0)
-            came.append(best)
-            total = by[best, np.arange(len(best))] + own
-        at = int(total.argmin())
-        out = [at]
-        for best in reversed(came):
-            at = int(best[at])
-            out.append(at)
-        return out[::-1]
+        return self.paths(costs, np.array([len(costs)])).tolist()
+
+    def tag_lists(self, words: pa.Array, size: np.ndarray, table: np.ndarray) -> pa.Array:
+        """Tags of the tokens of rows of ``size`` tokens, null for a row of size -1: a token's costs are the row of
+        ``table`` that ``words`` names."""
+        names, held = pa.array(self.tags, pa.string()), np.maximum(size, 0)
+        full = np.flatnonzero(held)
+        tags = np.zeros(len(words), np.int64)
+        ends = np.cumsum(held)
+        group = (ends[full] - 1) // max(1, min(PLACES, CELLS // len(self.tags) ** 2))
+        for rows in np.split(full, np.flatnonzero(np.diff(group)) + 1) if len(full) else []:
+            a, b = int(ends[rows[0]] - held[rows[0]]), int(ends[rows[-1]])
+            tags[a:b] = self.paths(table[words[a:b]], held[rows])
+        offsets = pa.array(np.concatenate([[0], ends]).astype(np.int32), mask=np.append(size < 0, False))
+        return pa.ListArray.from_arrays(offsets, names.take(pa.array(tags)))
 
     def transform(self, df: DataFrame, tokens_col: str, out_col: str = "tags") -> DataFrame:
         """``df`` plus the tags of its tokens (a null array: null; a null token counts as an empty word)."""
@@ -98,11 +126,13 @@ class Tagger:
 
         def run(batches):
             for b in batches:
-                out = []
-                for tokens in b.column(tokens_col).to_pylist():
-                    costs = [sent.value[w] if w in sent.value else self.unknown(w) for w in (t or "" for t in tokens or ())]
-                    out.append(None if tokens is None else [self.tags[i] for i in self.path(np.array(costs))] if costs else [])
-                yield pa.RecordBatch.from_arrays([*b.columns, pa.array(out, pa.list_(pa.string()))], names=[*b.schema.names, out_col])
+                for s in text_slices(b, tokens_col):
+                    tokens = s.column(tokens_col)
+                    words = tokens.flatten().fill_null("").dictionary_encode()
+                    own = [sent.value[w] if w in sent.value else self.unknown(w) for w in words.dictionary.to_pylist()]
+                    size = tokens.value_lengths().fill_null(-1).to_numpy(zero_copy_only=False).astype(np.int64)
+                    out = self.tag_lists(words.indices.to_numpy(), size, np.array(own, np.int64).reshape(-1, len(self.tags)))
+                    yield pa.RecordBatch.from_arrays([*s.columns, out], names=[*s.schema.names, out_col])
 
         kept = self
         self = Tagger(kept.tags, kept.start, kept.step, kept.suffixes, None)  # what the tasks need
