@@ -32,6 +32,7 @@ U = np.uint64
 BLOCK = 10
 PAIR_ROUNDS = 4
 LONGEST = 8  # words of a symbol that may still take part in a pair
+ROWS_WORDS = 65_536  # words whose windows are chosen together
 NO_ID = np.iinfo(np.int64).max
 OUT = "doc_id long, n_words long, n_removed long, kept_sha256 string, kept_text string"
 
@@ -76,8 +77,25 @@ def parse(names: np.ndarray, row_off: np.ndarray, window: int, places: np.ndarra
     return at, sym, lo, hi
 
 
+def row_groups(row_off: np.ndarray, words: int = ROWS_WORDS):
+    """Slices of neighbouring rows of about ``words`` words (one row at least).  A window never reaches over rows, so
+    what a chunk makes of its windows can be made group by group, and its arrays stay as small as a group."""
+    group = row_off[:-1] // words
+    cut = np.flatnonzero(np.append(True, group[1:] != group[:-1])) if len(group) else np.zeros(0, np.int64)
+    yield from zip(cut.tolist(), np.append(cut[1:], len(group)).tolist())
+
+
 def chosen_blocks(names: np.ndarray, row_off: np.ndarray, window: int):
     """Places of all windows and, for each, the place of the block that it chooses."""
+    made = []
+    for a, b in row_groups(row_off):
+        first = row_off[a]
+        places, block = _chosen(names[first : row_off[b]], row_off[a : b + 1] - first, window)
+        made.append((places + first, block + first))
+    return tuple(np.concatenate(x) for x in zip(*made)) if made else (np.zeros(0, np.int64),) * 2
+
+
+def _chosen(names: np.ndarray, row_off: np.ndarray, window: int):
     counts = np.maximum(np.diff(row_off) - window + 1, 0)
     total = int(counts.sum())
     places = np.repeat(row_off[:-1] - (np.cumsum(counts) - counts), counts) + np.arange(total)
