@@ -21,9 +21,9 @@ from moodlens.session import ensure_checkpoint_dir
 from moodlens.sources.tables import read_table
 
 
-def _carried(made: DataFrame, docs: DataFrame, **changed) -> DataFrame:
-    """The columns of ``docs`` from an operator's carried ones, some of them changed."""
-    return made.select(*[changed.get(c, F.col(f"carried_{i}")).alias(c) for i, c in enumerate(docs.columns)])
+def _carried(made: DataFrame, docs: DataFrame) -> DataFrame:
+    """The columns of ``docs`` from an operator's carried ones."""
+    return made.select(*[F.col(f"carried_{i}").alias(c) for i, c in enumerate(docs.columns)])
 
 
 def _free(docs: DataFrame, *names: str) -> list[str]:
@@ -73,13 +73,13 @@ def near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents without the words of passages that start earlier; a document that loses no word keeps its text
     as it is, one that loses all keeps the empty text.  ``n_chars`` follows the text."""
-    made = substring_dedup(docs, window=20, carry=tuple(docs.columns))
-    changed = F.col("n_removed") > 0
-    chars = {}
-    if "n_chars" in docs.columns:
-        old = F.col(f"carried_{docs.columns.index('n_chars')}")
-        chars = {"n_chars": F.when(changed, F.length("kept_text").cast(docs.schema["n_chars"].dataType)).otherwise(old)}
-    return _carried(made, docs, text=F.col("kept_text"), **chars)
+    others = [c for c in docs.columns if c != "text"]  # the text comes back as kept_text
+    made = substring_dedup(docs, window=20, carry=tuple(others))
+    carried = {c: F.col(f"carried_{i}") for i, c in enumerate(others)}
+    if "n_chars" in carried:
+        chars = F.length("kept_text").cast(docs.schema["n_chars"].dataType)
+        carried["n_chars"] = F.when(F.col("n_removed") > 0, chars).otherwise(carried["n_chars"])
+    return made.select(*[carried.get(c, F.col("kept_text")).alias(c) for c in docs.columns])
 
 
 def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

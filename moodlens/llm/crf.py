@@ -14,9 +14,10 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType
 
 from . import words as W
-from .bpe import slices
+from .bpe import forget, slices
 
 FIT_LINES, RUN = 120, 40  # lines of a document that the fit reads, and of one run of them
 THRESHOLD = 0.7
@@ -160,6 +161,7 @@ def train(docs: DataFrame, labels: DataFrame, per_class: int = 1500) -> dict:
     texts = texts.groupBy("doc_id").agg(F.min(F.struct(F.xxhash64("text").alias("h"), "quality", "text")).alias("t")).select("doc_id", "t.quality", "t.text")
 
     def features(batches):
+        forget()
         for batch in batches:
             for part in slices(batch, size=PART_BYTES):
                 x, size, off = line_features(part.column("text"))
@@ -207,10 +209,15 @@ def score(docs: DataFrame, model: dict, carry: tuple[str, ...] = ()) -> DataFram
     carried_1, ... (their names may clash with the result's); see ``quality``."""
     extra = [f"carried_{i}" for i in range(len(carry))]
 
+    # A carried text is sent once, for both uses.
+    own = carry.index("text") if "text" in carry and docs.schema["text"].dataType == StringType() else None
+    text = "text" if own is None else extra[own]
+
     def run(batches):
+        forget()
         for batch in batches:
-            for part in slices(batch, size=PART_BYTES):
-                x, size, off = line_features(part.column("text"))
+            for part in slices(batch, text, PART_BYTES):
+                x, size, off = line_features(part.column(text))
                 out = np.full(len(off) - 1, model["prior"])
                 if model["weights"] is not None and len(x):
                     emit = x @ model["weights"][:-1] + model["weights"][-1]
@@ -224,7 +231,7 @@ def score(docs: DataFrame, model: dict, carry: tuple[str, ...] = ()) -> DataFram
                 yield pa.RecordBatch.from_arrays([*made, *map(part.column, extra)], names=["doc_id", "held_out", "score", "predicted", *extra])
 
     columns = [F.col(c).alias(e) for c, e in zip(carry, extra)]
-    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), held_out("doc_id").alias("held_out"), F.col("text").cast("string").alias("text"), *columns)
+    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), held_out("doc_id").alias("held_out"), *([F.col("text").cast("string").alias("text")] if own is None else []), *columns)
     made = "doc_id long, held_out boolean, score double, predicted int" + "".join(f", {e} {docs.schema[c].dataType.simpleString()}" for c, e in zip(carry, extra))
     return rows.mapInArrow(run, made)
 

@@ -29,13 +29,13 @@ from pyspark.sql import functions as F
 from ..operators.sizing import broadcast_if_small
 from ..session import ensure_checkpoint_dir
 from . import words as W
-from .bpe import slices
+from .bpe import forget, slices
 from .components import connected_components
 
 U = np.uint64
 BANDS, ROWS = 36, 4  # a link of similarity 0.75 shares no band with probability 1e-6
 EMPTY = U(0xFFFFFFFFFFFFFFFF)
-PART_BYTES = 2 << 20
+PART_BYTES = 1 << 20
 
 
 def shingle_sets(texts, size: int = 5):
@@ -87,6 +87,7 @@ def set_prints(grams: np.ndarray, off: np.ndarray) -> tuple[np.ndarray, np.ndarr
 
 
 def _sketch_batches(batches):
+    forget()
     for batch in batches:
         for part in slices(batch, size=PART_BYTES):
             grams, off = shingle_sets(part.column("text"))
@@ -101,6 +102,7 @@ def _sketch_batches(batches):
 
 
 def _set_batches(batches):
+    forget()
     for batch in batches:
         for part in slices(batch, size=PART_BYTES):
             grams, off = shingle_sets(part.column("text"))

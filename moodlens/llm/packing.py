@@ -25,7 +25,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..session import ensure_checkpoint_dir
-from .bpe import loaded, slices
+from .bpe import PART_BYTES, loaded, slices
 
 END = 1  # id after each document
 
@@ -66,7 +66,7 @@ def _cut_batches(path: str, capacity: int, with_ids: bool):
         seen = dict.fromkeys(counts, 0)
         end = np.array([END], "<u4").tobytes()
         for batch in batches:
-            for part in slices(batch):
+            for part in slices(batch, size=PART_BYTES):
                 rows = []
                 for doc, ids in zip(part.column("doc_id").to_pylist(), bpe.encode_all(part.column("text").to_pylist())):
                     ids += end

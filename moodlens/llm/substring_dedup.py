@@ -27,6 +27,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from . import words as W
+from .bpe import forget
 
 U = np.uint64
 BLOCK = 10
@@ -179,6 +180,7 @@ def _join_blobs(table: pa.Table, width: type) -> np.ndarray:
 
 def _name_blocks(window: int, buckets: int):
     def run(table: pa.Table) -> pa.Table:
+        forget()
         chunk = table.column("chunk")[0].as_py()
         _, _, data, starts, ends, row_off = _read(table)
         names = W.word_names(data, starts, ends)

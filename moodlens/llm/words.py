@@ -18,7 +18,7 @@ _LOWER = np.arange(256, dtype=np.uint8)
 _LOWER[65:91] += 32
 _BASE = U(0x9E3779B97F4A7C15 | 1)
 _INV = U(pow(int(_BASE), -1, 1 << 64))
-_BLOCK = 1 << 20  # bytes hashed at once
+_BLOCK = 1 << 17  # bytes hashed at once
 
 
 def mix(x: np.ndarray, seed: int = 0) -> np.ndarray:

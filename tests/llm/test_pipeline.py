@@ -74,6 +74,55 @@ def test_stages_on_odd_rows(spark):
     assert all(stage(spark, docs.limit(0), SF).count() == 0 for _, stage in corpus_pipeline.STAGES)
 
 
+def _sent_texts(df):
+    """How often a text column goes to Python in the plan's first step there."""
+    plan = df._jdf.queryExecution().optimizedPlan().toString()
+    step = plan[max(plan.rfind(x) for x in ("MapInArrow", "FlatMapGroupsInArrow")) :].split("\n", 2)[1]
+    return step.count("text")
+
+
+def test_quality_and_passages_send_a_text_once(spark):
+    docs = spark.createDataFrame([(1, "A b c", "en", 5)], "doc_id long, text string, lang string, n_chars long")
+    model = {"prior": 0.9, "weights": None, "pair": None}
+    sent = []
+
+    def seen(docs, *args, carry=(), **more):
+        sent.append(tuple(carry))
+        return substring_dedup(docs, *args, carry=carry, **more)
+
+    from moodlens.llm import crf
+    from moodlens.llm.substring_dedup import substring_dedup
+
+    made = crf.score(docs, model, carry=("doc_id", "text", "lang"))
+    assert made.columns == ["doc_id", "held_out", "score", "predicted", "carried_0", "carried_1", "carried_2"]
+    assert [tuple(r) for r in made.collect()] == [(1, False, 0.9, 1, 1, "A b c", "en")]
+    assert _sent_texts(made) == 1
+    # A text of another type is cast for the score and carried as it is.
+    made = crf.score(docs.withColumn("text", docs.n_chars), model, carry=("text",))
+    assert [tuple(r) for r in made.collect()] == [(1, False, 0.9, 1, 5)]
+    old, corpus_pipeline.substring_dedup = corpus_pipeline.substring_dedup, seen
+    try:
+        out = corpus_pipeline.repeated_passages(spark, docs, SF)
+        assert sent == [("doc_id", "lang", "n_chars")]
+        assert out.columns == docs.columns and [tuple(r) for r in out.collect()] == [(1, "A b c", "en", 5)]
+    finally:
+        corpus_pipeline.substring_dedup = old
+
+
+def test_steps_let_a_worker_s_tokenizer_go():
+    import pyarrow as pa
+
+    from moodlens.llm import bpe, minhash, substring_dedup
+    from moodlens.llm.queries import vocabulary
+
+    docs = {"doc_id": pa.array([1]), "h": pa.array([1]), "text": pa.array(["a b c"])}
+    chunk = pa.table({"chunk": pa.array([0], pa.int32()), "doc_id": docs["doc_id"], "text": docs["text"]})
+    for step in (lambda: list(minhash._sketch_batches(iter([pa.RecordBatch.from_pydict(docs)]))), lambda: substring_dedup._name_blocks(20, 2)(chunk)):
+        bpe.loaded(vocabulary())
+        step()
+        assert not bpe._LOADED
+
+
 def test_columns_of_documents_with_any_name(spark):
     from pyspark.sql import functions as F
 
